@@ -45,7 +45,8 @@ def heavy_candidates(thin: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED
     states = thin.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("fan")).agg(
         F.expr(f"approx_top_k_accumulate(text_sha256, {tracked})").alias("state")
     )
-    merged = states.agg(F.expr(f"approx_top_k_combine(state, {tracked})").alias("state"))
+    # Grouped by a constant: a global aggregate would also start a sketch in empty partitions, which it can't serialise.
+    merged = states.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(state, {tracked})").alias("state"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(state, {heavy})")).alias("t"))
     return top.where("t.count > 1").select(F.col("t.item").alias("text_sha256"))
 
