@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import bounded_batches, table
+from daybook.llm.common import table
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +14,26 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup}
+def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.secret_ledger import digest_columns, scan
+
+    findings, _ = scan(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text"))
+    return digest_columns(findings)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from daybook.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {
+    "op2_secret_ledger": op2_secret_ledger,
+    "op4_token_counts": op4_token_counts,
+    "op5_exact_dedup": op5_exact_dedup,
+}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
