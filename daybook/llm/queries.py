@@ -29,10 +29,26 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from daybook.llm.vector_packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
+
+
+def op10_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.decontaminate import decontaminate, digest_columns
+
+    return digest_columns(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {
     "op2_secret_ledger": op2_secret_ledger,
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_vector_best_fit": op7_vector_best_fit,
+    "op10_prefix_decontamination": op10_prefix_decontamination,
 }
 
 ORACLE_SQL = {
