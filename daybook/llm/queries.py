@@ -37,6 +37,12 @@ def op7_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
 
 
+def op9_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.hamming_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.decontaminate import decontaminate, digest_columns
 
@@ -48,6 +54,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_vector_best_fit": op7_vector_best_fit,
+    "op9_hamming_dedup": op9_hamming_dedup,
     "op10_prefix_decontamination": op10_prefix_decontamination,
 }
 
