@@ -14,6 +14,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op1_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.secret_ledger import digest_columns, scan
 
@@ -50,6 +56,7 @@ def op10_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_dictionary_warc": op1_dictionary_warc,
     "op2_secret_ledger": op2_secret_ledger,
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
@@ -59,6 +66,18 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_dictionary_warc": r"""
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        h AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS sha1 FROM p),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY sha1, payload_bytes) AS holder FROM h)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(sha1 || '00', (5 * i) // 4 + 1, 3))::INT >> (7 - (5 * i) % 4)::INT) & 31) + 1, 1)), '')
+                   AS payload_digest,
+               CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> holder THEN holder END AS refers_to
+        FROM g
+    """,
     "op5_exact_dedup": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         d AS (SELECT doc_id, length(text) AS n,
