@@ -35,6 +35,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.fm_quality import fit, scored
+
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -43,6 +50,14 @@ def op7_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
 
 
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.language_mixture import identify
+
+    return identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", F.to_json("languages").alias("languages")
+    )
+
+
 def op9_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.hamming_dedup import near_duplicates
 
@@ -60,7 +75,9 @@ QUERIES = {
     "op2_secret_ledger": op2_secret_ledger,
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_factorisation_machine": op6_factorisation_machine,
     "op7_vector_best_fit": op7_vector_best_fit,
+    "op8_language_mixture": op8_language_mixture,
     "op9_hamming_dedup": op9_hamming_dedup,
     "op10_prefix_decontamination": op10_prefix_decontamination,
 }
