@@ -27,6 +27,12 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(findings)
 
 
+def op3_balanced_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.balanced_sharding import assign
+
+    return assign(table(spark, sf_dir, "documents"), shards=40).drop("group")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -73,6 +79,7 @@ def op10_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_dictionary_warc": op1_dictionary_warc,
     "op2_secret_ledger": op2_secret_ledger,
+    "op3_balanced_propagation": op3_balanced_propagation,
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_factorisation_machine": op6_factorisation_machine,
