@@ -1,6 +1,6 @@
 """Near-duplicate detection: b-bit MinHash signatures, a multi-index Hamming join, and exact confirmation.
 
-A document's set holds its distinct shingles (64-bit hashes). Its signature has CHUNKS chunks of four 16-bit minima;
+A document's set holds its distinct shingles (64-bit hashes). Its signature has CHUNKS chunks of four 14-bit minima;
 the distance of two signatures is the number of minima that differ. At a similarity of 0.75 a distance above RADIUS
 has a probability of about 1e-5, and of nearly nothing at higher ones.
 
@@ -13,6 +13,8 @@ has a probability of about 1e-5, and of nearly nothing at higher ones.
 - Then the rest. Under keys that still hold several components, classes outside the key's largest component are
   compared with all classes of other components. Pairs inside one component are never formed, which spares the
   square of a large group of copies, and nothing is capped: every pair within RADIUS is compared or already connected.
+  The classes involved here get a wide signature of WIDE one-bit minima, whose distance at a similarity of 0.75 is
+  above WIDE_RADIUS with a probability of about 1e-6, and a pair is formed under the first key that it shares only.
 - Both rounds test size and distance inside the join and confirm the survivors on their full sets, recomputed from
   the texts of the documents involved.
 
@@ -23,6 +25,8 @@ are null; empty tables give empty results. Texts are read whole.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,11 +43,18 @@ SHINGLE, PERCENT = 5, 75
 #: Rows of a list of ids that may be broadcast.
 BROADCAST_ROWS = 500_000
 _CHUNK = [f"c{i}" for i in range(CHUNKS)]
+WIDE, WIDE_RADIUS = 1024, 178
+_WORD = [f"w{i}" for i in range(WIDE // 64)]
+#: Bits of a lane; its highest is 0 in signatures. All these highest bits.
+_LANE = np.uint64(15)
+_GUARDS = sum(1 << (15 * j + 14) for j in range(4))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _A = _rng.integers(0, 1 << 63, 4 * CHUNKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, 4 * CHUNKS, dtype=np.uint64)
+_WIDE_A = _rng.integers(0, 1 << 63, WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_WIDE_B = _rng.integers(0, 1 << 63, WIDE, dtype=np.uint64)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -68,14 +79,24 @@ def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
 
 
 def signature(distinct: np.ndarray) -> np.ndarray:
-    """CHUNKS words of four 16-bit minima each; zeros for the empty set."""
+    """CHUNKS words of four 14-bit minima each, in lanes of 15 bits; zeros for the empty set."""
     if not len(distinct):
         return np.zeros(CHUNKS, np.uint64)
     least = np.full(4 * CHUNKS, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(distinct), 4096):
         part = distinct[None, i : i + 4096] * _A[:, None] + _B[:, None]
         np.minimum(least, part.min(axis=1), out=least)
-    return np.frombuffer(((least >> np.uint64(20)) & np.uint64(0xFFFF)).astype("<u2").tobytes(), "<u8")
+    lanes = ((least >> np.uint64(20)) & np.uint64(0x3FFF)).reshape(CHUNKS, 4) << (_LANE * np.arange(4, dtype=np.uint64))
+    return np.bitwise_or.reduce(lanes, axis=1)
+
+
+def wide_signature(distinct: np.ndarray) -> np.ndarray:
+    """A bit of each of WIDE minima, in words of 64."""
+    least = np.full(WIDE, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(distinct), 256):
+        part = distinct[None, i : i + 256] * _WIDE_A[:, None] + _WIDE_B[:, None]
+        np.minimum(least, part.min(axis=1), out=least)
+    return np.packbits((least >> np.uint64(33)).astype(np.uint8) & 1).view(np.int64)
 
 
 def _describe(size: int):
@@ -99,34 +120,56 @@ def _describe(size: int):
 
 
 def _keys(batches):
-    """Every chunk under its four keys with one minimum left out: 6 bits say which, 48 hold the other three."""
+    """Every chunk under its four keys with one minimum left out: 6 bits say which, 45 hold the other three."""
     for batch in batches:
         cid = batch.column(0).to_numpy()
         out = []
         for i in range(CHUNKS):
             c = batch.column(1 + i).to_numpy().view(np.uint64)
             for j in range(4):
-                low = c & np.uint64((1 << 16 * j) - 1)
-                high = (c >> np.uint64(16 * j)) >> np.uint64(16)
-                out.append((low | high << np.uint64(16 * j) | np.uint64((4 * i + j) << 48)).view(np.int64))
+                shift = _LANE * np.uint64(j)
+                low, high = c & ((np.uint64(1) << shift) - np.uint64(1)), c >> shift >> _LANE
+                out.append((low | high << shift | np.uint64((4 * i + j) << 48)).view(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.tile(cid, 4 * CHUNKS))], names=["key", "cid"])
 
 
-def _near(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and signatures allow the similarity; the columns' names begin with a and b."""
-    allowed = None
-    for c in _CHUNK:
-        x = F.col(a + c).bitwiseXOR(F.col(b + c))
-        for shift in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        # The lowest bit of each 16 now says whether any of them differs.
-        wrong = F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
-        allowed = wrong if allowed is None else allowed + wrong
-    na, nb = F.col(a + "n_shingles"), F.col(b + "n_shingles")
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (allowed <= RADIUS)
+def _same(c: str) -> Column:
+    """Of one chunk of a pair, the highest bit of each lane whose minima are equal. Names begin with a_ and b_."""
+    return (F.lit(_GUARDS) - F.col("a_" + c).bitwiseXOR(F.col("b_" + c))).bitwiseAND(F.lit(_GUARDS))
+
+
+def _sizes_allow(percent: int) -> Column:
+    na, nb = F.col("a_n_shingles"), F.col("b_n_shingles")
+    return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
+
+
+def _within_radius() -> Column:
+    return reduce(Column.__add__, (F.bit_count(_same(c)) for c in _CHUNK)) >= 4 * CHUNKS - RADIUS
+
+
+def _within_wide_radius() -> Column:
+    return reduce(Column.__add__, (F.bit_count(F.col("a_" + w).bitwiseXOR(F.col("b_" + w))) for w in _WORD)) <= WIDE_RADIUS
+
+
+def _first_shared(key: Column) -> Column:
+    """Whether the pair shares no key before this one, in the order of the keys' first 6 bits."""
+    firsts = []
+    for i, c in enumerate(_CHUNK):
+        one_error = [_GUARDS - (1 << (15 * j + 14)) for j in range(4)]
+        tag = F.when(_same(c).isin(_GUARDS, one_error[0]), 4 * i)
+        for j in range(1, 4):
+            tag = tag.when(_same(c) == one_error[j], 4 * i + j)
+        firsts.append(tag)
+    return F.coalesce(*firsts) == F.shiftrightunsigned(key, 48)
+
 
+#: The fixed part of what a Python step over texts returns, and how it is filled.
+_SET_KEYS = "rep_id {kind}, n_shingles long, f1 long, f2 long"
+
+
+def _over_sets(size: int, names: list[str], columns):
+    """A step from (rep_id, text) to the class of each text and the columns made from its set."""
 
-def _with_sets(size: int):
     def run(batches):
         for batch in batches:
             sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
@@ -134,15 +177,23 @@ def _with_sets(size: int):
                 [
                     batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
-                    pa.array([int(_mixed(s ^ _FACTOR).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([int(_mixed(s ^ _FACTOR).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()), *columns(sets),
                 ],
-                names=["rep_id", "n_shingles", "f1", "f2", "shingles"],
+                names=["rep_id", "n_shingles", "f1", "f2", *names],
             )
 
     return run
 
 
+def _set_column(sets):
+    return [pa.array([s.tobytes() for s in sets], pa.binary())]
+
+
+def _wide_columns(sets):
+    words = np.array([wide_signature(s) for s in sets], np.int64).reshape(-1, len(_WORD))
+    return [pa.array(np.ascontiguousarray(w)) for w in words.T]
+
+
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
@@ -187,48 +238,54 @@ class NearDuplicates:
     def _side(self, prefix: str) -> DataFrame:
         return self.classes.select(*(F.col(c).alias(prefix + c) for c in ("cid", "n_shingles", *_CHUNK)))
 
-    def _confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (u, v) of classes whose full sets are similar enough."""
-        pairs = self.scratch.save(pairs, f"{name}-pairs")
-        ids = pairs.select(F.col("u").alias("cid")).unionAll(pairs.select(F.col("v").alias("cid"))).distinct()
-        wanted = self.scratch.save(self.classes.join(ids, "cid").select("cid", "rep_id", "n_shingles", "f1", "f2"), f"{name}-wanted")
+    def _from_texts(self, ids: DataFrame, names: list[str], types: str, columns, name: str) -> DataFrame:
+        """(cid, columns) of the classes listed in ids, made from the texts of their smallest documents."""
+        wanted = self.scratch.save(self.classes.join(ids.select("cid").distinct(), "cid").select("cid", "rep_id", "n_shingles", "f1", "f2"), f"{name}-wanted")
         reps = wanted.select("rep_id").distinct()
         texts = self.rows.join(small(reps, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
-        sets = texts.mapInArrow(_with_sets(self.size), f"rep_id {self.kind}, n_shingles long, f1 long, f2 long, shingles binary")
+        made = texts.mapInArrow(_over_sets(self.size, names, columns), f"{_SET_KEYS.format(kind=self.kind)}, {types}")
         same = [F.col("s.rep_id").eqNullSafe(F.col("w.rep_id")), *(F.col(f"s.{c}") == F.col(f"w.{c}") for c in ("n_shingles", "f1", "f2"))]
-        sets = sets.alias("s").join(small(wanted, BROADCAST_ROWS).alias("w"), same).select("w.cid", "s.shingles")
-        sets = self.scratch.save(sets, f"{name}-sets")
+        made = made.alias("s").join(small(wanted, BROADCAST_ROWS).alias("w"), same).select("w.cid", *(f"s.{c}" for c in names))
+        return self.scratch.save(made, name)
+
+    def _confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (u, v) of classes whose full sets are similar enough."""
+        pairs = self.scratch.save(pairs, f"{name}-pairs")
+        ids = pairs.select(F.col("u").alias("cid")).unionAll(pairs.select(F.col("v").alias("cid")))
+        sets = self._from_texts(ids, ["shingles"], "shingles binary", _set_column, f"{name}-sets")
         u = sets.select(F.col("cid").alias("u"), F.col("shingles").alias("su"))
         v = sets.select(F.col("cid").alias("v"), F.col("shingles").alias("sv"))
         # Repeated rows give a class the same set twice, so pairs may repeat here; edges are made distinct later.
         checked = pairs.join(v, "v").join(u, "u").select("u", "v", "su", "sv").mapInArrow(_confirm(self.percent), "u long, v long")
         edges = self.scratch.save(checked, f"{name}-edges")
-        self.scratch.drop(f"{name}-sets", f"{name}-wanted")
+        self.scratch.drop(f"{name}-sets", f"{name}-sets-wanted")
         return edges
 
     def links(self) -> DataFrame:
         """(u, v): confirmed links between classes, enough of them to connect every two linked classes."""
         listed = self._listed()
         stars = listed.where("cid <> rep").select(F.col("rep").alias("u"), F.col("cid").alias("v")).distinct()
-        a, b = self._side("a_"), self._side("b_")
-        stars = stars.join(a, F.col("u") == F.col("a_cid")).join(b, F.col("v") == F.col("b_cid"))
-        first = self._confirmed(stars.where(_near("a_", "b_", self.percent)).select("u", "v"), "star")
+        stars = stars.join(self._side("a_"), F.col("u") == F.col("a_cid")).join(self._side("b_"), F.col("v") == F.col("b_cid"))
+        first = self._confirmed(stars.where(_sizes_allow(self.percent) & _within_radius()).select("u", "v"), "star")
         roots = self.scratch.save(components(first, self.scratch, "first"), "first-roots")
         rows = listed.join(roots, listed.cid == roots.node, "left").select("key", "cid", "rep", F.coalesce("root", "cid").alias("root"))
         rows = self.scratch.save(rows, "rooted")
         by_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         home = by_root.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("home"), F.count(F.lit(1)).alias("roots"))
         mixed = self.scratch.save(rows.join(home.where("roots > 1").select("key", "home"), "key"), "mixed")
+        wide = self._from_texts(mixed, _WORD, ", ".join(f"{w} long" for w in _WORD), _wide_columns, "wide").dropDuplicates(["cid"])
+        wide = self.scratch.save(self.classes.select("cid", "n_shingles", *_CHUNK).join(wide, "cid"), "wide-sides")
+        a, b = (wide.select(*(F.col(c).alias(p + c) for c in wide.columns)) for p in ("a_", "b_"))
         outside = mixed.where("root <> home").select("key", F.col("cid").alias("a_cid"), F.col("root").alias("a_root"), "rep")
         others = mixed.select(
             "key", F.col("cid").alias("b_cid"), F.col("root").alias("b_root"), (F.col("root") == F.col("home")).alias("b_home")
         )
-        outside, others = outside.join(a, "a_cid"), others.join(b, "b_cid")
         untested = (
             (F.col("l.key") == F.col("r.key")) & (F.col("a_root") != F.col("b_root"))
             & (F.col("b_home") | (F.col("a_cid") < F.col("b_cid"))) & (F.col("a_cid") != F.col("rep")) & (F.col("b_cid") != F.col("rep"))
         )
-        rest = outside.alias("l").join(others.alias("r"), untested & _near("a_", "b_", self.percent))
+        near = _sizes_allow(self.percent) & _within_wide_radius() & _first_shared(F.col("l.key"))
+        rest = outside.join(a, "a_cid").alias("l").join(others.join(b, "b_cid").alias("r"), untested & near)
         rest = rest.select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")).distinct()
         second = self._confirmed(rest, "rest")
         return first.unionAll(second)
