@@ -1,10 +1,116 @@
-"""A training corpus from raw documents, in stages that each work on all that the one before kept."""
+"""A training corpus from raw documents, in stages that each work on all that the one before kept.
+
+STAGES lists them in order; each function takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet
+and read again as the next one's docs. All but the last return the columns of documents; the last returns the packed
+pieces. run() applies them to the documents of a folder.
+
+Rows that repeat with one id, or have none, are told apart only where ids don't suffice (see _without).
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from daybook.llm.common import bounded_batches, table
+from daybook.scratch import Scratch, small
+
+#: Share of a document that its language must explain, and rows of a list of ids that may be broadcast.
+LEAST_SHARE, BROADCAST_ROWS = 0.3, 500_000
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """docs less the documents whose ids are decided (doc_id, keep) not to stay.
+
+    Usually ids are unique, and dropped ones, which are few, are joined away. If some id repeats or is null, as many
+    of its rows stay as were decided to, the longest texts first, rows of equal content being alike.
+    """
+    other, stay, nth = (_free(docs, x) for x in ("other_id", "stay", "nth"))
+    dropped = decisions.where(~F.col("keep")).select(F.col("doc_id").alias(other)).distinct()
+    repeated = decisions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("keep").cast("long")).alias("stay"))
+    repeated = repeated.where("n > 1 or doc_id is null").select(F.col("doc_id").alias(other), F.col("stay").alias(stay))
+    if repeated.limit(1).count() == 0:
+        return docs.join(small(dropped, BROADCAST_ROWS), F.col("doc_id") == F.col(other), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col(other))
+    single = docs.join(repeated, same, "left_anti").join(small(dropped, BROADCAST_ROWS), F.col("doc_id") == F.col(other), "left_anti")
+    content = F.xxhash64(F.to_json(F.struct(*(docs[c] for c in docs.columns))))
+    order = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), content)
+    several = docs.join(repeated, same).withColumn(nth, F.row_number().over(order))
+    return single.unionByName(several.where(F.col(nth) <= F.col(stay)).select(*docs.columns))
+
+
+def _decided(spark: SparkSession, decisions: DataFrame, label: str) -> DataFrame:
+    return Scratch(spark, label).save(decisions, "decisions")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in some language; those without text or letters, or that no language explains, go."""
+    from daybook.llm.language_mixture import detect, fit, selected
+
+    bounded_batches(spark)
+    name = _free(docs, "found")
+    found = docs.withColumn(name, detect(fit(docs), F.col("text"), spark))
+    return selected(found, LEAST_SHARE, name).select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    from daybook.llm.exact_dedup import exact_dedup
+
+    return _without(docs, _decided(spark, exact_dedup(docs).select("doc_id", F.col("kept").alias("keep")), "exact"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that of the smallest id."""
+    from daybook.llm.hamming_dedup import near_duplicates
+
+    found = near_duplicates(docs).select("doc_id", F.col("kept").alias("keep"))
+    return _without(docs, _decided(spark, found, "near"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    from daybook.llm.decontaminate import decontaminate
+
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, _decided(spark, found.select("doc_id", (F.size("spans") == 0).alias("keep")), "decontaminated"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents' pieces with their places in sequences of 2048 tokens."""
+    import public_tokenizers
+
+    from daybook.llm.vector_packing import pack
+
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("exact", exact),
+    ("near", near),
+    ("decontaminated", decontaminated),
+    ("packed", packed),
+]
+
+#: Learned models and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+    return docs

@@ -153,6 +153,6 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
     )
 
 
-def selected(found: DataFrame, least: float) -> DataFrame:
-    """Rows of a frame with a column `found` (see detect) that hold language: not `und`, and some share explained."""
-    return found.where((F.col("found.lang") != UNDETERMINED) & (F.col("found.score") >= least))
+def selected(docs: DataFrame, least: float, found: str = "found") -> DataFrame:
+    """Rows whose detected language (the struct of `detect` in column `found`) isn't `und` and explains a share."""
+    return docs.where((F.col(found)["lang"] != UNDETERMINED) & (F.col(found)["score"] >= least))
