@@ -13,7 +13,7 @@ has a probability of about 1e-5, and of nearly nothing at higher ones.
 - Then the rest. Under keys that still hold several components, classes outside the key's largest component are
   compared with all classes of other components. Pairs inside one component are never formed, which spares the
   square of a large group of copies, and nothing is capped: every pair within RADIUS is compared or already connected.
-  The classes involved here get a wide signature of WIDE one-bit minima, whose distance at a similarity of 0.75 is
+  The classes involved here get a wide signature of WIDE two-bit minima, whose distance at a similarity of 0.75 is
   above WIDE_RADIUS with a probability of about 1e-6, and a pair is formed under the first key that it shares only.
 - Both rounds test size and distance inside the join and confirm the survivors on their full sets, recomputed from
   the texts of the documents involved.
@@ -43,8 +43,8 @@ SHINGLE, PERCENT = 5, 75
 #: Rows of a list of ids that may be broadcast.
 BROADCAST_ROWS = 500_000
 _CHUNK = [f"c{i}" for i in range(CHUNKS)]
-WIDE, WIDE_RADIUS = 1024, 178
-_WORD = [f"w{i}" for i in range(WIDE // 64)]
+WIDE, WIDE_RADIUS = 1024, 251
+_WORD = [f"w{i}" for i in range(WIDE // 32)]
 #: Bits of a lane; its highest is 0 in signatures. All these highest bits.
 _LANE = np.uint64(15)
 _GUARDS = sum(1 << (15 * j + 14) for j in range(4))
@@ -91,12 +91,13 @@ def signature(distinct: np.ndarray) -> np.ndarray:
 
 
 def wide_signature(distinct: np.ndarray) -> np.ndarray:
-    """A bit of each of WIDE minima, in words of 64."""
+    """Two bits of each of WIDE minima, in words of 32 of them."""
     least = np.full(WIDE, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(distinct), 256):
         part = distinct[None, i : i + 256] * _WIDE_A[:, None] + _WIDE_B[:, None]
         np.minimum(least, part.min(axis=1), out=least)
-    return np.packbits((least >> np.uint64(33)).astype(np.uint8) & 1).view(np.int64)
+    pairs = ((least >> np.uint64(33)) & np.uint64(3)).reshape(-1, 32) << np.arange(0, 64, 2, dtype=np.uint64)
+    return np.bitwise_or.reduce(pairs, axis=1).view(np.int64)
 
 
 def _describe(size: int):
@@ -148,7 +149,12 @@ def _within_radius() -> Column:
 
 
 def _within_wide_radius() -> Column:
-    return reduce(Column.__add__, (F.bit_count(F.col("a_" + w).bitwiseXOR(F.col("b_" + w))) for w in _WORD)) <= WIDE_RADIUS
+    wrong = None
+    for w in _WORD:
+        x = F.col("a_" + w).bitwiseXOR(F.col("b_" + w))
+        n = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+        wrong = n if wrong is None else wrong + n
+    return wrong <= WIDE_RADIUS
 
 
 def _first_shared(key: Column) -> Column:
