@@ -1,0 +1,176 @@
+"""Days from files to tables: counters, verification, repeats, missing objects, duplicates, alerts, calls."""
+
+import json
+from datetime import UTC, datetime
+
+import pytest
+
+from daybook.functions import days
+from daybook.operators import quality
+from daybook.plans import alerts, run
+from daybook.sources import bronze
+from daybook.sources.store import Lake
+
+DT = "2026-09-21"
+
+
+def line(i=0, **changes):
+    return json.dumps({"timestamp": f"2026-09-21T00:00:{i % 60:02d}Z", "endpoint": "/x", "method": "GET", "status": 200, "latency_ms": 5} | changes)
+
+
+@pytest.fixture
+def roots(tmp_path):
+    root = tmp_path / "in put+1"
+    for key, body in {
+        f"{DT}/web/00/a.jsonl": "\n".join([line(0), "", line(1), "{bad"]) + "\n",
+        f"{DT}/web/01/b c%20+.jsonl": line(2, status=404, endpoint="/.env") + "\r\n",
+        f"{DT}/api/00/c.jsonl": line(3, latency_ms=0),
+        f"{DT}/api/00/empty.jsonl": "",
+        f"{DT}/stray.jsonl": line(4),
+        "2026-09-22/web/00/d.jsonl": line(5),
+    }.items():
+        path = root / "api-metrics" / key
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(body)
+    return str(root), str(tmp_path / "lake")
+
+
+def test_run_counts_and_repeats(spark, roots):
+    lake = Lake(spark, roots[1])
+    m = run.run_days(spark, roots[0], lake, [DT])[DT]
+    assert m["status"] == "done" and m["services"] == ["api", "web"]
+    assert [m[c] for c in ("bronzeObjectCount", "bronzeObjectsRead", "bronzeObjectsMissing", "bronzeLinesParsed", "silverRows", "quarantinedRows", "goldRows", "goldRequestsSum")] == [4, 4, 0, 5, 4, 1, 3, 4]
+    assert m["verify"]["silverDistinct"] == 4 and lake.manifest(DT) == m
+    uids = {r[0] for r in lake.read("silver").select("row_uid").collect()}
+    assert f"api-metrics/{DT}/web/00/a.jsonl#1" in uids and f"api-metrics/{DT}/web/01/b c%20+.jsonl#0" in uids
+    assert [r["reason"] for r in lake.read("quarantine").collect()] == ["invalid_json"]
+    before = sorted(map(repr, lake.read("gold").collect()))
+    again = run.run_days(spark, roots[0], lake, [DT], force=True)[DT]
+    assert {k: v for k, v in again.items() if k not in ("startedAt", "finishedAt", "verify")} == {k: v for k, v in m.items() if k not in ("startedAt", "finishedAt", "verify")}
+    assert sorted(map(repr, lake.read("gold").collect())) == before and lake.read("silver").count() == 4
+    assert run.run_days(spark, roots[0], lake, [DT])[DT] == again
+
+
+def test_backfill_is_one_run_over_all_days(spark, roots):
+    lake = Lake(spark, roots[1])
+    made = run.backfill(spark, roots[0], lake, DT, "2026-09-23")
+    assert {d: m["silverRows"] for d, m in made.items()} == {DT: 4, "2026-09-22": 1, "2026-09-23": 0}
+    assert all(m["status"] == "done" for m in made.values())
+    counts = [quality.per_day(lake.read(t)) for t in ("silver", "gold")]
+    wanted = lake.manifests().select("dt", "silverRows", "goldRows")
+    assert quality.against_manifests(*counts, wanted).count() == 0 and quality.without_manifest(*counts, wanted).count() == 0
+
+
+def test_forced_run_without_objects_empties_the_day(spark, roots, tmp_path):
+    lake = Lake(spark, roots[1])
+    run.run_days(spark, roots[0], lake, [DT, "2026-09-22"])
+    (tmp_path / "none").mkdir()
+    m = run.run_days(spark, str(tmp_path / "none"), lake, [DT], force=True)[DT]
+    assert m["status"] == "done" and m["silverRows"] == 0
+    assert [r[0] for r in lake.read("silver").select("dt").distinct().collect()] == ["2026-09-22"]
+
+
+def test_dedupe(spark, roots):
+    lake = Lake(spark, roots[1])
+    run.run_days(spark, roots[0], lake, [DT])
+    lake.read("silver").limit(3).write.mode("append").partitionBy("dt").parquet(lake.path("silver"))
+    assert run.stored_counts(lake, "silver", DT) == (7, 4)
+    m = run.verify(lake, lake.manifest(DT))
+    assert m["status"] == "duplicates" and alerts.manifest_problems(m) == ["status is duplicates"]
+    assert run.dedupe_day(lake, "silver", DT) == ((7, 4), (4, 4))
+    assert run.dedupe_day(lake, "silver", DT) == ((4, 4), (4, 4))
+
+
+def test_missing_objects(spark):
+    listed = spark.createDataFrame([("a", 1), ("b", 1), ("e", 0)], "source_key string, length long")
+    assert [r[0] for r in quality.missing_objects(listed, spark.createDataFrame([("a",)], "source_key string")).collect()] == ["b"]
+
+
+def test_listing_of_nothing(spark, tmp_path):
+    assert bronze.listing(spark, str(tmp_path), [DT]).count() == 0
+
+
+BASE = {"dt": DT, "bronzeObjectCount": 10, "bronzeObjectsRead": 10, "bronzeObjectsMissing": 0, "bronzeLinesParsed": 10, "silverRows": 9, "quarantinedRows": 1, "goldRows": 3, "goldRequestsSum": 9}
+
+
+@pytest.mark.parametrize(
+    "changes, status",
+    [({}, "done"), ({"bronzeLinesParsed": 11}, "mismatch"), ({"goldRequestsSum": 8}, "mismatch"), ({"bronzeObjectsRead": 9, "bronzeObjectsMissing": 1}, "mismatch"),
+     ({"bronzeObjectsMissing": 1}, "mismatch"), ({k: 0 for k in BASE if k != "dt"}, "done")],
+)
+def test_manifest(spark, changes, status):
+    counters = BASE | changes
+    assert run.build_manifest(counters, "t", ["web"])["status"] == status
+    assert quality.reconcile(spark.createDataFrame([counters])).first()["status"] == status
+
+
+@pytest.mark.parametrize("counts, status", [((9, 9, 3, 3), "done"), ((11, 9, 3, 3), "duplicates"), ((9, 9, 5, 3), "duplicates"), ((8, 8, 3, 3), "mismatch"), ((9, 9, 4, 4), "mismatch"), ((20, 8, 3, 3), "mismatch")])
+def test_verification(counts, status):
+    m = run.build_manifest(BASE, "t", [])
+    assert run.apply_counts(m, dict(zip(("silverRows", "silverDistinct", "goldRows", "goldDistinct"), counts, strict=True)))["status"] == status
+
+
+def test_verification_never_raises(spark, tmp_path):
+    def fails(*_):
+        raise OSError("down")
+
+    m = run.verify(Lake(spark, str(tmp_path)), run.build_manifest(BASE, "t", []), fails)
+    assert m["status"] == "done" and alerts.manifest_problems(m) == ["verify failed: down"]
+
+
+def test_alerts():
+    assert alerts.manifest_problems(None) == ["manifest is missing (the workflow may not have completed)"]
+    assert alerts.manifest_problems({"status": "mismatch"}) == ["status is mismatch", "verify has not run"]
+    assert alerts.manifest_problems({"status": "done", "verify": {"skipped": "no token"}}) == ["verify was skipped: no token"]
+    assert len(alerts.format_alert(DT, "workflow", ["x" * 3000])) == 1900
+    sent = []
+    assert alerts.notify("t", "http://x", lambda u, b: sent.append(json.loads(b)) or 204) and sent[0]["allowed_mentions"] == {"parse": []}
+    assert not alerts.notify("t") and not alerts.notify("t", "http://x", lambda u, b: 500) and not alerts.notify("t", "http://x", lambda u, b: 1 / 0)
+
+
+def test_health_check(spark, tmp_path, roots):
+    lake = Lake(spark, roots[1])
+    now = datetime(2026, 9, 22, 2, tzinfo=UTC)
+    assert run.health_check(lake, now) == ["manifest is missing (the workflow may not have completed)"]
+    run.run_days(spark, roots[0], lake, [DT])
+    assert run.health_check(lake, now) == []
+
+
+def test_days():
+    good, bad = (DT, "2028-02-29"), (None, "", "2026-9-21", "2026-02-29", "2026-02-30", "2026-04-31", "2026-13-01", "2026-00-10", DT + "' OR '1'='1", DT + "\n")
+    assert all(map(days.is_valid_dt, good)) and not any(map(days.is_valid_dt, bad))
+    assert {days.yesterday(datetime(2026, 9, 22, h, 5, tzinfo=UTC)) for h in (0, 23)} == {DT}
+    assert [days.is_valid_attempt(x) for x in (None, "1", "12", "", "0", "02", "x")] == [True, True, True, False, False, False, False]
+    assert [days.is_valid_force(x) for x in (None, "1", "true", "", "0", "yes")] == [True, True, True, False, False, False]
+    assert days.run_id(DT) == f"day-{DT}" and days.run_id(DT, "2") == f"day-{DT}-r2"
+    assert days.day_range("2026-02-27", "2026-03-01") == ["2026-02-27", "2026-02-28", "2026-03-01"]
+    with pytest.raises(ValueError):
+        days.day_range("2026-03-01", "2026-02-27")
+
+
+def test_calls(spark, tmp_path):
+    started = []
+
+    def start(name, dt, force):
+        if name in started:
+            raise RuntimeError("exists")
+        started.append(name)
+
+    call = lambda q, h="Bearer s": run.handle_run(start, q, h, "s")
+    assert call({"dt": DT}, None)[0] == 401 and call({"dt": DT}, "Bearer x")[0] == 401 and run.handle_run(start, {"dt": DT}, "Bearer ", None)[0] == 401
+    assert [call(q)[0] for q in ({}, {"dt": DT, "attempt": "0"}, {"dt": DT, "force": "no"})] == [400, 400, 400]
+    assert call({"dt": DT}, "bearer s") == (202, {"ok": True, "dt": DT, "instanceId": f"day-{DT}", "force": False, "status": "created"})
+    assert call({"dt": DT})[0] == 409 and call({"dt": DT, "attempt": "2", "force": "1"})[0] == 202
+    lake = Lake(spark, str(tmp_path))
+    assert [run.handle_status(lake, q, h, "s")[0] for q, h in (({"dt": DT}, ""), ({}, "Bearer s"), ({"dt": DT}, "Bearer s"))] == [401, 400, 404]
+
+
+def test_stream_takes_each_object_once(spark, roots, tmp_path):
+    from daybook.session import prepare
+    from daybook.streaming.ingest import ingest
+
+    prepare(spark)
+    for _ in range(2):
+        ingest(spark, roots[0], str(tmp_path / "out"), str(tmp_path / "state"))
+    assert spark.read.parquet(str(tmp_path / "out/silver")).count() == 5
+    assert spark.read.parquet(str(tmp_path / "out/quarantine")).count() == 1
