@@ -9,13 +9,15 @@ has a probability of about 1e-5, and of nearly nothing at higher ones.
   chunk is therefore listed under its four keys with one minimum left out, which enumerates all allowed errors: two
   chunks within one error share a key. All pairs within RADIUS share a key, so none is lost.
 - Stars first. Under each key all classes are compared with the smallest one: as many pairs as rows, whatever the
-  size of the group. What is confirmed is contracted to components.
+  size of the group. What is confirmed is contracted to components. Then, under keys that still hold several
+  components, classes outside the largest are compared with one class inside it, another one under each key, and what
+  that confirms is contracted too.
 - Then the rest. Under keys that still hold several components, classes outside the key's largest component are
   compared with all classes of other components. Pairs inside one component are never formed, which spares the
   square of a large group of copies, and nothing is capped: every pair within RADIUS is compared or already connected.
   The classes involved here get a wide signature of WIDE two-bit minima, whose distance at a similarity of 0.75 is
   above WIDE_RADIUS with a probability of about 1e-6, and a pair is formed under the first key that it shares only.
-- Both rounds test size and distance inside the join and confirm the survivors on their full sets, recomputed from
+- All rounds test size and distance inside the join and confirm the survivors on their full sets, recomputed from
   the texts of the documents involved.
 
 Defined cases: null and blank texts have empty sets, linked with nothing; a text with fewer words than a shingle has
@@ -267,18 +269,30 @@ class NearDuplicates:
         self.scratch.drop(f"{name}-sets", f"{name}-sets-wanted")
         return edges
 
-    def links(self) -> DataFrame:
-        """(u, v): confirmed links between classes, enough of them to connect every two linked classes."""
-        listed = self._listed()
-        stars = listed.where("cid <> rep").select(F.col("rep").alias("u"), F.col("cid").alias("v")).distinct()
-        stars = stars.join(self._side("a_"), F.col("u") == F.col("a_cid")).join(self._side("b_"), F.col("v") == F.col("b_cid"))
-        first = self._confirmed(stars.where(_sizes_allow(self.percent) & _within_radius()).select("u", "v"), "star")
-        roots = self.scratch.save(components(first, self.scratch, "first"), "first-roots")
+    def _near(self, pairs: DataFrame) -> DataFrame:
+        """The distinct pairs (u, v) whose sizes and signatures allow the similarity."""
+        pairs = pairs.distinct().join(self._side("a_"), F.col("u") == F.col("a_cid")).join(self._side("b_"), F.col("v") == F.col("b_cid"))
+        return pairs.where(_sizes_allow(self.percent) & _within_radius()).select("u", "v")
+
+    def _mixed(self, listed: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+        """(key, cid, rep, root, home) under keys that hold several components of edges; home is the largest of the key."""
+        roots = self.scratch.save(components(edges, self.scratch, f"{name}-stars"), f"{name}-roots")
         rows = listed.join(roots, listed.cid == roots.node, "left").select("key", "cid", "rep", F.coalesce("root", "cid").alias("root"))
-        rows = self.scratch.save(rows, "rooted")
+        rows = self.scratch.save(rows, f"{name}-rooted")
         by_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         home = by_root.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("home"), F.count(F.lit(1)).alias("roots"))
-        mixed = self.scratch.save(rows.join(home.where("roots > 1").select("key", "home"), "key"), "mixed")
+        return self.scratch.save(rows.join(home.where("roots > 1").select("key", "home"), "key"), f"{name}-mixed")
+
+    def links(self) -> DataFrame:
+        """(u, v): confirmed links between classes, enough of them to connect every two linked classes."""
+        listed = self._listed()
+        stars = listed.where("cid <> rep").select(F.col("rep").alias("u"), F.col("cid").alias("v"))
+        edges = self._confirmed(self._near(stars), "star")
+        mixed = self._mixed(listed, edges, "first")
+        home = mixed.where("root = home").groupBy("key").agg(F.min_by("cid", F.xxhash64("cid", "key")).alias("centre"))
+        stars = mixed.where("root <> home").join(home, "key").select(F.least("cid", "centre").alias("u"), F.greatest("cid", "centre").alias("v"))
+        edges = edges.unionAll(self._confirmed(self._near(stars), "home"))
+        mixed = self._mixed(mixed.select("key", "cid", "rep"), edges, "second")
         wide = self._from_texts(mixed, _WORD, ", ".join(f"{w} long" for w in _WORD), _wide_columns, "wide").dropDuplicates(["cid"])
         wide = self.scratch.save(self.classes.select("cid", "n_shingles", *_CHUNK).join(wide, "cid"), "wide-sides")
         a, b = (wide.select(*(F.col(c).alias(p + c) for c in wide.columns)) for p in ("a_", "b_"))
@@ -293,8 +307,7 @@ class NearDuplicates:
         near = _sizes_allow(self.percent) & _within_wide_radius() & _first_shared(F.col("l.key"))
         rest = outside.join(a, "a_cid").alias("l").join(others.join(b, "b_cid").alias("r"), untested & near)
         rest = rest.select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")).distinct()
-        second = self._confirmed(rest, "rest")
-        return first.unionAll(second)
+        return edges.unionAll(self._confirmed(rest, "rest"))
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row."""
