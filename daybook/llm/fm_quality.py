@@ -154,15 +154,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     # In one order, whatever the partitions, so that a model depends on its rows only.
     got = sorted(((r[0], r[1], r[2]) for r in found.collect()), key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0]))
-    vectors = [(np.array(f["at"], np.int64), np.array(f["x"], np.float64)) for _, _, f in got]
+    vectors = [(np.frombuffer(f["at"], "<i4"), np.frombuffer(f["x"], "<f4")) for _, _, f in got]
     return learn(vectors, np.array([r[1] for r in got]), width(len(metadata)))
 
 
 def _described(n: int):
-    @F.pandas_udf("at array<int>, x array<float>")
+    # Packed as bytes: a list of numbers would take the driver many times the memory.
+    @F.pandas_udf("at binary, x binary")
     def run(texts: pd.Series, *metadata: pd.Series) -> pd.DataFrame:
         found = [features(t, m) for t, *m in zip(texts, *metadata, strict=True)]
-        return pd.DataFrame({"at": [f[0].astype(np.int32) for f in found], "x": [f[1].astype(np.float32) for f in found]})
+        return pd.DataFrame({"at": [f[0].astype("<i4").tobytes() for f in found], "x": [f[1].astype("<f4").tobytes() for f in found]})
 
     return run
 
