@@ -259,7 +259,8 @@ def pack(
     # One row for each length: at most `tokens`.
     counts = {r[0]: r[1] for r in by_task.groupBy("length").agg(F.sum("n")).collect()}
     placements, _ = plan(counts, tokens, documents, cost, rule)
-    ranked = cut.join(based, ["task", "length"]).select(
+    # The bases grow with the number of tasks, so they are never broadcast.
+    ranked = cut.join(based.hint("merge"), ["task", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("rank")).alias("rank")
     )
     return ranked.mapInArrow(
