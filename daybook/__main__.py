@@ -1,4 +1,7 @@
-"""python -m daybook --bronze ROOT --lake ROOT run DT | backfill START END | status DT | count DT | scan-all | dedupe DT | verify-all | health-check"""
+"""python -m daybook --bronze ROOT --lake ROOT run [DT] | backfill START END | status DT | count DT | scan-all | dedupe DT | verify-all | health-check
+
+A schedule of two commands runs the lake: `run` for yesterday (UTC) after midnight, `health-check` an hour later.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ import json
 import os
 import sys
 
-from daybook.functions.days import is_valid_attempt, is_valid_force, parse_force
+from daybook.functions.days import is_valid_attempt, is_valid_force, parse_force, yesterday
 from daybook.operators import quality
 from daybook.plans import run
 from daybook.session import local_session
@@ -26,6 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     if not is_valid_attempt(a.attempt) or not is_valid_force(a.force):
         p.error("attempt is a positive integer, force is 1 or true")
+    if a.command in ("run", "status", "count", "dedupe") and not a.days:
+        a.days = [yesterday()]
+    if a.command == "backfill" and len(a.days) != 2:
+        p.error("backfill takes the first and the last day")
     spark = local_session()
     lake = Lake(spark, a.lake)
     if a.command in ("run", "backfill"):

@@ -96,6 +96,7 @@ def missing_objects(listing: DataFrame, read: DataFrame) -> DataFrame:
 
 def problems(status: Column, verify: Column, error: Column, skipped: Column) -> Column:
     """Sentences on what is wrong with a manifest; status null: there is none. verify: whether that step has run."""
+    # The sentences.
     texts = F.array(
         F.when(status != "done", F.concat(F.lit("status is "), status)),
         F.when(~verify, F.lit("verify has not run")).when(error.isNotNull(), F.concat(F.lit("verify failed: "), error))

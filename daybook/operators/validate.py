@@ -63,6 +63,7 @@ def parsed(df: DataFrame) -> DataFrame:
     found += [_time(field("timestamp", "string")).alias("_ts")]
     df = df.select("*", F.inline(F.array(F.struct(*found))))
     status, latency = F.col("_n_status"), F.col("_n_latency_ms")
+    # The names of the reasons, in the order in which the rules are tried.
     rules = [
         ("invalid_json", F.col("_v").isNull()),
         ("not_an_object", ~F.schema_of_variant("_v").startswith("OBJECT")),

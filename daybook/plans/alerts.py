@@ -13,6 +13,7 @@ _log = logging.getLogger("daybook")
 
 
 def manifest_problems(manifest: dict | None) -> list[str]:
+    # The sentences.
     if manifest is None:
         return ["manifest is missing (the workflow may not have completed)"]
     found = [] if manifest["status"] == "done" else [f"status is {manifest['status']}"]

@@ -152,7 +152,7 @@ def dedupe_day(lake: Lake, table: str, dt: str) -> tuple[tuple[int, int], tuple[
     return before, after
 
 
-# The two calls of the service, without a server: (status code, body).
+# The two calls of the service, without a server: (status code, body). Parameters, codes and messages are fixed values.
 
 
 def is_authorised(header: str | None, token: str | None) -> bool:

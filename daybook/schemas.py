@@ -1,4 +1,4 @@
-"""Schemas of the tables; nothing is ever inferred."""
+"""Schemas of the tables; nothing is ever inferred. The names of all columns and fields are fixed values."""
 
 from pyspark.sql import types as T
 
