@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import columns as fn
-from daybook.functions.days import run_id
+from daybook.functions.days import check_dt, run_id
 from daybook.operators import gold, quality, validate
 from daybook.plans import workload as w
 
@@ -82,6 +82,14 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.quarantine(w.parsed(spark, sf_dir)).drop("raw")
 
 
+@query(_sql("""SELECT '{"reason":"' || reason || '","source_key":"' || source_key || '","raw":"' || CASE c WHEN 0 THEN '{not json' WHEN 1 THEN '[1,2,3]' ELSE 'null' END || '"}' AS json
+    FROM lines WHERE c IN (0, 1, 18)"""))
+def quarantine_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused lines as the JSON lines that a quarantine file holds, for the shortest of them."""
+    rows = validate.quarantine(w.parsed(spark, sf_dir)).where(F.length("raw") < 10)
+    return rows.select(F.to_json(F.struct("reason", "source_key", "raw")).alias("json"))
+
+
 @query(_sql("SELECT dt, count(*) AS lines, count(*) FILTER (reason IS NULL) AS valid, count(*) FILTER (reason IS NOT NULL) AS refused, count(DISTINCT source_key) AS objects FROM lines GROUP BY dt"))
 def bronze_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = F.count_if(F.col("reason").isNotNull()).alias("refused")
@@ -145,6 +153,13 @@ def day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_counts(w.stored_silver(spark, sf_dir), _DAY)
 
 
+@query(_sql(f"SELECT count(*) AS total, count(DISTINCT row_uid) AS distinct_ids FROM stored WHERE dt = '{_DAY}'"))
+def day_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by SQL text; the day is a parameter, never part of the text."""
+    rows = w.stored_silver(spark, sf_dir)
+    return spark.sql("SELECT count(*) AS total, count(DISTINCT row_uid) AS distinct_ids FROM {t} WHERE dt = :dt", args={"dt": check_dt(_DAY)}, t=rows)
+
+
 @query(_sql("SELECT *, rows - distinct_ids AS dup FROM days_s"))
 def per_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.per_day(w.stored_silver(spark, sf_dir))
