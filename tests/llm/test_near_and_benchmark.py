@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import benchmark_brute, near_brute
+from brute import benchmark_brute, near_brute
 
 from daybook.llm import decontaminate as dc
 from daybook.llm import hamming_dedup as hd

@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import benchmark_brute, near_brute
+from brute import benchmark_brute, near_brute
 
 import corpus_pipeline as p
 from daybook.llm import language_mixture as lm
