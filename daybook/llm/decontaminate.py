@@ -140,14 +140,19 @@ class Index:
         items: list[set[str]] = [set() for _ in texts]
         for size, (among, bounds, rows) in self.prefix.items():
             at, which = self.at(numbers, size, among)
-            for p, h in zip(at.tolist(), which.tolist(), strict=True):
+            order = np.argsort(which, kind="stable")
+            found, first = np.unique(which[order], return_index=True)
+            for h, positions in zip(found.tolist(), np.split(at[order], first[1:]) if len(found) else (), strict=True):
                 for k, offset in rows[bounds[h] : bounds[h + 1]].tolist():
-                    w, start = self.windows[k], p - offset
+                    w, start = self.windows[k], positions - offset
+                    start = start[(start >= 0) & (start + len(w) <= len(numbers))]
                     # Zeros between texts make a window over two of them unequal.
-                    if start >= 0 and start + len(w) <= len(numbers) and np.array_equal(numbers[start : start + len(w)], w):
-                        edge[start] += 1
-                        edge[start + len(w)] -= 1
-                        items[int(np.searchsorted(begin, start, "right")) - 1].update(self.items[k])
+                    for i, number in enumerate(w.tolist()):
+                        start = start[numbers[start + i] == number]
+                    np.add.at(edge, start, 1)
+                    np.add.at(edge, start + len(w), -1)
+                    for d in np.unique(np.searchsorted(begin, start, "right") - 1).tolist():
+                        items[d].update(self.items[k])
         hit = np.concatenate(([0], (np.cumsum(edge[:-1]) > 0).astype(np.int8), [0]))
         turn = np.diff(hit)
         spans: list[list[tuple[int, int]]] = [[] for _ in texts]
