@@ -26,9 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daybook.scratch import Scratch
+from daybook.scratch import Scratch, is_at_most
 
 SHARDS, ROUNDS = 40, 6
+#: Groups of two and more whose list may be broadcast (a shard list each, 200 bytes); beyond, joins are shuffled.
+BROADCAST_GROUPS = 100_000
 #: Rows ranked together at most, about.
 BUCKET = 20_000
 
@@ -72,8 +74,11 @@ def ranked(rows: DataFrame, by: str, total: int, keys: int, last: Column | None
     )
 
 
-def propagate(linked: DataFrame, shards: int, capacity: float, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
-    """(row, group, members, shard) after propagation; linked: the same, with the shards to begin with."""
+def propagate(linked: DataFrame, capacity: float, scratch: Scratch, rounds: int = ROUNDS, few: bool = False) -> DataFrame:
+    """(row, group, members, shard) after propagation; linked: the same, with the shards to begin with.
+
+    few: whether the groups are few enough to be broadcast.
+    """
     spark = linked.sparkSession
     now = linked
     for k in range(rounds):
@@ -87,7 +92,7 @@ def propagate(linked: DataFrame, shards: int, capacity: float, scratch: Scratch,
         # A group has at most as many entries as there are shards.
         targets = tally.groupBy("group", "members").agg(F.sort_array(F.collect_list(order)).alias("by"))
         targets = targets.select("group", F.slice(F.transform("by", lambda x: x["shard"]), 1, F.ceil(F.col("members") / capacity).cast("int")).alias("targets"))
-        asked = now.join(targets, "group").withColumn("many", F.size("targets"))
+        asked = now.join(F.broadcast(targets) if few else targets, "group").withColumn("many", F.size("targets"))
         asked = asked.withColumn(
             "target", F.when(F.array_contains("targets", F.col("shard")), F.col("shard")).otherwise(F.element_at("targets", (F.pmod(F.xxhash64("row"), F.col("many")) + 1).cast("int")))
         )
@@ -129,8 +134,11 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_col:
     total = rows.count()
     begin = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard")
     groups = rows.groupBy("group").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    linked = scratch.save(rows.select("row", "group").join(groups, "group").select("row", "group", "members", begin), "linked")
-    linked = propagate(linked, shards, max(1.0, total / shards), scratch, rounds)
+    groups = scratch.save(groups, "groups")
+    few = is_at_most(groups, BROADCAST_GROUPS)
+    members = rows.select("row", "group").join(F.broadcast(groups) if few else groups, "group")
+    linked = scratch.save(members.select("row", "group", "members", begin), "linked")
+    linked = propagate(linked, max(1.0, total / shards), scratch, rounds, few)
     placed = rows.join(linked.select("row", "members", F.col("shard").alias("linked_shard")), "row", "left").select(
         "row", "doc_id", "size", "text_crc32", "group", F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("linked_shard", begin).alias("shard")
     )

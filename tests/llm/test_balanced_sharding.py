@@ -31,6 +31,12 @@ def test_groups_stay_together_under_the_law(spark, make):
     assert sum(len(x) > 1 for x in whole.values()) <= 2
 
 
+def test_many_groups_are_joined_by_a_shuffle(make, monkeypatch):
+    monkeypatch.setattr(b, "BROADCAST_GROUPS", 3)
+    rows = [(i, f"t{i % 50}") for i in range(150)]
+    check(rows, b.assign(make(rows), shards=6).collect(), 6)
+
+
 def test_a_group_larger_than_shards_fills_few_of_them(make):
     rows = [(i, "hot") for i in range(200)] + [(1000 + i, f"t{i}") for i in range(400)]
     got = b.assign(make(rows), shards=10).collect()
