@@ -293,6 +293,7 @@ class NearDuplicates:
         stars = mixed.where("root <> home").join(home, "key").select(F.least("cid", "centre").alias("u"), F.greatest("cid", "centre").alias("v"))
         edges = edges.unionAll(self._confirmed(self._near(stars), "home"))
         mixed = self._mixed(mixed.select("key", "cid", "rep"), edges, "second")
+        self.scratch.drop("listed", "star-pairs", "home-pairs", "first-rooted", "first-mixed", "second-rooted")
         wide = self._from_texts(mixed, _WORD, ", ".join(f"{w} long" for w in _WORD), _wide_columns, "wide").dropDuplicates(["cid"])
         wide = self.scratch.save(self.classes.select("cid", "n_shingles", *_CHUNK).join(wide, "cid"), "wide-sides")
         a, b = (wide.select(*(F.col(c).alias(p + c) for c in wide.columns)) for p in ("a_", "b_"))
@@ -307,7 +308,9 @@ class NearDuplicates:
         near = _sizes_allow(self.percent) & _within_wide_radius() & _first_shared(F.col("l.key"))
         rest = outside.join(a, "a_cid").alias("l").join(others.join(b, "b_cid").alias("r"), untested & near)
         rest = rest.select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")).distinct()
-        return edges.unionAll(self._confirmed(rest, "rest"))
+        edges = edges.unionAll(self._confirmed(rest, "rest"))
+        self.scratch.drop("second-mixed", "wide", "wide-wanted", "wide-sides", "rest-pairs")
+        return edges
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row."""

@@ -40,6 +40,12 @@ def test_groups_of_borderline_copies(make):
     same(rows, hd.near_duplicates(make(rows)))
 
 
+def test_without_broadcasts(make, monkeypatch):
+    monkeypatch.setattr(hd, "BROADCAST_ROWS", 0)
+    rows = varied(2, 3, 15, 8)
+    same(rows, hd.near_duplicates(make(rows)))
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     same([tuple(r) for r in docs.select("doc_id", "text").collect()], hd.near_duplicates(docs))

@@ -40,6 +40,14 @@ def test_ledger_scans_each_blob_once(spark):
     assert again.count() == 1 and s.rule_version(other) != s.rule_version(s.RULES) and len(findings.first()["spans"]) > 3
 
 
+def test_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(s, "BROADCAST_ROWS", 0)
+    rows = [(str(i), TEXT if i % 3 else f"secret: abcdefghijkl{i}") for i in range(30)]
+    findings, ledger = s.scan(spark.createDataFrame(rows, "path string, text string"))
+    assert ledger.count() == 11
+    assert {r["path"]: [tuple(x) for x in r["spans"]] for r in findings.collect()} == {p: brute(t) for p, t in rows}
+
+
 def test_digest_columns_and_empty_table(spark):
     df = spark.createDataFrame([(1, TEXT, "x"), (2, "", "y")], "path long, text string, blob string")
     rows = {r["doc_id"]: r for r in s.digest_columns(s.scan(df)[0]).collect()}
