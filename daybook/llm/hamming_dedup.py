@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import bounded_batches
 from daybook.llm.components import components
-from daybook.scratch import Scratch, small
+from daybook.scratch import Scratch, is_at_most, small
 
 CHUNKS = 16
 RADIUS = 2 * CHUNKS - 1
@@ -249,18 +249,18 @@ class NearDuplicates:
     def _from_texts(self, ids: DataFrame, names: list[str], types: str, columns, name: str) -> DataFrame:
         """(cid, columns) of the classes listed in ids, made from the texts of their smallest documents."""
         wanted = self.scratch.save(self.classes.join(ids.select("cid").distinct(), "cid").select("cid", "rep_id", "n_shingles", "f1", "f2"), f"{name}-wanted")
-        reps = wanted.select("rep_id").distinct()
-        texts = self.rows.join(small(reps, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
+        few = is_at_most(wanted, BROADCAST_ROWS)
+        sized = F.broadcast if few else lambda df: df
+        texts = self.rows.join(sized(wanted.select("rep_id").distinct()), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
         made = texts.mapInArrow(_over_sets(self.size, names, columns), f"{_SET_KEYS.format(kind=self.kind)}, {types}")
         same = [F.col("s.rep_id").eqNullSafe(F.col("w.rep_id")), *(F.col(f"s.{c}") == F.col(f"w.{c}") for c in ("n_shingles", "f1", "f2"))]
-        made = made.alias("s").join(small(wanted, BROADCAST_ROWS).alias("w"), same).select("w.cid", *(f"s.{c}" for c in names))
-        return self.scratch.save(made, name)
+        return made.alias("s").join(sized(wanted).alias("w"), same).select("w.cid", *(f"s.{c}" for c in names))
 
     def _confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (u, v) of classes whose full sets are similar enough."""
         pairs = self.scratch.save(pairs, f"{name}-pairs")
         ids = pairs.select(F.col("u").alias("cid")).unionAll(pairs.select(F.col("v").alias("cid")))
-        sets = self._from_texts(ids, ["shingles"], "shingles binary", _set_column, f"{name}-sets")
+        sets = self.scratch.save(self._from_texts(ids, ["shingles"], "shingles binary", _set_column, f"{name}-sets"), f"{name}-sets")
         u = sets.select(F.col("cid").alias("u"), F.col("shingles").alias("su"))
         v = sets.select(F.col("cid").alias("v"), F.col("shingles").alias("sv"))
         # Repeated rows give a class the same set twice, so pairs may repeat here; edges are made distinct later.
@@ -276,7 +276,7 @@ class NearDuplicates:
 
     def _mixed(self, listed: DataFrame, edges: DataFrame, name: str) -> DataFrame:
         """(key, cid, rep, root, home) under keys that hold several components of edges; home is the largest of the key."""
-        roots = self.scratch.save(components(edges, self.scratch, f"{name}-stars"), f"{name}-roots")
+        roots = components(edges, self.scratch, f"{name}-stars")
         rows = listed.join(roots, listed.cid == roots.node, "left").select("key", "cid", "rep", F.coalesce("root", "cid").alias("root"))
         rows = self.scratch.save(rows, f"{name}-rooted")
         by_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -309,12 +309,12 @@ class NearDuplicates:
         rest = outside.join(a, "a_cid").alias("l").join(others.join(b, "b_cid").alias("r"), untested & near)
         rest = rest.select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")).distinct()
         edges = edges.unionAll(self._confirmed(rest, "rest"))
-        self.scratch.drop("second-mixed", "wide", "wide-wanted", "wide-sides", "rest-pairs")
+        self.scratch.drop("second-mixed", "wide-wanted", "wide-sides", "rest-pairs")
         return edges
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row."""
-        roots = self.scratch.save(components(self.links(), self.scratch, "last"), "last-roots")
+        roots = components(self.links(), self.scratch, "last")
         of = self.classes.join(roots, self.classes.cid == roots.node, "left").select(
             "n_shingles", "f1", "f2", "rep_id", "members", F.coalesce("root", "cid").alias("root"), F.col("root").isNotNull().alias("linked")
         )
