@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from daybook.llm.common import bounded_batches, table
 from daybook.scratch import Scratch, small
 
-#: Share of a document that its language must explain, and rows of a list of ids that may be broadcast.
+#: Share of a document that its languages together must explain, and rows of a list of ids that may be broadcast.
 LEAST_SHARE, BROADCAST_ROWS = 0.3, 500_000
 
 
@@ -55,7 +55,7 @@ def _decided(spark: SparkSession, decisions: DataFrame, label: str) -> DataFrame
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those without text or letters, or that no language explains, go."""
+    """Documents in some language or mixture; those without text or letters, or that no languages explain, go."""
     from daybook.llm.language_mixture import detect, fit, selected
 
     bounded_batches(spark)

@@ -154,5 +154,7 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
 
 
 def selected(docs: DataFrame, least: float, found: str = "found") -> DataFrame:
-    """Rows whose detected language (the struct of `detect` in column `found`) isn't `und` and explains a share."""
-    return docs.where((F.col(found)["lang"] != UNDETERMINED) & (F.col(found)["score"] >= least))
+    """Rows whose detected language (the struct of `detect` in column `found`) isn't `und` and whose languages together,
+    which is all but the background, explain at least this share of the text."""
+    explained = F.aggregate(F.col(found)["languages"], F.lit(0.0), lambda total, x: total + x["share"])
+    return docs.where((F.col(found)["lang"] != UNDETERMINED) & (explained >= least))

@@ -54,3 +54,17 @@ def test_repeated_ids_and_clashing_columns(spark):
     assert sorted(repr(r["doc_id"]) for r in p.near(spark, kept, DATA).collect()) == ["1", "4", "None"]
     assert p.decontaminated(spark, kept, DATA).count() == 3
     assert p.language(spark, kept, DATA).columns == docs.columns
+
+
+def test_even_mixtures_of_languages_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    parts = {}
+    for r in docs.where("n_chars between 1500 and 2500").orderBy("doc_id").collect():
+        parts.setdefault(r["lang"], []).append(r["text"][:800])
+    mixed = [(-k - 1, "\n".join(four)) for k, four in enumerate(zip(*(parts[lang][:10] for lang in ("de", "en", "es", "fr")), strict=True))]
+    noise = (-99, "qxzj wvkq " * 200)
+    docs = docs.unionByName(spark.createDataFrame([*mixed, noise], "doc_id long, text string"), allowMissingColumns=True)
+    model = lm.fit(docs)
+    assert sum(model.infer(t)[1] < p.LEAST_SHARE for _, t in mixed) > 0
+    assert sum(share for _, share in model.infer(noise[1])[2]) < p.LEAST_SHARE
+    assert {r[0] for r in p.language(spark, docs, DATA).where("doc_id < 0").select("doc_id").collect()} == {d for d, _ in mixed}
