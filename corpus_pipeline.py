@@ -4,7 +4,7 @@ STAGES lists them in order; each function takes (spark, docs, sf_dir) and return
 and read again as the next one's docs. All but the last return the columns of documents; the last returns the packed
 pieces. run() applies them to the documents of a folder.
 
-Rows that repeat with one id, or have none, are told apart only where ids don't suffice (see _without).
+Rows that repeat with one id, or have none, are decided one by one (see _kept).
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from daybook.llm.common import bounded_batches, table
 from daybook.scratch import Scratch, small
@@ -30,28 +29,21 @@ def _free(docs: DataFrame, name: str) -> str:
     return name
 
 
-def _without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """docs less the documents whose ids are decided (doc_id, keep) not to stay.
+def _kept(spark: SparkSession, docs: DataFrame, label: str, decide: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """docs less the rows that are decided not to stay; decide: from docs and its id column to (doc_id, keep) of each row.
 
-    Usually ids are unique, and dropped ones, which are few, are joined away. If some id repeats or is null, as many
-    of its rows stay as were decided to, the longest texts first, rows of equal content being alike.
+    Usually ids are unique and identify the rows. If some id repeats or is null, rows are decided by a number instead,
+    which is written with them and follows the order of the ids, null ones last. Dropped rows are joined away.
     """
-    other, stay, nth = (_free(docs, x) for x in ("other_id", "stay", "nth"))
-    dropped = decisions.where(~F.col("keep")).select(F.col("doc_id").alias(other)).distinct()
-    repeated = decisions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("keep").cast("long")).alias("stay"))
-    repeated = repeated.where("n > 1 or doc_id is null").select(F.col("doc_id").alias(other), F.col("stay").alias(stay))
-    if repeated.limit(1).count() == 0:
-        return docs.join(small(dropped, BROADCAST_ROWS), F.col("doc_id") == F.col(other), "left_anti")
-    same = F.col("doc_id").eqNullSafe(F.col(other))
-    single = docs.join(repeated, same, "left_anti").join(small(dropped, BROADCAST_ROWS), F.col("doc_id") == F.col(other), "left_anti")
-    content = F.xxhash64(F.to_json(F.struct(*(docs[c] for c in docs.columns))))
-    order = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), content)
-    several = docs.join(repeated, same).withColumn(nth, F.row_number().over(order))
-    return single.unionByName(several.where(F.col(nth) <= F.col(stay)).select(*docs.columns))
-
-
-def _decided(spark: SparkSession, decisions: DataFrame, label: str) -> DataFrame:
-    return Scratch(spark, label).save(decisions, "decisions")
+    scratch = Scratch(spark, label)
+    number, other = (_free(docs, x) for x in ("row_number", "other_id"))
+    columns, id_col = docs.columns, "doc_id"
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").limit(1).count():
+        ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+        docs, id_col = scratch.save(ordered.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
+    decisions = scratch.save(decide(docs, id_col), "decisions")
+    dropped = decisions.where(~F.col("keep")).select(F.col("doc_id").alias(other))
+    return docs.join(small(dropped, BROADCAST_ROWS), F.col(id_col) == F.col(other), "left_anti").select(*columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,23 +60,23 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     from daybook.llm.exact_dedup import exact_dedup
 
-    return _without(docs, _decided(spark, exact_dedup(docs).select("doc_id", F.col("kept").alias("keep")), "exact"))
+    return _kept(spark, docs, "exact", lambda rows, key: exact_dedup(rows, key).select("doc_id", F.col("kept").alias("keep")))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id."""
     from daybook.llm.hamming_dedup import near_duplicates
 
-    found = near_duplicates(docs).select("doc_id", F.col("kept").alias("keep"))
-    return _without(docs, _decided(spark, found, "near"))
+    return _kept(spark, docs, "near", lambda rows, key: near_duplicates(rows, key).select("doc_id", F.col("kept").alias("keep")))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     from daybook.llm.decontaminate import decontaminate
 
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, _decided(spark, found.select("doc_id", (F.size("spans") == 0).alias("keep")), "decontaminated"))
+    items = table(spark, sf_dir, "benchmark")
+    clean = (F.size("spans") == 0).alias("keep")
+    return _kept(spark, docs, "decontaminated", lambda rows, key: decontaminate(rows, items, key).select("doc_id", clean))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,15 @@ def test_even_mixtures_of_languages_stay(spark):
     assert sum(model.infer(t)[1] < p.LEAST_SHARE for _, t in mixed) > 0
     assert sum(share for _, share in model.infer(noise[1])[2]) < p.LEAST_SHARE
     assert {r[0] for r in p.language(spark, docs, DATA).where("doc_id < 0").select("doc_id").collect()} == {d for d, _ in mixed}
+
+
+def test_decisions_hold_for_rows_that_share_an_id_or_have_none(spark):
+    passage = max((r[0] for r in spark.read.parquet(f"{DATA}/benchmark.parquet").select("text").collect()), key=len)
+    base = " ".join(f"word{k}" for k in range(60))
+    unique = [f"{x}one {x}two {x}three {x}four {x}five {x}six" for x in "abc"]
+    for stage, first, longer in ((p.exact, base, base), (p.near, base, base + " more"), (p.decontaminated, "another text", base + " " + passage)):
+        rows = [(0, first, 0), (1, longer, 1), (1, unique[0], 2), (None, longer, 3), (None, unique[1], 4), (2, unique[2], 5)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, row_number int").repartition(3)
+        kept = stage(spark, docs, DATA)
+        assert kept.columns == docs.columns
+        assert sorted((r["text"], r["row_number"]) for r in kept.collect()) == sorted([(first, 0), (unique[0], 2), (unique[1], 4), (unique[2], 5)])
