@@ -14,7 +14,8 @@ is decided by how many there are of each length:
 3. A piece finds its place from its length and its number among the pieces of that length.
 
 A weight is the share of sequences that its capacity would need by itself; a capacity that the token capacity implies
-(as many documents as tokens, the square of the tokens) can't bind and weighs nothing.
+(as many documents as tokens, the square of the tokens) can't bind and weighs only among classes that are equal
+otherwise, which leaves the number of sequences as it is.
 
 Tokens are those of the tokenizers library with its defaults, special strings inside a text included. Where the file
 proves to be byte-level BPE whose merges are in the order of their ids, texts of settled characters without special
@@ -157,8 +158,8 @@ def plan(
     """
     capacity = np.array([tokens, documents, cost], np.float64)
     need = np.array([sum(n * c for n, c in counts.items()), sum(counts.values()), sum(n * n * c for n, c in counts.items())]) / capacity
-    weight = need / max(need.max(), 1e-300)
-    weight *= [True, documents < tokens, cost < tokens * tokens]
+    share = need / max(need.max(), 1e-300)
+    weight = share * [True, documents < tokens, cost < tokens * tokens]
     if not weight.any():
         weight[0] = 1.0
     #: Residual (tokens, documents, cost) to [first sequence, sequences] runs.
@@ -172,12 +173,10 @@ def plan(
         fits = np.flatnonzero((residual >= vector).all(axis=1))
         if len(fits):
             r = residual[fits]
-            if rule == "norm":
-                score = (weight * ((r - vector) / capacity) ** 2).sum(axis=1)
-            else:
-                score = -(weight * (vector / capacity) * (1 - r / capacity)).sum(axis=1)
+            part = ((r - vector) / capacity) ** 2 if rule == "norm" else -(vector / capacity) * (1 - r / capacity)
+            score, tie = (weight * part).sum(axis=1), (share * part).sum(axis=1)
             # A sequence that has taken a piece is, for more of the same, at least as good as before: fill each in turn.
-            queue = [keys[fits[i]] for i in np.lexsort((r[:, 0], score))]
+            queue = [keys[fits[i]] for i in np.lexsort((tie, r[:, 0], score))]
         else:
             queue = []
         fresh = (tokens, documents, cost)

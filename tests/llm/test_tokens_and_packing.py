@@ -128,3 +128,11 @@ def test_pack(spark, make):
         s.sort()
         assert [o for o, _ in s] == [sum(n for _, n in s[:i]) for i in range(len(s))] and sum(n for _, n in s) <= 2048
     assert vp.pack(make([]), BYTES).count() == 0
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_capacities_that_tokens_imply_settle_ties(rule):
+    # Two sequences are left with 6 tokens, by 26 + 8 (more cost used) and 17 + 17, the one that is opened to that first.
+    placements, made = vp.plan({26: 1, 17: 2, 8: 1, 5: 1}, 40, 40, 1600, rule)
+    place = {n: first for n, _, _, first, _, _ in placements.tolist()}
+    assert made == 2 and place[5] == place[26] != place[17]
