@@ -58,14 +58,20 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "scan-all":
         days, rows, bad = quality.scan_summary(counts[a.layer]).first()
         print(f"days={days} rows={rows} dup_days={bad}")
-        quality.duplicate_days(counts[a.layer]).orderBy("dt").show(1000, False)
+        for r in quality.duplicate_days(counts[a.layer]).orderBy("dt").toLocalIterator():
+            print(f"  {r['dt']}: rows={r['rows']} distinct={r['distinct_ids']} dup={r['dup']}")
         return 0
     wanted = lake.manifests().select("dt", "silverRows", "goldRows")
     differing = quality.against_manifests(counts["silver"], counts["gold"], wanted).orderBy("layer", "dt")
     without = quality.without_manifest(counts["silver"], counts["gold"], wanted).orderBy("dt")
-    differing.show(1000, False)
-    without.show(1000, False)
-    return int(bool(differing.take(1) or without.take(1)))
+    bad = 0
+    for r in differing.toLocalIterator():
+        print(f"  {r['layer']} {r['dt']}: table rows={r['rows']} distinct={r['distinct_ids']} / manifest={r['want']}")
+        bad = 1
+    for r in without.toLocalIterator():
+        print(f"  {r['dt']}: no manifest")
+        bad = 1
+    return bad
 
 
 if __name__ == "__main__":

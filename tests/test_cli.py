@@ -1,6 +1,12 @@
 import json
+import re
+
+import pandas as pd
+from pyspark.sql import functions as F
 
 from daybook.__main__ import main
+from daybook.operators import quality
+from daybook.sources.store import Lake
 
 
 def test_commands(spark, tmp_path, capsys):
@@ -16,3 +22,27 @@ def test_commands(spark, tmp_path, capsys):
     assert capsys.readouterr().out.strip() == "2026-09-21: rows=1 distinct=1 dup=0"
     assert main([*roots, "status", "2026-09-21"]) == 0 and json.loads(capsys.readouterr().out)["status"] == "done"
     assert main([*roots, "health-check"]) == 1
+
+
+def test_lists_of_days_are_whole(spark, tmp_path, capsys, monkeypatch):
+    n = 1100
+    days = [f"{d:%Y-%m-%d}" for d in pd.date_range("2020-01-01", periods=n)]
+    counts = spark.createDataFrame([(d, 3, 2, 1) for d in days], "dt string, rows long, distinct_ids long, dup long")
+    monkeypatch.setattr(quality, "per_day", lambda rows: counts)
+    monkeypatch.setattr(Lake, "read", lambda self, table: None)
+    lake = ["--lake", str(tmp_path / "lake")]
+
+    def listed(*command):
+        capsys.readouterr()
+        code = main([*lake, *command])
+        return code, [d for line in capsys.readouterr().out.splitlines() for d in re.findall(r"\d{4}-\d\d-\d\d", line)]
+
+    assert listed("scan-all") == (0, days)
+    assert listed("verify-all") == (1, days)
+    manifests = counts.select("dt", F.lit(2).cast("long").alias("silverRows"), F.lit(3).cast("long").alias("goldRows"))
+    monkeypatch.setattr(Lake, "manifests", lambda self: manifests)
+    assert listed("verify-all") == (1, [*days, *days])
+    same = counts.select("dt", F.lit(2).cast("long").alias("rows"), F.lit(2).cast("long").alias("distinct_ids"), F.lit(0).cast("long").alias("dup"))
+    monkeypatch.setattr(quality, "per_day", lambda rows: same)
+    monkeypatch.setattr(Lake, "manifests", lambda self: manifests.withColumn("goldRows", F.col("silverRows")))
+    assert listed("verify-all") == (0, [])
