@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch: with texts of any length a Python worker holds a few MB at a time.
-BATCH_ROWS, BATCH_BYTES = "1000", "4194304"
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound what Spark sends to a Python worker at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+def spread(rows: DataFrame) -> DataFrame:
+    """A file scan dealt over all cores where its few files would keep most of them idle; a larger one stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """Bound what Spark sends to a Python worker at a time, for the jobs that run inside; the session's own settings come back."""
+    before = {k: v for k, v in dict(spark.conf.getAll).items() if k in BATCHES}
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in BATCHES:
+            if key in before:
+                spark.conf.set(key, before[key])
+            else:
+                spark.conf.unset(key)
 
 
 def fold(doc_id: Column, parts: int) -> Column:
