@@ -7,7 +7,8 @@
 3. Verification: exact counts and exact winners of the reported digests, pre-aggregated on the map side; a false
    candidate falls out here. At most `heavy` winners remain, which is the bound of the broadcast.
 4. Rows of verified heavy digests get their winner map-side from the broadcast and are never shuffled. All other
-   rows go through one ordinary shuffle by digest, whose groups are now small.
+   digests go through an ordinary shuffle: their winners are pre-aggregated on the map side, and joined back to the rows
+   (a join that adaptive execution can split, whatever the size of the largest digest that is left).
 
 Defined cases: a null text counts as the empty text, and all empty texts are one group. Ties in length go to the
 smallest id; a null id comes after all others; of rows equal in both, the first one read stays, alone. An empty
@@ -18,7 +19,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from daybook.scratch import Scratch
 
@@ -80,13 +80,14 @@ def exact_dedup(
         (F.col("row") == F.col("best.d")).alias("kept"),
         "text_sha256",
     )
-    group = Window.partitionBy("text_sha256")
-    ranked = group.orderBy(F.col("n_chars").desc(), F.col("doc_id").asc_nulls_last(), "row")
-    rest = thin.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti").select(
+    light = thin.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti")
+    best = light.groupBy("text_sha256").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    alone = F.col("group_size").isNull()
+    rest = light.join(best, "text_sha256", "left").select(
         "doc_id",
-        F.first("doc_id").over(ranked).alias("keep_id"),
-        F.count(F.lit(1)).over(group).alias("group_size"),
-        (F.row_number().over(ranked) == 1).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("best.c")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("row") == F.col("best.d"))).alias("kept"),
         "text_sha256",
     )
-    return hot.unionByName(rest)
+    return scratch.result(hot.unionByName(rest))

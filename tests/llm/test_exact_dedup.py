@@ -2,6 +2,7 @@ import hashlib
 import re
 
 from daybook.llm.exact_dedup import exact_dedup, heavy_candidates
+from daybook.scratch import Scratch
 
 
 def brute(rows):
@@ -40,6 +41,8 @@ def test_empty_and_clashing_columns(spark, make):
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup(rows).collect()} == {(1, 1, True), (2, 1, False)}
 
 
-def test_native(make):
-    plan = exact_dedup(make(ROWS))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+def test_native(make, monkeypatch):
+    plans, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or save(self, df, name))
+    exact_dedup(make(ROWS))
+    assert len(plans) == 3 and not any(x in p for p in plans for x in ("Python", "Arrow", "Pandas"))
