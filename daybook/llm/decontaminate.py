@@ -1,18 +1,21 @@
-"""Benchmark decontamination by a prefix-filtered join with exact verification over item-sized windows.
+"""Benchmark decontamination by a prefix-filtered set join with exact verification over item-sized windows.
 
 A window is `window` consecutive words of a benchmark item (an item with fewer words is one window). A document's
 word is hit if it lies in an occurrence of a window.
 
-1. Shingles: a window holds its 5-word shingles (one shingle of all its words if it has fewer). A document can hold
-   the window only if it holds every one of them, so for exact containment a prefix of one shingle is necessary.
-2. Rarity: one scan counts, over all documents, in how many of them each item shingle occurs. Each window keeps its
-   rarest shingle as prefix; a window whose rarest shingle occurs nowhere is gone.
-3. Join: a second scan looks the documents' shingles up among the prefixes. A match at position p of the prefix with
-   offset o proposes the window at p - o, if it starts inside the document (positional bound) and ends inside it
-   (length bound). The proposed window is then compared word by word.
+1. Items become a table of distinct windows, each with the hashes of its 5-word shingles (one shingle of all its words
+   if it has fewer). A document can hold a window only if it holds every one of them.
+2. One scan of the documents keeps what can matter: runs of words covered by shingles that a Bloom filter of all item
+   shingles lets pass, in chunks of CHUNK positions with enough words around them to verify any window. The filter is
+   bounded, whatever the number of items (see listed.py); past its bound more chunks pass, none is lost.
+3. Rarity: occurrences of each item shingle in those chunks, which are all its occurrences. For exact containment a
+   prefix of one shingle is necessary: each window keeps its rarest, and is gone if that occurs nowhere.
+4. Join: chunk positions meet the prefixes by hash. A match at position p with offset o proposes the window at p - o, if
+   it begins inside the chunk (positional bound) and ends inside it (length bound); its words are then compared.
 
-The benchmark side is broadcast in blocks of items, each of a bounded number of words, however many items there are;
-documents are never shuffled. With several blocks a document's hits are merged by its position in the input.
+The windows' tables are broadcast where counts of their rows and bytes prove them small; otherwise the same joins are
+shuffled, chunk positions without their words, which are joined back to what is proposed. The driver holds the filter
+only, and documents are scanned once in either way.
 
 Defined cases: null text has no words and is never hit; null items likewise; a null item id counts as the empty
 text; equal ids count once; repeated documents are rows like others; empty tables give no hits. Texts are whole, and
@@ -21,20 +24,24 @@ batches are cut between documents by size, so that long ones only make their own
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from daybook.llm.common import bounded_batches, parts_of
+from daybook.llm.listed import filter_of, passes
 from daybook.scratch import Scratch
 
 WINDOW, SHINGLE = 10, 5
-#: Item words of a block; about 100 bytes of index each.
-BLOCK_WORDS = 250_000
+#: Positions of a chunk.
+CHUNK = 64
+#: Rows and bytes of a table of windows that may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 1 << 25
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes to words: A-Z become lower-case, other ASCII but 0-9 and a-z separates, all else belongs to words.
 _TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -45,243 +52,172 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
-class Index:
-    """Windows of a block of items."""
-
-    def __init__(self, items: list[tuple[str | None, bytes | None]], window: int = WINDOW, shingle: int = SHINGLE):
-        #: Word to number from 1; 0 stands for words that no item has.
-        self.ids: dict[bytes, int] = {}
-        holders: dict[tuple[int, ...], set[str]] = {}
-        for item_id, text in items:
-            numbers = [self.ids.setdefault(w, len(self.ids) + 1) for w in words_of(text or b"")]
-            if numbers:
-                size = min(window, len(numbers))
-                for i in range(len(numbers) - size + 1):
-                    holders.setdefault(tuple(numbers[i : i + size]), set()).add(item_id or "")
-        self.windows = [np.array(w, np.int32) for w in holders]
-        self.items = [sorted(i) for i in holders.values()]
-        self.shingle = shingle
-        #: Shingle size to the sorted hashes of all item shingles of that size.
-        self.shingles: dict[int, np.ndarray] = {}
-        of: dict[int, list[np.ndarray]] = {}
-        for w in self.windows:
-            of.setdefault(min(shingle, len(w)), []).append(self.hashes(w, min(shingle, len(w))))
-        self.shingles = {s: np.unique(np.concatenate(h)) for s, h in of.items()}
-        self.prefix: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-
-    @staticmethod
-    def hashes(numbers: np.ndarray, size: int) -> np.ndarray:
-        """A hash of each run of so many numbers."""
-        n = len(numbers) - size + 1
-        out = np.zeros(max(n, 0), np.uint64)
-        for i in range(size if n > 0 else 0):
-            out = (out + numbers[i : i + n].astype(np.uint64)) * _FACTOR
-            out ^= out >> np.uint64(29)
-        return out
-
-    def at(self, numbers: np.ndarray, size: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of runs of item words whose hash is among the sorted hashes, and which hash it is."""
-        known = np.concatenate(([0], np.cumsum(numbers > 0)))
-        at = np.flatnonzero(known[size:] - known[:-size] == size) if len(numbers) >= size else np.zeros(0, np.int64)
-        if not len(at) or not len(among):
-            return at[:0], at[:0]
-        # Only positions whose words all belong to items are hashed.
-        out = np.zeros(len(at), np.uint64)
-        for i in range(size):
-            out = (out + numbers[at + i].astype(np.uint64)) * _FACTOR
-            out ^= out >> np.uint64(29)
-        which = np.minimum(np.searchsorted(among, out), len(among) - 1)
-        same = among[which] == out
-        return at[same], which[same]
-
-    def choose(self, frequency: dict[tuple[int, int], int]) -> None:
-        """Keep each window under its rarest shingle; frequency: (size, hash) to documents, absent: none."""
-        chosen: dict[int, list[tuple[int, int, int]]] = {}
-        for k, w in enumerate(self.windows):
-            size = min(self.shingle, len(w))
-            hashes = self.hashes(w, size).tolist()
-            rarity, h, offset = min((frequency.get((size, h), 0), h, o) for o, h in enumerate(hashes))
-            if rarity:
-                chosen.setdefault(size, []).append((h, k, offset))
-        self.prefix = {}
-        for size, rows in chosen.items():
-            rows.sort()
-            hashes = np.array([r[0] for r in rows], np.uint64)
-            first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
-            bounds = np.concatenate((first, [len(rows)]))
-            self.prefix[size] = (hashes[first], bounds, np.array([r[1:] for r in rows], np.int64))
-
-    def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all texts, a 0 after each text, and where each text begins (one more: the end)."""
-        get, out, begin = self.ids.get, [], [0]
-        for text in texts:
-            if text:
-                out += [get(w, 0) for w in words_of(text)]
-            out.append(0)
-            begin.append(len(out))
-        return np.array(out, np.int32), np.array(begin, np.int64)
-
-    def frequencies(self, texts: list[bytes | None]) -> dict[tuple[int, int], int]:
-        """In how many of the texts each item shingle occurs."""
-        numbers, begin = self.numbers(texts)
-        found: dict[tuple[int, int], int] = {}
-        for size, among in self.shingles.items():
-            at, which = self.at(numbers, size, among)
-            doc = np.searchsorted(begin, at, "right") - 1
-            once = np.unique(doc * len(among) + which) % max(len(among), 1)
-            for h, n in zip(*np.unique(once, return_counts=True), strict=True):
-                found[(size, int(among[h]))] = int(n)
-        return found
-
-    def matches(self, texts: list[bytes | None]) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[str]]]:
-        """Words, hit spans (word positions, end exclusive) and items of each text."""
-        numbers, begin = self.numbers(texts)
-        edge = np.zeros(len(numbers) + 1, np.int64)
-        items: list[set[str]] = [set() for _ in texts]
-        for size, (among, bounds, rows) in self.prefix.items():
-            at, which = self.at(numbers, size, among)
-            order = np.argsort(which, kind="stable")
-            found, first = np.unique(which[order], return_index=True)
-            for h, positions in zip(found.tolist(), np.split(at[order], first[1:]) if len(found) else (), strict=True):
-                for k, offset in rows[bounds[h] : bounds[h + 1]].tolist():
-                    w, start = self.windows[k], positions - offset
-                    start = start[(start >= 0) & (start + len(w) <= len(numbers))]
-                    # Zeros between texts make a window over two of them unequal.
-                    for i, number in enumerate(w.tolist()):
-                        start = start[numbers[start + i] == number]
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + len(w), -1)
-                    for d in np.unique(np.searchsorted(begin, start, "right") - 1).tolist():
-                        items[d].update(self.items[k])
-        hit = np.concatenate(([0], (np.cumsum(edge[:-1]) > 0).astype(np.int8), [0]))
-        turn = np.diff(hit)
-        spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-        for s, e in zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist(), strict=True):
-            d = int(np.searchsorted(begin, s, "right")) - 1
-            spans[d].append((s - int(begin[d]), e - int(begin[d])))
-        return np.diff(begin) - 1, spans, items
-
-
-def _count(shared):
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of so many words; runs of different sizes differ too."""
+    n = max(0, len(hashes) - size + 1)
+    out = np.full(n, size, np.uint64)
+    for i in range(size):
+        out = (out + hashes[i : i + n]) * _FACTOR
+        out ^= out >> np.uint64(29)
+    out = (out ^ (out >> np.uint64(32))) * _MIX
+    return out ^ (out >> np.uint64(32))
+
+
+_WINDOWS_SQL = "item string, window string, length int, hashes array<long>"
+
+
+def _windows(window: int, shingle: int):
+    """The windows of items (id, text) with their shingles."""
+
     def run(batches):
-        total: dict[tuple[int, int, int], int] = {}
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in parts_of([t or b"" for t in texts]):
-                for block, index in enumerate(shared.value):
-                    for (size, h), n in index.frequencies(texts[a:b]).items():
-                        total[block, size, h] = total.get((block, size, h), 0) + n
-        keys = list(total)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in keys], pa.int32()),
-                pa.array([k[1] for k in keys], pa.int32()),
-                pa.array([k[2] - (1 << 64) if k[2] >> 63 else k[2] for k in keys], pa.int64()),
-                pa.array(list(total.values()), pa.int64()),
-            ],
-            names=["block", "size", "hash", "n"],
-        )
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text or b"")
+                if not words:
+                    continue
+                length, size = min(window, len(words)), min(shingle, len(words))
+                hashes, each = shingle_hashes(word_hashes(words), size).view(np.int64), length - size + 1
+                for a in range(0, len(words) - length + 1, 10_000):
+                    starts = range(a, min(a + 10_000, len(words) - length + 1))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([item] * len(starts), pa.string()), pa.array([b" ".join(words[i : i + length]).decode() for i in starts], pa.string()),
+                            pa.array([length] * len(starts), pa.int32()), pa.array([hashes[i : i + each] for i in starts], pa.list_(pa.int64())),
+                        ],
+                        names=["item", "window", "length", "hashes"],
+                    )
 
     return run
 
 
-_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-_SPANS_SQL = "array<struct<start:int,end:int>>"
+_SCANNED = ("row", "doc_id", "n_words", "first", "words", "at", "hashes")
 
 
-def _match(shared):
+def _scan(shared, sizes: list[int], window: int):
+    """A row for each document with its words, and one for each chunk with its words, positions and shingles."""
+
     def run(batches):
+        filter_, reach = shared.value, window - 1
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for a, b in parts_of([t or b"" for t in texts]):
-                n, spans, items = shared.value.matches(texts[a:b])
+                words, begin = [], [0]
+                for text in texts[a:b]:
+                    words += words_of(text) if text else ()
+                    words.append(b"")  # between texts, so that no run goes over two of them
+                    begin.append(len(words))
+                begin = np.array(begin, np.int64)
+                hashes = word_hashes(words)
+                gaps = np.zeros(len(words) + 1, np.int32)
+                gaps[begin[1:]] = 1
+                gaps = np.cumsum(gaps)
+                covered, at, of = np.zeros(len(words) + 1, np.int32), [], []
+                for size in sizes:
+                    h = shingle_hashes(hashes, size)
+                    # A shingle may not hold the gap behind its text.
+                    found = np.flatnonzero(passes(filter_, h))
+                    found = found[gaps[found] == gaps[found + size]]
+                    covered[found] += 1
+                    covered[found + size] -= 1
+                    at.append(found), of.append(h[found])
+                at, of = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((at, np.int64), (of, np.uint64)))
+                order = np.argsort(at, kind="stable")
+                at, of = at[order], of[order].view(np.int64)
+                turn = np.diff(np.concatenate(([0], (np.cumsum(covered[:-1]) > 0).astype(np.int8), [0])))
+                doc, first, said, places, held = [], [], [], [], []
+                for s, e in zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist(), strict=True):
+                    d = int(np.searchsorted(begin, s, "right")) - 1
+                    for c in range(s, e, CHUNK):
+                        i, j = np.searchsorted(at, (c, min(c + CHUNK, e)))
+                        if i < j:
+                            low = max(s, c - reach)
+                            doc.append(a + d), first.append(low - int(begin[d]))
+                            said.append(b" ".join(words[low : min(e, c + CHUNK + reach)]).decode())
+                            places.append(at[i:j] - low), held.append(of[i:j])
+                n, k = b - a, len(doc)
+                rows = pa.array([*range(a, b), *doc], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(c.slice(a, b - a) for c in batch.columns[:-1]),
-                        pa.array(n, pa.int64()),
-                        pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], _SPANS),
-                        pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                        batch.column(0).take(rows), batch.column(1).take(rows), pa.array([*(np.diff(begin) - 1), *[None] * k], pa.int64()),
+                        pa.array([*[None] * n, *first], pa.int32()), pa.array([*[None] * n, *said], pa.string()),
+                        pa.array([*[None] * n, *places], pa.list_(pa.int32())), pa.array([*[None] * n, *held], pa.list_(pa.int64())),
                     ],
-                    names=[*batch.schema.names[:-1], "n_words", "spans", "items"],
+                    names=list(_SCANNED),
                 )
 
     return run
 
 
-def indexes(
-    items: DataFrame, docs: DataFrame, id_col: str = "item_id", text_col: str = "text", block_words: int = BLOCK_WORDS,
-    window: int = WINDOW, shingle: int = SHINGLE,
-) -> list[Index]:
-    """An index for each block of items, prefixes chosen by the shingles' rarity among docs (doc text: column text)."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    rows = items.select(F.col(id_col).cast("string").alias("id"), F.encode(text_col, "UTF-8").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
-    blocks = max(1, -(-int(size[0] or 0) // (2 * block_words)))
-    parts = [rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k) for k in range(blocks)]
-    found = []
-    for part in parts:
-        index = Index([(r[0], bytes(r[1]) if r[1] is not None else None) for r in part.collect()], window, shingle)
-        if index.windows:
-            shared = spark.sparkContext.broadcast([index])
-            counts = (
-                docs.select(F.encode("text", "UTF-8").alias("text"))
-                .mapInArrow(_count(shared), "block int, size int, hash long, n long")
-                .groupBy("size", "hash").agg(F.sum("n").alias("n"))
-            )
-            # One row for each shingle of the block at most.
-            index.choose({(r[0], r[1] % (1 << 64)): r[2] for r in counts.collect()})
-            shared.destroy()
-            found.append(index)
-    return found
+def _few(df: DataFrame, text: str) -> bool:
+    """Whether df may be broadcast by its rows and the bytes of its text column."""
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    return n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def _spans(found: DataFrame) -> DataFrame:
+    """row, spans: the union of the intervals [start, end) of each row, those that overlap or touch made one."""
+    order = Window.partitionBy("row").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = found.select("row", "start", "end").distinct().withColumn("apart", F.when(F.col("start") <= reach, 0).otherwise(1))
+    runs = runs.withColumn("run", F.sum("apart").over(order)).groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", block_words: int = BLOCK_WORDS, window: int = WINDOW, shingle: int = SHINGLE,
+    item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE,
 ) -> DataFrame:
     """doc_id, n_words, spans (of hit words), items (their ids as sorted text) of every row of docs."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = indexes(items, rows, item_col, item_text_col, block_words, window, shingle) or [Index([])]
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    if len(found) == 1:
-        return rows.select("doc_id", F.encode("text", "UTF-8").alias("text")).mapInArrow(
-            _match(spark.sparkContext.broadcast(found[0])), f"doc_id {kind}, n_words long, spans {_SPANS_SQL}, items array<string>"
-        )
-    # Rows of a document meet again by number; the numbers are written, so that every block sees the same ones.
     scratch = Scratch(spark, "decontaminate")
-    numbered = scratch.save(
-        rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.encode("text", "UTF-8").alias("text")), "numbered"
-    )
-    hits = [
-        scratch.save(
-            numbered.mapInArrow(
-                _match(spark.sparkContext.broadcast(index)),
-                f"row long, doc_id {kind}, n_words long, spans {_SPANS_SQL}, items array<string>",
+    listed = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("id"), F.encode(item_text_col, "UTF-8").alias("text")).distinct()
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    with bounded_batches(spark):
+        held = scratch.save(listed.mapInArrow(_windows(window, shingle), _WINDOWS_SQL), "held")
+        windows = scratch.save(held.groupBy("window", "length").agg(F.first("hashes").alias("hashes")), "windows")
+        hashes = scratch.save(windows.select(F.explode("hashes").alias("hash")).distinct(), "hashes")
+        sizes = sorted({min(shingle, r[0]) for r in windows.select("length").distinct().collect()})
+        shared = spark.sparkContext.broadcast(filter_of(hashes, hashes.count()))
+        scanned = scratch.save(
+            rows.mapInArrow(
+                _scan(shared, sizes, window),
+                f"row long, doc_id {kind}, n_words long, first int, words string, at array<int>, hashes array<long>",
             ),
-            f"hits-{k}",
+            "scanned",
+        )
+        shared.unpersist()
+    chunks = scanned.where("first is not null")
+    rarity = chunks.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    each = windows.select("window", "length", F.posexplode("hashes").alias("offset", "hash")).join(rarity, "hash", "left")
+    rarest = each.groupBy("window", "length").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "offset")).alias("r"))
+    prefixes = scratch.save(rarest.where("r.n > 0").select("window", "length", "r.hash", "r.offset"), "prefixes")
+    listed_at = F.inline(F.arrays_zip("at", "hashes")).alias("at", "hash")
+    if _few(prefixes, "window"):
+        proposed = chunks.select("row", "first", "words", listed_at).join(F.broadcast(prefixes), "hash")
+    else:
+        proposed = chunks.select("row", "first", listed_at).join(prefixes, "hash").join(chunks.select("row", "first", "words"), ["row", "first"])
+    begin, said = F.col("at") - F.col("offset"), F.split("words", " ")
+    inside = (begin >= 0) & (begin + F.col("length") <= F.size(said))
+    same = F.array_join(F.slice(said, begin + 1, F.col("length")), " ") == F.col("window")
+    found = proposed.where(F.when(inside, same).otherwise(F.lit(False)))
+    start = F.col("first") + begin
+    found = scratch.save(found.select("row", start.alias("start"), (start + F.col("length")).alias("end"), "window"), "found")
+    holders = scratch.save(held.select("window", "item").distinct().join(found.select("window").distinct(), "window", "left_semi"), "holders")
+    holders = F.broadcast(holders) if _few(holders, F.concat("window", "item")) else holders
+    of = found.select("row", "window").distinct().join(holders, "window").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    every = scanned.where("first is null").select("row", "doc_id", "n_words")
+    out = every.join(_spans(found), "row", "left").join(of, "row", "left")
+    return scratch.result(
+        out.select(
+            "doc_id", "n_words", F.coalesce("spans", F.expr("cast(array() AS array<struct<start:int,end:int>>)")).alias("spans"),
+            F.coalesce("items", F.expr("cast(array() AS array<string>)")).alias("items"),
         )
-        for k, index in enumerate(found)
-    ]
-    union = reduce(DataFrame.unionByName, hits)
-    merged = union.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return merged.select("doc_id", "n_words", _joined("spans"), "items")
-
-
-def _joined(name: str):
-    """Sorted spans with those that overlap or touch made one."""
-    return F.expr(
-        f"""aggregate({name}, cast(array() AS {_SPANS_SQL}), (acc, s) ->
-              CASE WHEN size(acc) > 0 AND s.start <= element_at(acc, -1).end
-                   THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start,
-                               'end', greatest(element_at(acc, -1).end, s.end))))
-                   ELSE concat(acc, array(named_struct('start', s.start, 'end', s.end))) END)"""
-    ).alias(name)
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
