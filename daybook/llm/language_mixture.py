@@ -7,12 +7,13 @@ kept only if it gains more than PENALTY * log(trigrams) in log-likelihood (trigr
 likelihood counts). A background of equal likelihood for all trigrams takes what no language explains, free of charge.
 
 Learning: of the labelled rows outside the held-out fold, a sample by hash of about `rows_per_language` rows of each
-language (this bound is the parameter; how many rows each language has is counted over all of them). Prediction reads
-nothing but the text, whole.
+language (this bound is the parameter; how many rows each language has is counted over all of them). At most `most`
+languages are learned, those with most labelled rows, which bounds the model whatever a label column holds. Prediction
+reads nothing but the text, whole.
 
 Defined cases: null and texts without a letter get `und` and score 0, and so do all texts if nothing could be learned;
 rows without a language label are not learned from; repeated rows are predicted each; ties go to the language first
-in alphabetical order. Training labels are few by nature: a model is 256 KB for each language.
+in alphabetical order. A model is 256 KB for each language.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import bounded_batches, fold
+from daybook.scratch import Scratch
 
 BITS = 15
-ROWS_PER_LANGUAGE = 3000
+ROWS_PER_LANGUAGE, LANGUAGES = 3000, 200
 PENALTY, ROUNDS, TOLERANCE = 2.0, 25, 1e-3
 UNDETERMINED = "und"
 #: Folds, and the one that is never learned from.
@@ -49,7 +51,7 @@ def trigrams(text: str) -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    #: A row for each language and last the background; probabilities.
+    #: A row for each language and, last, one for the background; probabilities.
     grams: np.ndarray
 
     def _shares(self, n: np.ndarray, p: np.ndarray, total: float) -> tuple[np.ndarray, float]:
@@ -90,40 +92,41 @@ class Model:
         return found[0][1], min(1.0, max(0.0, found[0][0])), [(lang, share) for share, lang in found]
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE, most: int = LANGUAGES) -> Model:
     """Learn from the labelled rows outside the held-out fold."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    # One number for each language.
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.count(F.lit(1))).collect()}
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(most)
+    sizes = sorted((r[0], r[1]) for r in sizes.collect())
     if not sizes:
         return Model([], np.zeros((1, 1 << BITS)))
-    share = {lang: min(1.0, rows_per_language / n) for lang, n in sizes.items()}
+    number = F.create_map(*(F.lit(x) for k, (lang, _) in enumerate(sizes) for x in (lang, k)))[F.col("lang")]
+    share = F.create_map(*(F.lit(x) for lang, n in sizes for x in (lang, min(1.0, rows_per_language / n))))[F.col("lang")]
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    wanted = F.create_map(*(F.lit(x) for pair in share.items() for x in pair))[F.col("lang")]
-    sample = rows.where(drawn < wanted).select("lang", "text")
+    sample = rows.where(drawn < share).select(number.alias("k"), "text")
 
     def count(batches):
-        total: dict[str, np.ndarray] = {}
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 n = trigrams(text)
-                total[lang] = total[lang] + n if lang in total else n
-        for lang, n in total.items():
+                total[k] = total[k] + n if k in total else n
+        for k, n in total.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "gram", "n"]
+                [pa.array(np.full(len(at), k), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["k", "gram", "n"]
             )
 
-    counted = sample.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(counted["lang"].unique())
-    grams = np.full((len(languages) + 1, 1 << BITS), 0.05)
-    for k, lang in enumerate(languages):
-        own = counted[counted["lang"] == lang]
-        grams[k, own["gram"].to_numpy()] += own["n"].to_numpy()
-    return Model(languages, grams / grams.sum(axis=1, keepdims=True))
+    with bounded_batches(spark):
+        # Three numbers for each language and gram at most.
+        counted = sample.mapInArrow(count, "k int, gram int, n long").groupBy("k", "gram").agg(F.sum("n").alias("n")).toArrow()
+    k, gram, n = (counted.column(c).to_numpy() for c in ("k", "gram", "n"))
+    grams = np.full((len(sizes) + 1, 1 << BITS), 0.05)
+    grams[k, gram] += n
+    learned = [i for i in range(len(sizes)) if i in set(k.tolist())]
+    grams = grams[[*learned, len(sizes)]]
+    return Model([sizes[i][0] for i in learned], grams / grams.sum(axis=1, keepdims=True))
 
 
 def detect(model: Model, text: Column, spark) -> Column:
@@ -144,13 +147,13 @@ def detect(model: Model, text: Column, spark) -> Column:
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score, languages of every row; the model is learned from docs if not given."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     model = model or fit(docs, id_col, text_col, lang_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = rows.withColumn("found", detect(model, F.col("text"), spark))
-    return found.select(
+    found = rows.withColumn("found", detect(model, F.col("text"), spark)).select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score", "found.languages"
     )
+    with bounded_batches(spark):
+        return Scratch(spark, "languages").result(found)
 
 
 def selected(docs: DataFrame, least: float, found: str = "found") -> DataFrame:
