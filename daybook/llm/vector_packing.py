@@ -13,9 +13,9 @@ is decided by how many there are of each length:
    number of lengths, not of documents.
 3. A piece finds its place from its length and its number among the pieces of that length.
 
-A weight is the share of sequences that its capacity would need by itself; a capacity that the token capacity implies
-(as many documents as tokens, the square of the tokens) can't bind and weighs only among classes that are equal
-otherwise, which leaves the number of sequences as it is.
+A weight is the share of sequences that its capacity would need by itself, so a capacity weighs as much as it is
+scarce. That holds too for capacities that the token capacity implies (as many documents as tokens, the square of the
+tokens), which can't bind: sequences that have used much of their attention cost are then filled sooner.
 
 Tokens are those of the tokenizers library with its defaults, special strings inside a text included. Where the file
 proves to be byte-level BPE whose merges are in the order of their ids, texts of settled characters without special
@@ -158,10 +158,7 @@ def plan(
     """
     capacity = np.array([tokens, documents, cost], np.float64)
     need = np.array([sum(n * c for n, c in counts.items()), sum(counts.values()), sum(n * n * c for n, c in counts.items())]) / capacity
-    share = need / max(need.max(), 1e-300)
-    weight = share * [True, documents < tokens, cost < tokens * tokens]
-    if not weight.any():
-        weight[0] = 1.0
+    weight = need / max(need.max(), 1e-300)
     #: Residual (tokens, documents, cost) to [first sequence, sequences] runs.
     open_: dict[tuple[int, int, int], list[list[int]]] = {}
     out, made = [], 0
@@ -174,9 +171,8 @@ def plan(
         if len(fits):
             r = residual[fits]
             part = ((r - vector) / capacity) ** 2 if rule == "norm" else -(vector / capacity) * (1 - r / capacity)
-            score, tie = (weight * part).sum(axis=1), (share * part).sum(axis=1)
             # A sequence that has taken a piece is, for more of the same, at least as good as before: fill each in turn.
-            queue = [keys[fits[i]] for i in np.lexsort((tie, r[:, 0], score))]
+            queue = [keys[fits[i]] for i in np.lexsort((r[:, 2], r[:, 1], r[:, 0], (weight * part).sum(axis=1)))]
         else:
             queue = []
         fresh = (tokens, documents, cost)
@@ -238,20 +234,20 @@ def pack(
     `tokens` tokens. tokenizer_file is opened where the tasks run.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     documents, cost = documents or tokens, cost or tokens * tokens
     if rule not in ("norm", "dot"):
         raise ValueError(rule)
     scratch = Scratch(spark, "packing")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    cut = scratch.save(
-        rows.mapInArrow(
-            _cut(tokenizer_file, tokens),
-            f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, rank long",
-        ),
-        "pieces",
-    )
+    with bounded_batches(spark):
+        cut = scratch.save(
+            rows.mapInArrow(
+                _cut(tokenizer_file, tokens),
+                f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, rank long",
+            ),
+            "pieces",
+        )
     by_task = scratch.save(cut.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "counts")
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     based = by_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -262,7 +258,11 @@ def pack(
     ranked = cut.join(based.hint("merge"), ["task", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("rank")).alias("rank")
     )
-    return ranked.mapInArrow(
-        _place(spark.sparkContext.broadcast(placements)),
-        f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
+    shared = spark.sparkContext.broadcast(placements)
+    placed = scratch.result(
+        ranked.mapInArrow(
+            _place(shared), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+        )
     )
+    shared.unpersist()
+    return placed
