@@ -2,13 +2,14 @@
 
 Two facts are proved from the model itself before any text is read:
 
-- Cuts. If no piece of the vocabulary holds the word mark after another character, no merge can ever join what
-  stands before a space to what stands after it, so a text's tokens are those of its words (each with the mark).
+- Cuts. The model's own specification says that it is BPE, that its normaliser has no character map, keeps all white
+  space, writes spaces as the word mark and puts one before the text. If no piece of the vocabulary holds the mark after
+  another character, no merge can then ever join what stands before a space to what stands after it, so a text's
+  tokens are those of its words (each with the mark).
 - Whole tokens. A vocabulary string is in the shortcut only if encoding it alone gives exactly one token.
 
 A word in the shortcut counts 1 at once; the others are merged by the library, once while the worker remembers them.
-If the proof of the cuts fails, or the normaliser changes more than spaces, every text is encoded whole: slower,
-never wrong. Texts whose spaces are doubled, leading, or mixed with the mark itself are cut before runs of marks.
+If the proof of the cuts fails, every text is encoded whole: slower, never wrong. Texts whose spaces are doubled, leading, or mixed with the mark itself are cut before runs of marks.
 
 Defined cases: null counts as the empty text, which has no tokens; nothing is truncated; special strings inside a
 text are ordinary text, as is the library's default; repeated rows are counted each.
@@ -23,12 +24,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import bounded_batches
+from daybook.scratch import Scratch
 
 MARK = "▁"
 #: Words that a worker remembers (two generations of this many); longer words are not remembered.
 REMEMBERED, LONGEST = 200_000, 64
 
 
+def _fields(message: bytes):
+    """(number, value) of the fields of a protocol-buffers message: an int, or bytes."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 127) << shift
+            if byte < 128:
+                return value
+            shift += 7
+
+    while at < len(message):
+        key = varint()
+        number, kind = key >> 3, key & 7
+        if kind == 0:
+            yield number, varint()
+            continue
+        size = {1: 8, 5: 4}.get(kind)
+        size = varint() if size is None else size
+        yield number, message[at : at + size]
+        at += size
+
+
+# Fields of the model file, their defaults, and the values under which words are independent.
+_TRAINER, _NORMALIZER = 2, 3
+_BPE = {3: (1, 2), 24: (0, 0)}  # model_type: BPE; treat_whitespace_as_suffix: no
+_PLAIN = {2: (b"", b""), 3: (1, 1), 4: (1, 0), 5: (1, 1), 6: (b"", b"")}  # charsmap; dummy prefix; extra spaces; escaping; rules
+
+
+def words_are_independent(model: bytes) -> bool:
+    """Whether the specification in a model file lets words be tokenised one by one, as far as the vocabulary allows."""
+    parts = {n: dict(_fields(v)) for n, v in _fields(model) if n in (_TRAINER, _NORMALIZER)}
+    wanted = ((parts.get(_TRAINER, {}), _BPE), (parts.get(_NORMALIZER, {}), _PLAIN))
+    return all(found.get(n, default) == want for found, rules in wanted for n, (default, want) in rules.items())
+
+
 class WholeTokens:
     """The offline proofs for one model."""
 
@@ -39,9 +81,7 @@ class WholeTokens:
             if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i) or processor.is_unused(i))
         ]
         crossing = any(MARK in pieces[i].lstrip(MARK) for i in ordinary)
-        # Strings with what normalisers change: case, compatibility forms, accents, runs of white space.
-        probe = "ﬁ Å é ½  A\t　 b\n ① "
-        self.cuts = not crossing and processor.normalize(probe) == MARK + probe.replace(" ", MARK)
+        self.cuts = not crossing and words_are_independent(processor.serialized_model_proto())
         self.whole: dict[str, int] = {}
         if self.cuts:
             marked = [(i, pieces[i][1:]) for i in ordinary if pieces[i].startswith(MARK) and MARK not in pieces[i][1:]]
@@ -112,7 +152,6 @@ def token_counts(
 
     model_file is opened where the tasks run, so it must be at the same place on every machine.
     """
-    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
@@ -127,4 +166,5 @@ def token_counts(
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     counted = rows.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_tokens long")
-    return counted.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
+    with bounded_batches(docs.sparkSession):
+        return Scratch(docs.sparkSession, "token-counts").result(counted.withColumn("over_limit", F.col("n_tokens") > F.lit(limit)))

@@ -36,6 +36,24 @@ def test_no_cuts_without_proof(monkeypatch):
     assert [counter.count(t) for t in texts(200)] == [len(x) for x in counter.processor.encode(texts(200))]
 
 
+def varint(n):
+    return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+
+def message(*fields):
+    return b"".join(varint(n << 3) + varint(v) if isinstance(v, int) else varint(n << 3 | 2) + varint(len(v)) + v for n, v in fields)
+
+
+def test_the_specification_decides_about_cuts():
+    model = tc.counter(PIECES).processor.serialized_model_proto()
+    assert tc.words_are_independent(model)
+    bpe, plain = (3, 2), (4, 0)
+    good = message((1, message((1, b"piece"))), (2, message(bpe, (4, 300))), (3, message((1, b"identity"), plain)))
+    assert tc.words_are_independent(good)
+    for trainer, normalizer in (([(3, 1)], [plain]), ([], [plain]), ([bpe, (24, 1)], [plain]), ([bpe], []), ([bpe], [plain, (2, b"map")]), ([bpe], [plain, (3, 0)]), ([bpe], [plain, (5, 0)]), ([bpe], [plain, (6, b"rules")])):
+        assert not tc.words_are_independent(message((2, message(*trainer)), (3, message(*normalizer))))
+
+
 def test_remembering_is_bounded(monkeypatch):
     monkeypatch.setattr(tc, "REMEMBERED", 50)
     counter = tc.Counter(PIECES)
@@ -131,8 +149,49 @@ def test_pack(spark, make):
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])
-def test_capacities_that_tokens_imply_settle_ties(rule):
-    # Two sequences are left with 6 tokens, by 26 + 8 (more cost used) and 17 + 17, the one that is opened to that first.
-    placements, made = vp.plan({26: 1, 17: 2, 8: 1, 5: 1}, 40, 40, 1600, rule)
-    place = {n: first for n, _, _, first, _, _ in placements.tolist()}
-    assert made == 2 and place[5] == place[26] != place[17]
+def test_every_capacity_weighs_in_the_choice(rule):
+    """Against a slow version that looks at every sequence for every piece, in the query's proportions of capacities."""
+    rng = random.Random(9)
+    differ = 0
+    for _ in range(40):
+        counts = Counter(rng.randint(1, 40) for _ in range(30))
+        slow, one = (slow_plan(counts, 40, 40, 1600, rule, only_tokens) for only_tokens in (False, True))
+        got = sorted(sorted((n for _, n in s), reverse=True) for s in placed(counts, 40, 40, 1600, rule).values())
+        assert got == sorted(sorted(s, reverse=True) for s in slow)
+        differ += sorted(map(sorted, slow)) != sorted(map(sorted, one))
+    assert differ > 10
+
+
+def slow_plan(counts, tokens, documents, cost, rule, only_tokens):
+    capacity = np.array([tokens, documents, cost], float)
+    vector = lambda n: np.array([n, 1, n * n], float)
+    weight = sum(c * vector(n) for n, c in counts.items()) / capacity
+    weight = np.array([1.0, 0, 0]) if only_tokens else weight / weight.max()
+    sequences = []
+    for n in sorted(counts, reverse=True):
+        left = counts[n]
+        open_ = [(capacity - sum(map(vector, s)), s) for s in sequences]
+        open_ = [(r, s) for r, s in open_ if (r >= vector(n)).all()]
+
+        def score(x):
+            r = x[0]
+            part = ((r - vector(n)) / capacity) ** 2 if rule == "norm" else -(vector(n) / capacity) * (1 - r / capacity)
+            return (weight * part).sum(), *r
+
+        for r, s in sorted(open_, key=score):
+            while left and (r >= vector(n)).all():
+                s.append(n)
+                r, left = r - vector(n), left - 1
+        while left:
+            most = int(min(capacity // vector(n)))
+            sequences.append([n] * min(most, left))
+            left -= min(most, left)
+    return sequences
+
+
+def test_clashing_columns_of_counts_and_packing(spark):
+    df = spark.createDataFrame([(1, "a b", 5, "x", 7, 8, 9, 1.0), (2, None, 6, "y", 7, 8, 9, 2.0)], "doc_id long, text string, n_bytes int, piece string, length int, task int, rank int, base double")
+    assert sorted(tuple(r) for r in tc.token_counts(df, PIECES).select("doc_id", "n_bytes").collect()) == [(1, 3), (2, 0)]
+    got = vp.pack(df, BYTES)
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert sorted((r["doc_id"], r["length"]) for r in got.collect()) == [(1, len(ids("a b")) + 1), (2, 1)]
