@@ -1,18 +1,20 @@
 """WARC archives of pages, compressed with a dictionary of their own (.warc.zst), and their reader.
 
 Each archive begins with its Zstandard dictionary in a skippable frame; every record is then a frame of its own,
-compressed with that dictionary, so that a reader can start at any record. A dictionary is built from the archive's
-own first records: `dictionary_from` bytes of them are held back, the dictionary is trained on records spread evenly
-over these (at most 100 times its size, which is what training can use), and they and all later records of the archive
-are compressed with it. Records too few or too small to train on make an archive without a dictionary frame.
+compressed with that dictionary, so that a reader can start at any record. The dictionary is built from the records
+themselves: distinct payloads are drawn by hash over the whole table, as many as give about `dictionary_from` bytes (100
+times the dictionary's size, which is what training can use; this bound is the parameter), one task trains on them, and
+all archives of the run carry the result. Records too few or too small to train on make archives without a dictionary.
 
 Of equal payloads of at least `smallest` bytes that of the largest page id is the response; the others become revisit
 records, without payload. Payloads are compared by SHA-1 and size: only digests are shuffled, aggregated on the map
-side first, and the list of repeated ones is broadcast where a count proves it small.
+side first. The list of repeated ones is broadcast where a count proves it small; otherwise only payloads that a filter
+says may be listed are shuffled (listed.py).
 
 Archives are written in the shared folder under names that hold the task's attempt, and moved there only when whole;
 the manifest lists those of the attempts that succeeded, so a lost executor or a speculative task leaves nothing that a
-reader would see.
+reader would see. The folder is named as Hadoop names it, so that Spark and the writers mean the same one; a store that
+pyarrow can't open is refused with an error.
 
 Defined cases: null html is the empty payload; a null page id has no id header, is never referred to, and is a
 response where all equal payloads have null ids; rows with the id of the response are responses too; a null url
@@ -35,11 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import bounded_batches
-from daybook.scratch import Scratch, small
+from daybook.llm.listed import joined
+from daybook.scratch import Scratch, qualified
 
 #: The skippable frame that holds a dictionary.
 DICTIONARY_MAGIC = 0x184D2A5D
-DICTIONARY_BYTES, DICTIONARY_FROM = 1 << 16, 1 << 24
+DICTIONARY_BYTES = 1 << 16
+DICTIONARY_FROM = 100 * DICTIONARY_BYTES
 ARCHIVE_BYTES = 1 << 29
 LEVEL = 3
 BROADCAST_ROWS = 200_000
@@ -85,73 +89,71 @@ def record(page_id, url: str | None, payload: bytes | None, size: int, digest: s
 
 
 def train(records: list[bytes], size: int = DICTIONARY_BYTES) -> bytes | None:
-    """A dictionary from records spread evenly over those given, or None if they are too few."""
-    total = sum(map(len, records))
-    step = max(1, -(-total // (100 * size)))
-    sample = records[::step]
+    """A dictionary from some records, or None if they are too few."""
     try:
-        return zstandard.train_dictionary(min(size, max(256, total // 8)), sample).as_bytes()
+        return zstandard.train_dictionary(min(size, max(256, sum(map(len, records)) // 8)), records).as_bytes()
     except zstandard.ZstdError:
         return None
 
 
-class ArchiveWriter:
-    """Writes archives of one task; holds `dictionary_from` bytes of records at most, and one more record."""
+#: Schemes under which pyarrow knows the stores that Hadoop calls so.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
-    def __init__(self, root: str, stem: str, dictionary_from: int = DICTIONARY_FROM, archive_bytes: int = ARCHIVE_BYTES):
-        from pyarrow import fs
 
-        self.files, self.root = fs.FileSystem.from_uri(root)
-        self.stem, self.dictionary_from, self.archive_bytes = stem, dictionary_from, archive_bytes
-        self.done: list[tuple[str, int, int]] = []
-        self._begin()
+def store(root: str):
+    """The pyarrow file system of a folder as Hadoop names it, and the path there."""
+    from pyarrow import fs
+
+    scheme, _, rest = root.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    try:
+        return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+    except pa.ArrowException as error:
+        raise ValueError(f"archives can't be written to or read from {root}: {error}") from error
+
 
-    def _begin(self) -> None:
-        self.held, self.held_bytes, self.out, self.records, self.written = [], 0, None, 0, 0
+class ArchiveWriter:
+    """Writes archives of one task; holds one record at a time."""
+
+    def __init__(self, root: str, stem: str, dictionary: bytes | None, archive_bytes: int = ARCHIVE_BYTES):
+        self.files, self.root = store(root)
+        self.stem, self.dictionary, self.archive_bytes = stem, dictionary, archive_bytes
+        data = zstandard.ZstdCompressionDict(dictionary, zstandard.DICT_TYPE_FULLDICT) if dictionary else None
+        self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_checksum=True)
+        self.done: list[tuple[str, int, int]] = []
+        self.out = None
 
     def add(self, record: bytes) -> None:
-        self.records += 1
-        if self.out is not None:
-            self._compress(record)
-            return
-        self.held.append(record)
-        self.held_bytes += len(record)
-        if self.held_bytes >= self.dictionary_from:
+        if self.out is None:
             self._open()
+        self.records += 1
+        self._compress(record)
+        if self.written >= self.archive_bytes:
+            self.close()
 
     def _open(self) -> None:
-        self.name = f"{self.stem}-{len(self.done):04d}.warc.zst"
+        self.name, self.records, self.written = f"{self.stem}-{len(self.done):04d}.warc.zst", 0, 0
         self.files.create_dir(self.root, recursive=True)
         self.out = self.files.open_output_stream(posixpath.join(self.root, f".{self.name}.part"), compression=None)
-        dictionary = train(self.held)
-        if dictionary:
-            frame = struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary
-            self.out.write(frame)
-            self.written += len(frame)
-        data = zstandard.ZstdCompressionDict(dictionary, zstandard.DICT_TYPE_FULLDICT) if dictionary else None
-        self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_checksum=True)
-        self._compress(_assemble([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _record_id(self.name)), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
-        held, self.held = self.held, []
-        for r in held:
-            self._compress(r)
+        if self.dictionary:
+            self._write(struct.pack("<II", DICTIONARY_MAGIC, len(self.dictionary)) + self.dictionary)
+        about = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", _record_id(self.name)), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")]
+        self._compress(_assemble(about, b"format: WARC File Format 1.1\r\n"))
 
-    def _compress(self, record: bytes) -> None:
-        frame = self.compressor.compress(record)
+    def _write(self, frame: bytes) -> None:
         self.out.write(frame)
         self.written += len(frame)
-        if self.written >= self.archive_bytes:
-            self.close()
+
+    def _compress(self, record: bytes) -> None:
+        self._write(self.compressor.compress(record))
 
     def close(self) -> None:
-        if not self.records:
-            return
-        if self.out is None:
-            self._open()
-        self.out.close()
-        path = posixpath.join(self.root, self.name)
-        self.files.move(posixpath.join(self.root, f".{self.name}.part"), path)
-        self.done.append((self.name, self.records, self.written))
-        self._begin()
+        if self.out is not None:
+            self.out.close()
+            self.files.move(posixpath.join(self.root, f".{self.name}.part"), posixpath.join(self.root, self.name))
+            self.done.append((self.name, self.records, self.written))
+            self.out = None
 
 
 def read_records(stream):
@@ -203,40 +205,68 @@ class _After:
         return self.stream.read(n)
 
 
+def _record_of(row: tuple, number: str) -> bytes:
+    page_id, url, payload, sha1, size, refers_to = row
+    return record(page_id, url, payload, size, base64.b32encode(bytes.fromhex(sha1)).decode(), refers_to, number)
+
+
+def dictionary_of(rows: DataFrame, digests: DataFrame, dictionary_from: int, size: int = DICTIONARY_BYTES) -> bytes | None:
+    """A dictionary trained on about `dictionary_from` bytes of the records; rows as written, digests: their page_id, sha1, size."""
+    distinct = digests.groupBy("sha1", "size").agg(F.max("page_id").alias("page_id")).where("page_id is not null")
+    # With its headers a record has some hundred bytes more.
+    total = distinct.agg(F.sum(F.col("size") + 500)).first()[0] or 0
+    drawn = F.pmod(F.xxhash64("sha1"), F.lit(1 << 40)) / float(1 << 40)
+    picked = distinct.where(drawn < min(1.0, dictionary_from / max(total, 1))).select("page_id").distinct()
+
+    def run(batches):
+        records, held = [], 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # A page id that repeats brings more rows than were drawn.
+                if held < 2 * dictionary_from:
+                    records.append(_record_of(row, ""))
+                    held += len(records[-1])
+        yield pa.RecordBatch.from_arrays([pa.array([train(records, size)], pa.binary())], names=["dictionary"])
+
+    sample = rows.join(F.broadcast(picked), "page_id").repartition(1).sortWithinPartitions("page_id", "sha1")
+    found = sample.select("page_id", "url", "payload", "sha1", "size", F.lit(None).cast(sample.schema["page_id"].dataType)).mapInArrow(run, "dictionary binary").first()
+    return bytes(found[0]) if found and found[0] else None
+
+
 def write_archives(
     pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", smallest: int = 0,
-    dictionary_from: int = DICTIONARY_FROM, archive_bytes: int = ARCHIVE_BYTES,
+    dictionary_from: int = DICTIONARY_FROM, archive_bytes: int = ARCHIVE_BYTES, dictionary_bytes: int = DICTIONARY_BYTES,
 ) -> DataFrame:
-    """Write all pages below root; lazily returns the manifest (archive, records, bytes). Save it once, then use it."""
+    """Write all pages below root; returns the manifest (archive, records, bytes)."""
     spark = pages.sparkSession
-    bounded_batches(spark)
+    scratch, root = Scratch(spark, "warc"), qualified(spark, root)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.select("*", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size"))
-    repeated = (
-        rows.where(F.col("size") >= smallest).groupBy("sha1", "size").agg(F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("sha1", "size", "holder")
-    )
-    repeated = Scratch(spark, "warc").save(repeated, "repeated")
-    rows = rows.join(small(repeated, BROADCAST_ROWS), ["sha1", "size"], "left")
-    rows = rows.select("page_id", "url", "payload", "sha1", "size", F.when(~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder")).alias("refers_to"))
-    rows = rows.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
-
-    def run(batches):
-        task = TaskContext.get()
-        stem = f"pages-{task.partitionId():06d}-{task.taskAttemptId()}"
-        writer, n = ArchiveWriter(root, stem, dictionary_from, archive_bytes), 0
-        for batch in batches:
-            for page_id, url, payload, sha1, size, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-                writer.add(record(page_id, url, payload, size, digest, refers_to, f"{stem}:{n}"))
-                n += 1
-        writer.close()
-        yield pa.RecordBatch.from_pylist(
-            [{"archive": a, "records": r, "bytes": b} for a, r, b in writer.done],
-            schema=pa.schema([("archive", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]),
-        )
-
-    return rows.mapInArrow(run, "archive string, records long, bytes long")
+    digests = scratch.save(rows.select("page_id", "sha1", "size"), "digests")
+    repeated = digests.where(F.col("size") >= smallest).groupBy("sha1", "size").agg(F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n"))
+    repeated = scratch.save(repeated.where("n > 1").select("sha1", "size", "holder"), "repeated")
+
+    with bounded_batches(spark):
+        dictionary = dictionary_of(rows, digests, dictionary_from, dictionary_bytes)
+
+        def run(batches):
+            task = TaskContext.get()
+            stem = f"pages-{task.partitionId():06d}-{task.taskAttemptId()}"
+            writer, n = ArchiveWriter(root, stem, dictionary, archive_bytes), 0
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    writer.add(_record_of(row, f"{stem}:{n}"))
+                    n += 1
+            writer.close()
+            yield pa.RecordBatch.from_pylist(
+                [{"archive": a, "records": r, "bytes": b} for a, r, b in writer.done],
+                schema=pa.schema([("archive", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]),
+            )
+
+        refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder"))
+        rows = joined(rows, repeated, ["sha1", "size"], "left", BROADCAST_ROWS)
+        rows = rows.select("page_id", "url", F.when(refers_to.isNull(), F.col("payload")).alias("payload"), "sha1", "size", refers_to.alias("refers_to"))
+        return scratch.result(rows.mapInArrow(run, "archive string, records long, bytes long"), "manifest")
 
 
 RECORD_SCHEMA = "page_id string, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to string"
@@ -244,12 +274,10 @@ RECORD_SCHEMA = "page_id string, url string, payload binary, payload_bytes long,
 
 def read_archives(manifest: DataFrame, root: str, payloads: bool = True) -> DataFrame:
     """The pages of the listed archives, one row per record; revisits have no payload. Digests are checked."""
-    archives = manifest.count()
+    archives, root = manifest.count(), qualified(manifest.sparkSession, root)
 
     def run(batches):
-        from pyarrow import fs
-
-        files, base = fs.FileSystem.from_uri(root)
+        files, base = store(root)
         schema = pa.schema(
             [("page_id", pa.string()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
              ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string())]
@@ -286,9 +314,10 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", smallest: int = 0) ->
     """Write all pages, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     scratch = Scratch(pages.sparkSession, "warc-archives")
     root = scratch.path("archives")
-    manifest = scratch.save(write_archives(pages, root, id_col, smallest=smallest), "manifest")
+    manifest = write_archives(pages, root, id_col, smallest=smallest)
     kind = pages.select(id_col).schema[0].dataType
-    return read_archives(manifest, root, payloads=False).select(
+    back = read_archives(manifest, root, payloads=False).select(
         F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"),
     )
+    return scratch.result(back)

@@ -3,6 +3,7 @@ import hashlib
 import io
 import struct
 
+import pytest
 import zstandard
 
 from daybook.llm import warc
@@ -53,10 +54,11 @@ def test_small_payloads_are_all_responses(spark):
 def test_dictionary_frame_and_single_records(spark):
     scratch = Scratch(spark, "test")
     root = scratch.path("archives")
-    manifest = scratch.save(warc.write_archives(spark.createDataFrame(PAGES, SCHEMA).coalesce(1), root, archive_bytes=20_000, dictionary_from=60_000), "manifest")
+    pages = spark.createDataFrame(PAGES, SCHEMA).coalesce(1)
+    manifest = warc.write_archives(pages, root, archive_bytes=8_000, dictionary_from=60_000, dictionary_bytes=4096)
     assert manifest.count() > 1
     for row in manifest.collect():
-        data = open(glob.glob(f"{root.removeprefix('file://')}/{row['archive']}")[0], "rb").read()
+        data = open(glob.glob(f"{root.removeprefix('file:')}/{row['archive']}")[0], "rb").read()
         magic, size = struct.unpack("<II", data[:8])
         assert magic == warc.DICTIONARY_MAGIC
         dictionary = zstandard.ZstdCompressionDict(data[8 : 8 + size])
@@ -70,6 +72,24 @@ def test_dictionary_frame_and_single_records(spark):
     assert {int(r["page_id"]): bytes(r["payload"]).decode() for r in back if r["record_type"] == "response"} == {i: h for i, _, h in PAGES if i >= 360}
 
 
+def test_folders_as_spark_names_them(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES[:30], SCHEMA)
+    for root in (f"{tmp_path}/plain", f"file:{tmp_path}/one", f"file://{tmp_path}/three"):
+        manifest = warc.write_archives(pages, root)
+        names = {r["archive"] for r in manifest.collect()}
+        assert names and names == {x.rpartition("/")[2] for x in glob.glob(f"{root.partition(':')[2].replace('//', '') or root}/*.warc.zst")}
+        assert warc.read_archives(manifest, root).count() == 30
+    assert warc.store("file:/a/b")[1] == "/a/b" and warc.store("file:///a/b")[1] == "/a/b"
+    with pytest.raises(ValueError, match="can't be written"):
+        warc.store("unknown://host/folder")
+
+
+def test_long_lists_of_repeated_payloads(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    rows = PAGES + [(900, None, None), (901, "", ""), (None, "u", PAGES[0][2])]
+    assert got(warc.round_trip(spark.createDataFrame(rows, SCHEMA).repartition(3))) == want(rows)
+
+
 def test_too_few_records_make_no_dictionary():
     assert warc.train([b"a"]) is None
     plain = zstandard.ZstdCompressor().compress(warc.record(1, "u", b"x", 1, warc.base32_sha1(b"x"), None, "n"))
