@@ -74,7 +74,7 @@ def ranked(rows: DataFrame, by: str, total: int, keys: int, last: Column | None
     )
 
 
-def propagate(linked: DataFrame, capacity: float, scratch: Scratch, rounds: int = ROUNDS, few: bool = False) -> DataFrame:
+def propagate(linked: DataFrame, capacity: int, scratch: Scratch, rounds: int = ROUNDS, few: bool = False) -> DataFrame:
     """(row, group, members, shard) after propagation; linked: the same, with the shards to begin with.
 
     few: whether the groups are few enough to be broadcast.
@@ -138,7 +138,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_col:
     few = is_at_most(groups, BROADCAST_GROUPS)
     members = rows.select("row", "group").join(F.broadcast(groups) if few else groups, "group")
     linked = scratch.save(members.select("row", "group", "members", begin), "linked")
-    linked = propagate(linked, max(1.0, total / shards), scratch, rounds, few)
+    linked = propagate(linked, max(1, -(-total // shards)), scratch, rounds, few)
     placed = rows.join(linked.select("row", "members", F.col("shard").alias("linked_shard")), "row", "left").select(
         "row", "doc_id", "size", "text_crc32", "group", F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("linked_shard", begin).alias("shard")
     )
@@ -154,6 +154,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_col:
     # A row for each shard at most; each place is in one interval.
     moved = moved.join(F.broadcast(taking), (F.col("place") >= F.col("from")) & (F.col("place") < F.col("until")), "left")
     final = scratch.save(moved.select("row", "doc_id", "size", "text_crc32", "group", F.coalesce("to", "shard").alias("shard")), "final")
-    return ranked(final, "shard", total, shards).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("rank").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "group"
+    return scratch.result(
+        ranked(final, "shard", total, shards).select(
+            "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("rank").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "group"
+        )
     )

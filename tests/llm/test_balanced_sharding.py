@@ -1,3 +1,7 @@
+import functools
+import itertools
+import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -71,3 +75,72 @@ def test_quotas(counts, shards):
     for a, e, s in takes:
         final[s] += e - a
     assert max(final.values()) - min(final.values()) <= 1
+
+
+def cut_pairs(shards_of_groups):
+    """Linked pairs in different shards, each pair of a group being linked."""
+    total = 0
+    for counts in shards_of_groups:
+        n = sum(counts)
+        total += (n * n - sum(c * c for c in counts)) // 2
+    return total
+
+
+def least_cut(sizes, capacities):
+    """The least number of cut pairs of all ways to deal groups of these sizes out over shards of these capacities."""
+
+    @functools.cache
+    def best(k, room):
+        if k == len(sizes):
+            return 0
+        found = math.inf
+        for counts in itertools.product(*(range(min(sizes[k], r) + 1) for r in room)):
+            if sum(counts) == sizes[k]:
+                rest = best(k + 1, tuple(r - c for r, c in zip(room, counts, strict=True)))
+                found = min(found, cut_pairs([counts]) + rest)
+        return found
+
+    return best(0, tuple(capacities))
+
+
+def test_cut_is_near_the_least_possible(make):
+    rng = random.Random(4)
+    for _ in range(3):
+        sizes = [rng.randint(2, 5) for _ in range(6)]
+        rows = [(100 * g + i, f"group {g}") for g, n in enumerate(sizes) for i in range(n)]
+        rows += [(10_000 + i, f"alone {i}") for i in range(rng.randint(12, 20))]
+        got = b.assign(make(rows), shards=3).collect()
+        check(rows, got, 3)
+        texts, by_group = dict(rows), defaultdict(Counter)
+        for r in got:
+            by_group[texts[r["doc_id"]]][r["shard"]] += 1
+        cut = cut_pairs([tuple(c.values()) for c in by_group.values()])
+        before = cut_pairs([Counter(rng.randrange(3) for _ in range(n)).values() for n in sizes])
+        capacities = [len(rows) // 3 + (s < len(rows) % 3) for s in range(3)]
+        # A group at most is cut that need not be, and far less is cut than by dealing rows out.
+        assert cut <= least_cut(tuple(sizes), capacities) + 6 and cut <= before
+
+
+def test_propagation_moves_no_group_apart(spark, make):
+    from pyspark.sql import functions as F
+
+    from daybook.scratch import Scratch
+
+    rows = [(i, i % 30, 6, (i * 7 + i // 30) % 5) for i in range(180)]
+    linked = spark.createDataFrame(rows, "row long, group string, members long, shard int")
+    after = b.propagate(linked, 45, Scratch(spark, "test")).collect()
+    before, now = defaultdict(Counter), defaultdict(Counter)
+    for _, g, _, s in rows:
+        before[str(g)][s] += 1
+    for r in after:
+        now[r["group"]][r["shard"]] += 1
+    assert {r["row"] for r in after} == set(range(180))
+    assert all(cut_pairs([tuple(now[g].values())]) <= cut_pairs([tuple(before[g].values())]) for g in before)
+    assert sum(len(c) == 1 for c in now.values()) >= 0.8 * len(now)
+    assert linked.agg(F.count("row")).first()[0] == 180
+
+
+def test_very_long_texts(make):
+    rows = [(1, "é" * 2_000_000), (2, "é" * 2_000_000), (3, "short")]
+    got = {r["doc_id"]: r for r in b.assign(make(rows), shards=2).collect()}
+    assert got[1]["size"] == 4_000_016 and got[1]["text_crc32"] == zlib.crc32(rows[0][1].encode()) and got[1]["shard"] == got[2]["shard"]
