@@ -9,14 +9,15 @@ has a probability of about 1e-5, and of nearly nothing at higher ones.
   chunk is therefore listed under its four keys with one minimum left out, which enumerates all allowed errors: two
   chunks within one error share a key. All pairs within RADIUS share a key, so none is lost.
 - Stars first. Under each key all classes are compared with the smallest one: as many pairs as rows, whatever the
-  size of the group. What is confirmed is contracted to components. Then, under keys that still hold several
-  components, classes outside the largest are compared with one class inside it, another one under each key, and what
-  that confirms is contracted too.
+  size of the group. What is confirmed is contracted to components.
 - Then the rest. Under keys that still hold several components, classes outside the key's largest component are
   compared with all classes of other components. Pairs inside one component are never formed, which spares the
   square of a large group of copies, and nothing is capped: every pair within RADIUS is compared or already connected.
-  The classes involved here get a wide signature of WIDE two-bit minima, whose distance at a similarity of 0.75 is
-  above WIDE_RADIUS with a probability of about 1e-6, and a pair is formed under the first key that it shares only.
+- How many comparisons the rest takes is counted before. If they are more than PER_ROW for each row of the listing, they
+  are made fewer first: under keys that still hold several components, classes outside the largest are compared with
+  one class inside it, another one under each key, and what that confirms is contracted too. Then the classes involved
+  get a wide signature of WIDE two-bit minima, whose distance at a similarity of 0.75 is above WIDE_RADIUS with a
+  probability of about 1e-6, and a pair is formed under the first key that it shares only.
 - All rounds test size and distance inside the join and confirm the survivors on their full sets, recomputed from
   the texts of the documents involved.
 
@@ -35,15 +36,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import bounded_batches
+from daybook.llm.common import bounded_batches, spread
 from daybook.llm.components import components
-from daybook.scratch import Scratch, is_at_most, small
+from daybook.llm.listed import joined
+from daybook.scratch import Scratch, small
 
 CHUNKS = 16
 RADIUS = 2 * CHUNKS - 1
 SHINGLE, PERCENT = 5, 75
 #: Rows of a list of ids that may be broadcast.
 BROADCAST_ROWS = 500_000
+#: Comparisons of the last round for each row under a key, beyond which they are prepared for.
+PER_ROW = 8
 _CHUNK = [f"c{i}" for i in range(CHUNKS)]
 WIDE, WIDE_RADIUS = 1024, 251
 _WORD = [f"w{i}" for i in range(WIDE // 32)]
@@ -102,19 +106,23 @@ def wide_signature(distinct: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(pairs, axis=1).view(np.int64)
 
 
+def _sums(distinct: np.ndarray) -> tuple[int, int]:
+    """128 bits that equal sets have in common."""
+    return tuple(int(x.sum(dtype=np.uint64).view(np.int64)) for x in (distinct, _mixed(distinct ^ _FACTOR)))
+
+
 def _describe(size: int):
     def run(batches):
         for batch in batches:
-            n, f1, f2, sig = [], [], [], []
+            n, sums, sig = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, size)
-                n.append(len(s)), f1.append(s.sum(dtype=np.uint64)), f2.append(_mixed(s ^ _FACTOR).sum(dtype=np.uint64))
-                sig.append(signature(s))
+                n.append(len(s)), sums.append(_sums(s)), sig.append(signature(s))
             signed = np.array(sig, np.uint64).reshape(-1, CHUNKS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)),
-                    pa.array(np.array(f2, np.uint64).view(np.int64)), *(pa.array(np.ascontiguousarray(c)) for c in signed.T),
+                    batch.column(0), pa.array(n, pa.int64()), *(pa.array([x[k] for x in sums], pa.int64()) for k in (0, 1)),
+                    *(pa.array(np.ascontiguousarray(c)) for c in signed.T),
                 ],
                 names=["doc_id", "n_shingles", "f1", "f2", *_CHUNK],
             )
@@ -122,18 +130,15 @@ def _describe(size: int):
     return run
 
 
-def _keys(batches):
+def _keys() -> Column:
     """Every chunk under its four keys with one minimum left out: 6 bits say which, 45 hold the other three."""
-    for batch in batches:
-        cid = batch.column(0).to_numpy()
-        out = []
-        for i in range(CHUNKS):
-            c = batch.column(1 + i).to_numpy().view(np.uint64)
-            for j in range(4):
-                shift = _LANE * np.uint64(j)
-                low, high = c & ((np.uint64(1) << shift) - np.uint64(1)), c >> shift >> _LANE
-                out.append((low | high << shift | np.uint64((4 * i + j) << 48)).view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.tile(cid, 4 * CHUNKS))], names=["key", "cid"])
+    keys = []
+    for i, c in enumerate(_CHUNK):
+        for j in range(4):
+            low = F.col(c).bitwiseAND(F.lit((1 << 15 * j) - 1).cast("long"))
+            high = F.shiftleft(F.shiftrightunsigned(c, 15 * (j + 1)), 15 * j)
+            keys.append(low.bitwiseOR(high).bitwiseOR(F.lit((4 * i + j) << 48)))
+    return F.explode(F.array(*keys)).alias("key")
 
 
 def _same(c: str) -> Column:
@@ -171,24 +176,18 @@ def _first_shared(key: Column) -> Column:
     return F.coalesce(*firsts) == F.shiftrightunsigned(key, 48)
 
 
-#: The fixed part of what a Python step over texts returns, and how it is filled.
-_SET_KEYS = "rep_id {kind}, n_shingles long, f1 long, f2 long"
-
-
 def _over_sets(size: int, names: list[str], columns):
-    """A step from (rep_id, text) to the class of each text and the columns made from its set."""
+    """A step from (cid, n_shingles, f1, f2, text) to the class and the columns made from its set, of texts that are the class's."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
-                    pa.array([int(_mixed(s ^ _FACTOR).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()), *columns(sets),
-                ],
-                names=["rep_id", "n_shingles", "f1", "f2", *names],
-            )
+            cid, n, f1, f2, texts = (c.to_pylist() for c in batch.columns)
+            own, sets = [], []
+            for k, text in enumerate(texts):
+                s = shingles(text, size)
+                if (len(s), *_sums(s)) == (n[k], f1[k], f2[k]):
+                    own.append(cid[k]), sets.append(s)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *columns(sets)], names=["cid", *names])
 
     return run
 
@@ -222,14 +221,14 @@ class NearDuplicates:
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT):
         if percent < PERCENT:
             raise ValueError(f"the signatures are laid out for {PERCENT} percent and more")
-        bounded_batches(docs.sparkSession)
         self.size, self.percent = size, percent
-        self.scratch = Scratch(docs.sparkSession, "near-dedup")
+        self.spark = docs.sparkSession
+        self.scratch = Scratch(self.spark, "near-dedup")
         self.rows = docs.select(F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("text"))
         kind = self.rows.schema["doc_id"].dataType.simpleString()
         longs = ", ".join(f"{c} long" for c in ("n_shingles", "f1", "f2", *_CHUNK))
-        self.kind = kind
-        self.docs = self.scratch.save(self.rows.mapInArrow(_describe(size), f"doc_id {kind}, {longs}"), "docs")
+        with bounded_batches(self.spark):
+            self.docs = self.scratch.save(self.rows.mapInArrow(_describe(size), f"doc_id {kind}, {longs}"), "docs")
         classes = (
             self.docs.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2")
             .agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("members"), *(F.first(c).alias(c) for c in _CHUNK))
@@ -239,7 +238,7 @@ class NearDuplicates:
 
     def _listed(self) -> DataFrame:
         """(key, cid, rep): classes under keys that several have, with the key's smallest class."""
-        keys = self.classes.select("cid", *_CHUNK).mapInArrow(_keys, "key long, cid long")
+        keys = spread(self.classes).select(_keys(), "cid")
         several = keys.groupBy("key").agg(F.min("cid").alias("rep"), F.max("cid").alias("last")).where("rep < last")
         return self.scratch.save(keys.join(several.select("key", "rep"), "key"), "listed")
 
@@ -248,25 +247,29 @@ class NearDuplicates:
 
     def _from_texts(self, ids: DataFrame, names: list[str], types: str, columns, name: str) -> DataFrame:
         """(cid, columns) of the classes listed in ids, made from the texts of their smallest documents."""
-        wanted = self.scratch.save(self.classes.join(ids.select("cid").distinct(), "cid").select("cid", "rep_id", "n_shingles", "f1", "f2"), f"{name}-wanted")
-        few = is_at_most(wanted, BROADCAST_ROWS)
-        sized = F.broadcast if few else lambda df: df
-        texts = self.rows.join(sized(wanted.select("rep_id").distinct()), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
-        made = texts.mapInArrow(_over_sets(self.size, names, columns), f"{_SET_KEYS.format(kind=self.kind)}, {types}")
-        same = [F.col("s.rep_id").eqNullSafe(F.col("w.rep_id")), *(F.col(f"s.{c}") == F.col(f"w.{c}") for c in ("n_shingles", "f1", "f2"))]
-        return made.alias("s").join(sized(wanted).alias("w"), same).select("w.cid", *(f"s.{c}" for c in names))
+        wanted = self.classes.join(ids.select("cid").distinct(), "cid").select(F.struct("rep_id").alias("rep"), "cid", "n_shingles", "f1", "f2")
+        wanted = self.scratch.save(wanted, f"{name}-wanted")
+        # Ids within structs, where nulls are equal.
+        texts = joined(self.rows.select(F.struct(F.col("doc_id").alias("rep_id")).alias("rep"), "text"), wanted, ["rep"], "inner", BROADCAST_ROWS)
+        with bounded_batches(self.spark):
+            made = texts.select("cid", "n_shingles", "f1", "f2", "text").mapInArrow(_over_sets(self.size, names, columns), f"cid long, {types}")
+            # Repeated rows give a class the same columns several times; that does no harm.
+            made = self.scratch.save(made, name)
+        self.scratch.drop(f"{name}-wanted")
+        return made
 
     def _confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (u, v) of classes whose full sets are similar enough."""
         pairs = self.scratch.save(pairs, f"{name}-pairs")
-        ids = pairs.select(F.col("u").alias("cid")).unionAll(pairs.select(F.col("v").alias("cid")))
-        sets = self.scratch.save(self._from_texts(ids, ["shingles"], "shingles binary", _set_column, f"{name}-sets"), f"{name}-sets")
+        ids = pairs.select(F.explode(F.array("u", "v")).alias("cid"))
+        sets = self._from_texts(ids, ["shingles"], "shingles binary", _set_column, f"{name}-sets")
         u = sets.select(F.col("cid").alias("u"), F.col("shingles").alias("su"))
         v = sets.select(F.col("cid").alias("v"), F.col("shingles").alias("sv"))
-        # Repeated rows give a class the same set twice, so pairs may repeat here; edges are made distinct later.
-        checked = pairs.join(v, "v").join(u, "u").select("u", "v", "su", "sv").mapInArrow(_confirm(self.percent), "u long, v long")
-        edges = self.scratch.save(checked, f"{name}-edges")
-        self.scratch.drop(f"{name}-sets", f"{name}-sets-wanted")
+        # With repeated rows pairs may repeat here; edges are made distinct later.
+        with bounded_batches(self.spark):
+            checked = pairs.join(v, "v").join(u, "u").select("u", "v", "su", "sv").mapInArrow(_confirm(self.percent), "u long, v long")
+            edges = self.scratch.save(checked, f"{name}-edges")
+        self.scratch.drop(f"{name}-sets", f"{name}-pairs")
         return edges
 
     def _near(self, pairs: DataFrame) -> DataFrame:
@@ -281,7 +284,40 @@ class NearDuplicates:
         rows = self.scratch.save(rows, f"{name}-rooted")
         by_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         home = by_root.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("home"), F.count(F.lit(1)).alias("roots"))
-        return self.scratch.save(rows.join(home.where("roots > 1").select("key", "home"), "key"), f"{name}-mixed")
+        mixed = self.scratch.save(rows.join(home.where("roots > 1").select("key", "home"), "key"), f"{name}-mixed")
+        self.scratch.drop(f"{name}-rooted")
+        return mixed
+
+    @staticmethod
+    def _many(mixed: DataFrame) -> bool:
+        """Whether the last round would compare more than PER_ROW pairs for each row under its keys."""
+        by_key = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("root") != F.col("home")).alias("outside"))
+        rows, pairs = by_key.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("outside"))).first()
+        return bool(rows) and pairs > PER_ROW * rows
+
+    def _untested(self, mixed: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+        """Pairs under a key of a class outside its home and one of another component that the stars haven't compared, with columns of both."""
+        outside = mixed.where("root <> home").select("key", F.col("cid").alias("a_cid"), F.col("root").alias("a_root"), "rep").join(a, "a_cid")
+        others = mixed.select("key", F.col("cid").alias("b_cid"), F.col("root").alias("b_root"), (F.col("root") == F.col("home")).alias("b_home")).join(b, "b_cid")
+        untested = (
+            (F.col("l.key") == F.col("r.key")) & (F.col("a_root") != F.col("b_root"))
+            & (F.col("b_home") | (F.col("a_cid") < F.col("b_cid"))) & (F.col("a_cid") != F.col("rep")) & (F.col("b_cid") != F.col("rep"))
+        )
+        return outside.alias("l").join(others.alias("r"), untested)
+
+    def _rest(self, mixed: DataFrame) -> DataFrame:
+        """The last round where it compares few pairs."""
+        ids = self.classes.select("cid")
+        pairs = self._untested(mixed, ids.withColumnRenamed("cid", "a_cid"), ids.withColumnRenamed("cid", "b_cid"))
+        return self._near(pairs.select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")))
+
+    def _wide_rest(self, mixed: DataFrame) -> DataFrame:
+        """The last round behind a wide signature."""
+        wide = self._from_texts(mixed, _WORD, ", ".join(f"{w} long" for w in _WORD), _wide_columns, "wide").dropDuplicates(["cid"])
+        wide = self.scratch.save(self.classes.select("cid", "n_shingles", *_CHUNK).join(wide, "cid"), "wide-sides")
+        a, b = (wide.select(*(F.col(c).alias(p + c) for c in wide.columns)) for p in ("a_", "b_"))
+        near = _sizes_allow(self.percent) & _within_wide_radius() & _first_shared(F.col("l.key"))
+        return self._untested(mixed, a, b).where(near).select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")).distinct()
 
     def links(self) -> DataFrame:
         """(u, v): confirmed links between classes, enough of them to connect every two linked classes."""
@@ -289,28 +325,16 @@ class NearDuplicates:
         stars = listed.where("cid <> rep").select(F.col("rep").alias("u"), F.col("cid").alias("v"))
         edges = self._confirmed(self._near(stars), "star")
         mixed = self._mixed(listed, edges, "first")
-        home = mixed.where("root = home").groupBy("key").agg(F.min_by("cid", F.xxhash64("cid", "key")).alias("centre"))
-        stars = mixed.where("root <> home").join(home, "key").select(F.least("cid", "centre").alias("u"), F.greatest("cid", "centre").alias("v"))
-        edges = edges.unionAll(self._confirmed(self._near(stars), "home"))
-        mixed = self._mixed(mixed.select("key", "cid", "rep"), edges, "second")
-        self.scratch.drop("listed", "star-pairs", "home-pairs", "first-rooted", "first-mixed", "second-rooted")
-        wide = self._from_texts(mixed, _WORD, ", ".join(f"{w} long" for w in _WORD), _wide_columns, "wide").dropDuplicates(["cid"])
-        wide = self.scratch.save(self.classes.select("cid", "n_shingles", *_CHUNK).join(wide, "cid"), "wide-sides")
-        a, b = (wide.select(*(F.col(c).alias(p + c) for c in wide.columns)) for p in ("a_", "b_"))
-        outside = mixed.where("root <> home").select("key", F.col("cid").alias("a_cid"), F.col("root").alias("a_root"), "rep")
-        others = mixed.select(
-            "key", F.col("cid").alias("b_cid"), F.col("root").alias("b_root"), (F.col("root") == F.col("home")).alias("b_home")
-        )
-        untested = (
-            (F.col("l.key") == F.col("r.key")) & (F.col("a_root") != F.col("b_root"))
-            & (F.col("b_home") | (F.col("a_cid") < F.col("b_cid"))) & (F.col("a_cid") != F.col("rep")) & (F.col("b_cid") != F.col("rep"))
-        )
-        near = _sizes_allow(self.percent) & _within_wide_radius() & _first_shared(F.col("l.key"))
-        rest = outside.join(a, "a_cid").alias("l").join(others.join(b, "b_cid").alias("r"), untested & near)
-        rest = rest.select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")).distinct()
-        edges = edges.unionAll(self._confirmed(rest, "rest"))
-        self.scratch.drop("second-mixed", "wide-wanted", "wide-sides", "rest-pairs")
-        return edges
+        self.scratch.drop("listed")
+        if self._many(mixed):
+            home = mixed.where("root = home").groupBy("key").agg(F.min_by("cid", F.xxhash64("cid", "key")).alias("centre"))
+            stars = mixed.where("root <> home").join(home, "key").select(F.least("cid", "centre").alias("u"), F.greatest("cid", "centre").alias("v"))
+            edges = edges.unionAll(self._confirmed(self._near(stars), "home"))
+            mixed = self._mixed(mixed.select("key", "cid", "rep"), edges, "second")
+            rest = self._wide_rest(mixed)
+        else:
+            rest = self._rest(mixed)
+        return edges.unionAll(self._confirmed(rest, "rest"))
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row."""
@@ -323,7 +347,7 @@ class NearDuplicates:
         named = self.scratch.save(named, "named")
         out = self.docs.select("doc_id", "n_shingles", "f1", "f2").join(small(named, BROADCAST_ROWS), ["n_shingles", "f1", "f2"], "left")
         out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        return self.scratch.result(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -8,6 +8,7 @@ from brute import benchmark_brute, near_brute
 
 from daybook.llm import decontaminate as dc
 from daybook.llm import hamming_dedup as hd
+from daybook.llm import listed
 from daybook.llm.components import components
 from daybook.scratch import Scratch
 
@@ -40,6 +41,19 @@ def test_groups_of_borderline_copies(make):
     same(rows, hd.near_duplicates(make(rows)))
 
 
+def test_with_many_comparisons(make, monkeypatch):
+    monkeypatch.setattr(hd, "PER_ROW", 0)
+    rows = varied(7, 5, 30, 12)
+    same(rows, hd.near_duplicates(make(rows)))
+
+
+def test_near_copies_without_ids(make):
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(None, text), (None, text + " more"), (None, "more " + text), (4, "another text of six words"), (4, text + " x y"), (4, text + " x y")]
+    got = hd.near_duplicates(make(rows)).collect()
+    assert sorted((repr(r["doc_id"]), r["component_id"]) for r in got) == [("4", 4)] * 3 + [("None", 4)] * 3
+
+
 def test_without_broadcasts(make, monkeypatch):
     monkeypatch.setattr(hd, "BROADCAST_ROWS", 0)
     rows = varied(2, 3, 15, 8)
@@ -47,8 +61,10 @@ def test_without_broadcasts(make, monkeypatch):
 
 
 def test_documents(spark):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    same([tuple(r) for r in docs.select("doc_id", "text").collect()], hd.near_duplicates(docs))
+    """Whole tables, the larger one by the query that DuckDB checks too: no link is missed."""
+    for data in (DATA, "/root/testdata/sf0.01"):
+        docs = spark.read.parquet(f"{data}/documents.parquet")
+        same([tuple(r) for r in docs.select("doc_id", "text").collect()], hd.near_duplicates(docs))
 
 
 def test_near_edge_cases(spark, make):
@@ -64,22 +80,21 @@ def test_near_edge_cases(spark, make):
         hd.near_duplicates(make([]), percent=50)
 
 
-def test_every_pair_within_the_radius_shares_a_key():
-    import pyarrow as pa
-
+def test_every_pair_within_the_radius_shares_a_key(spark):
     rng = np.random.default_rng(3)
-    for _ in range(200):
+    rows = []
+    for k in range(200):
         a = rng.integers(0, 1 << 14, 4 * hd.CHUNKS)
         b = a.copy()
         for i in rng.choice(len(a), hd.RADIUS, replace=False):
             b[i] ^= rng.integers(1, 1 << 14)
-        words = [np.bitwise_or.reduce(x.reshape(hd.CHUNKS, 4).astype(np.uint64) << (hd._LANE * np.arange(4, dtype=np.uint64)), axis=1).view(np.int64) for x in (a, b)]
-        batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), *(pa.array([int(words[0][i]), int(words[1][i])]) for i in range(hd.CHUNKS))], names=["cid", *hd._CHUNK])
-        (out,) = hd._keys([batch])
-        keys = {0: set(), 1: set()}
-        for k, c in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
-            keys[c].add(k)
-        assert keys[0] & keys[1]
+        for x in (a, b):
+            words = np.bitwise_or.reduce(x.reshape(hd.CHUNKS, 4).astype(np.uint64) << (hd._LANE * np.arange(4, dtype=np.uint64)), axis=1)
+            rows.append((k, *words.view(np.int64).tolist()))
+    keys = spark.createDataFrame(rows, "k long, " + ", ".join(f"{c} long" for c in hd._CHUNK)).select("k", hd._keys())
+    assert keys.count() == 400 * 4 * hd.CHUNKS
+    shared = keys.groupBy("k", "key").count().where("count > 1").select("k").distinct()
+    assert shared.count() == 200
 
 
 def test_components_of_a_long_path(spark):
@@ -90,14 +105,18 @@ def test_components_of_a_long_path(spark):
 
 
 ITEMS = [(1, "The quick brown fox jumps over the lazy dog again and again today"), (2, "quick brown"), (3, ""), (4, None), (5, "É1-b"), (1, "the of"), (10, "the of")]
-DOCS = [None, "", "the QUICK,brown fox jumps over the lazy dog again", "x the quick brown fox jumps over the lazy dog again and again today the of", "brown quick", "é1_B é1", "of the of the of", "quick " * 1000 + "brown", "no hit here", "no hit here"]
+LONG = " ".join(f"filler{i % 977}" if i % 3000 else "the quick brown fox jumps over the lazy dog again and again today" for i in range(60_000))
+DOCS = [LONG, "the quick brown fox jumps over the lazy dog again " * 40, None, "", "the QUICK,brown fox jumps over the lazy dog again", "x the quick brown fox jumps over the lazy dog again and again today the of", "brown quick", "é1_B é1", "of the of the of", "quick " * 1000 + "brown", "no hit here", "no hit here"]
 
 
-@pytest.mark.parametrize("block_words", [dc.BLOCK_WORDS, 12])
-def test_benchmark_against_brute_force(spark, make, block_words):
+@pytest.mark.parametrize("rows_bound", [dc.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("filter_bits", [listed.FILTER_BITS, 64])
+def test_benchmark_against_brute_force(spark, make, monkeypatch, rows_bound, filter_bits):
+    monkeypatch.setattr(dc, "BROADCAST_ROWS", rows_bound)
+    monkeypatch.setattr(listed, "FILTER_BITS", filter_bits)
     rows = list(enumerate(DOCS))
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = {r["doc_id"]: r for r in dc.decontaminate(make(rows), items, block_words=block_words).collect()}
+    got = {r["doc_id"]: r for r in dc.decontaminate(make(rows), items).collect()}
     want = benchmark_brute(DOCS, ITEMS)
     assert len(got) == len(rows)
     for i, (n, hit, found) in enumerate(want):
@@ -117,5 +136,7 @@ def test_benchmark_documents(spark):
 def test_benchmark_edge_cases(spark, make):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert dc.decontaminate(make([]), items).count() == 0
+    clash = spark.createDataFrame([(1, "the of", 1, 2, "w", "i", 3)], "doc_id long, text string, row int, first int, words string, items string, n_words int")
+    assert [(r["n_words"], list(r["items"])) for r in dc.decontaminate(clash, items).collect()] == [(2, ["1", "10"])]
     got = dc.decontaminate(make([(1, "the of"), (1, "the of"), (None, "the of")]), items.limit(0)).collect()
     assert [len(r["spans"]) for r in got] == [0, 0, 0] and {r["n_words"] for r in got} == {2}
