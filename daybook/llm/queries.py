@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import table
+from daybook.llm.common import spread, table
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,20 +17,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.warc import round_trip
 
-    return round_trip(table(spark, sf_dir, "pages"))
+    return round_trip(spread(table(spark, sf_dir, "pages")))
 
 
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from daybook.llm.secret_ledger import digest_columns, scan
+    from daybook.llm.secret_ledger import digest_columns, scan_in_runs
 
-    findings, _ = scan(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text"))
-    return digest_columns(findings)
+    return digest_columns(scan_in_runs(spread(table(spark, sf_dir, "documents")), path_col="doc_id"))
 
 
 def op3_balanced_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.balanced_sharding import assign
 
-    return assign(table(spark, sf_dir, "documents"), shards=40).drop("group")
+    return assign(spread(table(spark, sf_dir, "documents")), shards=40).drop("group")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,13 +37,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from daybook.llm.token_counts import token_counts
 
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op6_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.fm_quality import fit, scored
 
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return scored(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -53,13 +52,13 @@ def op7_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from daybook.llm.vector_packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
+    return pack(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
 
 
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.language_mixture import identify
 
-    return identify(table(spark, sf_dir, "documents")).select(
+    return identify(spread(table(spark, sf_dir, "documents"))).select(
         "doc_id", "held_out", "lang_pred", "score", F.to_json("languages").alias("languages")
     )
 
@@ -67,13 +66,13 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.hamming_dedup import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(spread(table(spark, sf_dir, "documents")))
 
 
 def op10_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.decontaminate import decontaminate, digest_columns
 
-    return digest_columns(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return digest_columns(decontaminate(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES = {

@@ -4,8 +4,9 @@ Every version of every path is addressed by the SHA-256 of its content. The ledg
 version) that has been scanned, with what was found. A run scans one copy of each blob that the ledger lacks for the
 rules at hand, adds those rows, and joins the findings back to all paths and versions that hold the blob.
 
-Texts are not shuffled unless they must be: only blobs that occur more than once or that the ledger knows decide
-which rows are scanned; that list is broadcast where a count proves it small, and joined by a shuffle otherwise.
+Texts are hardly shuffled: only blobs that occur more than once or that the ledger knows decide which rows are scanned;
+that list is broadcast where a count proves it small, and otherwise only texts that a filter says may be listed are
+shuffled (listed.py). The ledger is as large as it is: only its addresses are compared with a run's.
 
 Defined cases: a null text counts as the empty text; null paths and repeated rows are paths like others; a blob
 without secrets has a ledger row with no spans; empty tables give empty results. Texts are scanned whole, whatever
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import bounded_batches
+from daybook.llm.listed import joined
 from daybook.scratch import Scratch, small
 
 #: Rows of a list of blobs that may be broadcast (about 100 bytes each).
@@ -108,7 +110,6 @@ def scan(
     them to the ledger that it passes next time.
     """
     spark = history.sparkSession
-    bounded_batches(spark)
     scratch = Scratch(spark, "secret-ledger")
     version = rule_version(rules)
     rows = history.select(F.col(path_col).alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -123,26 +124,43 @@ def scan(
         listed = several
     else:
         seen = ledger.where(F.col("rule_version") == version).select("blob", "rule_version", "spans")
-        known = seen.select("blob").distinct().withColumn("seen", F.lit(True))
+        # Of the ledger, only the blobs that this history holds.
+        known = seen.select("blob").join(paths.select("blob").distinct(), "blob", "left_semi").distinct().withColumn("seen", F.lit(True))
         listed = several.drop("seen").join(known, "blob", "full_outer").select(
             "blob", "scanned_at", F.coalesce("seen", F.lit(False)).alias("seen")
         )
-    listed = scratch.save(listed, "listed").withColumn("listed", F.lit(True))
-    unseen = (
-        rows.join(small(listed, BROADCAST_ROWS), "blob", "left")
-        .where(F.col("listed").isNull() | (~F.col("seen") & F.col("path").eqNullSafe(F.col("scanned_at"))))
-        .select("blob", "text")
-    )
-    scanned = scratch.save(unseen.mapInArrow(_scan(rules, version), LEDGER_SCHEMA), "scanned")
+    listed = scratch.save(listed.withColumn("listed", F.lit(True)), "listed")
+    with bounded_batches(spark):
+        unseen = (
+            joined(rows, listed, ["blob"], "left", BROADCAST_ROWS)
+            .where(F.col("listed").isNull() | (~F.col("seen") & F.col("path").eqNullSafe(F.col("scanned_at"))))
+            .select("blob", "text")
+        )
+        scanned = scratch.save(unseen.mapInArrow(_scan(rules, version), LEDGER_SCHEMA), "scanned")
     # The same path may be there twice with the same content.
     fresh = scratch.save(scanned.groupBy("blob", "rule_version").agg(F.first("spans").alias("spans")), "fresh")
-    hits = seen.unionByName(fresh).where(F.size("spans") > 0).select("blob", "spans")
-    findings = paths.join(small(hits, BROADCAST_ROWS), "blob", "left").select(
-        "path", "blob", F.coalesce("spans", F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")).alias("spans")
-    )
+    hits = scratch.save(seen.unionByName(fresh).where(F.size("spans") > 0).select("blob", "spans"), "hits")
+    none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
+    findings = paths.join(small(hits, BROADCAST_ROWS), "blob", "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
+    findings = scratch.save(findings, "findings")
+    scratch.drop("paths", "listed", "scanned", "hits")
     return findings, fresh
 
 
+def scan_in_runs(
+    history: DataFrame, runs: int = 2, rules: tuple[Rule, ...] = RULES, path_col: str = "path", text_col: str = "text"
+) -> DataFrame:
+    """The findings of a history that arrives in so many runs, dealt by hash of the path: each adds to the ledger, and the
+    next one scans only what it lacks."""
+    run_of = F.pmod(F.xxhash64(path_col), F.lit(runs))
+    ledger, found = None, None
+    for k in range(runs):
+        findings, fresh = scan(history.where(run_of == k), ledger, rules, path_col, text_col)
+        ledger = fresh if ledger is None else ledger.unionByName(fresh)
+        found = findings if found is None else found.unionByName(findings)
+    return found
+
+
 def digest_columns(findings: DataFrame) -> DataFrame:
     """doc_id, counts by kind, and all spans as kind:start:end text with its SHA-256."""
     said = F.array_join(

@@ -48,6 +48,23 @@ def test_without_broadcasts(spark, monkeypatch):
     assert {r["path"]: [tuple(x) for x in r["spans"]] for r in findings.collect()} == {p: brute(t) for p, t in rows}
 
 
+def test_runs_scan_only_what_the_ledger_lacks(spark, monkeypatch):
+    rows = [(i if i % 7 else None, TEXT if i % 3 == 0 else f"secret: abcdefghijkl{i % 20}" if i % 3 == 1 else None) for i in range(90)]
+    scanned = []
+    scan = s.scan
+
+    def counted(*args):
+        out = scan(*args)
+        scanned.append({r["blob"] for r in out[1].collect()})
+        return out
+
+    monkeypatch.setattr(s, "scan", counted)
+    found = s.scan_in_runs(spark.createDataFrame(rows, "path long, text string"), 3)
+    assert sorted(map(repr, ((r["path"], [tuple(x) for x in r["spans"]]) for r in found.collect()))) == sorted(map(repr, ((p, brute(t or "")) for p, t in rows)))
+    blobs = {hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows}
+    assert len(scanned) == 3 and sum(map(len, scanned)) == len(blobs) and set.union(*scanned) == blobs
+
+
 def test_digest_columns_and_empty_table(spark):
     df = spark.createDataFrame([(1, TEXT, "x"), (2, "", "y")], "path long, text string, blob string")
     rows = {r["doc_id"]: r for r in s.digest_columns(s.scan(df)[0]).collect()}
