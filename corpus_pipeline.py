@@ -14,8 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import bounded_batches, table
-from daybook.scratch import Scratch, small
+from daybook.llm.common import bounded_batches, spread, table
+from daybook.llm.listed import joined
+from daybook.scratch import Scratch
 
 #: Share of a document that its languages together must explain, and rows of a list of ids that may be broadcast.
 LEAST_SHARE, BROADCAST_ROWS = 0.3, 500_000
@@ -32,25 +33,24 @@ def _free(docs: DataFrame, name: str) -> str:
 def _kept(spark: SparkSession, docs: DataFrame, label: str, decide: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """docs less the rows that are decided not to stay; decide: from docs and its id column to (doc_id, keep) of each row.
 
-    Usually ids are unique and identify the rows. If some id repeats or is null, rows are decided by a number instead,
-    which is written with them and follows the order of the ids, null ones last. Dropped rows are joined away.
+    Usually ids are unique and identify the rows. If some id repeats or is null, rows go under keys of their own instead:
+    the id (null ones last) and a number, which are written with them. Dropped rows are joined away; where they are too
+    many to be broadcast, only rows that a filter says may be among them are shuffled.
     """
     scratch = Scratch(spark, label)
-    number, other = (_free(docs, x) for x in ("row_number", "other_id"))
-    columns, id_col = docs.columns, "doc_id"
+    columns, key = docs.columns, _free(docs, "row_key")
+    id_col = "doc_id"
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").limit(1).count():
-        ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-        docs, id_col = scratch.save(ordered.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
-    decisions = scratch.save(decide(docs, id_col), "decisions")
-    dropped = decisions.where(~F.col("keep")).select(F.col("doc_id").alias(other))
-    return docs.join(small(dropped, BROADCAST_ROWS), F.col(id_col) == F.col(other), "left_anti").select(*columns)
+        numbered = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"))
+        docs, id_col = scratch.save(docs.withColumn(key, numbered), "numbered"), key
+    dropped = scratch.save(decide(docs, id_col).where(~F.col("keep")).select(F.col("doc_id").alias(id_col)), "dropped")
+    return joined(docs, dropped, [id_col], "left_anti", BROADCAST_ROWS).select(*columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some language or mixture; those without text or letters, or that no languages explain, go."""
     from daybook.llm.language_mixture import detect, fit, selected
 
-    bounded_batches(spark)
     name = _free(docs, "found")
     found = docs.withColumn(name, detect(fit(docs), F.col("text"), spark))
     return selected(found, LEAST_SHARE, name).select(*docs.columns)
@@ -102,7 +102,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        with bounded_batches(spark):
+            docs = scratch.save(stage(spark, docs, sf_dir), name)
+        scratch.drop(*(scratch.names - {name}))
     return docs
