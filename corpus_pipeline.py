@@ -14,9 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import bounded_batches, spread, table
+from daybook.llm.common import bounded_batches, table
 from daybook.llm.listed import joined
 from daybook.scratch import Scratch
+from daybook.session import spread
 
 #: Share of a document that its languages together must explain, and rows of a list of ids that may be broadcast.
 LEAST_SHARE, BROADCAST_ROWS = 0.3, 500_000

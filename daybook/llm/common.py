@@ -16,12 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """A file scan dealt over all cores where its few files would keep most of them idle; a larger one stays as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 @contextmanager
 def bounded_batches(spark: SparkSession) -> Iterator[None]:
     """Bound what Spark sends to a Python worker at a time, for the jobs that run inside; the session's own settings come back."""

@@ -14,7 +14,7 @@ from daybook.scratch import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
@@ -22,14 +22,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    # Of each row its neighbour, and the node itself, hang on the node's least neighbour.
-    pairs = F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
-    return down.join(least, "u").select(pairs).where("u <> v").distinct()
+    hung = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return hung.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether every node either hangs on one other node or has only nodes hanging on it."""
-    ends = edges.select(F.inline(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("hangs")), F.struct(F.col("v").alias("x"), F.lit(0).alias("hangs")))))
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("hangs")).unionAll(edges.select(F.col("v").alias("x"), F.lit(0).alias("hangs")))
     seen = ends.groupBy("x").agg(F.sum("hangs").alias("n"), F.min("hangs").alias("least"))
     return seen.where("n > 1 or (n > 0 and least = 0)").limit(1).count() == 0
 

@@ -36,10 +36,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import bounded_batches, spread
+from daybook.llm.common import bounded_batches
 from daybook.llm.components import components
 from daybook.llm.listed import joined
 from daybook.scratch import Scratch, small
+from daybook.session import spread
 
 CHUNKS = 16
 RADIUS = 2 * CHUNKS - 1
@@ -47,7 +48,7 @@ SHINGLE, PERCENT = 5, 75
 #: Rows of a list of ids that may be broadcast.
 BROADCAST_ROWS = 500_000
 #: Comparisons of the last round for each row under a key, beyond which they are prepared for.
-PER_ROW = 8
+PER_ROW = 2
 _CHUNK = [f"c{i}" for i in range(CHUNKS)]
 WIDE, WIDE_RADIUS = 1024, 251
 _WORD = [f"w{i}" for i in range(WIDE // 32)]
@@ -261,7 +262,7 @@ class NearDuplicates:
     def _confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (u, v) of classes whose full sets are similar enough."""
         pairs = self.scratch.save(pairs, f"{name}-pairs")
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("cid"))
+        ids = pairs.select(F.col("u").alias("cid")).unionAll(pairs.select(F.col("v").alias("cid")))
         sets = self._from_texts(ids, ["shingles"], "shingles binary", _set_column, f"{name}-sets")
         u = sets.select(F.col("cid").alias("u"), F.col("shingles").alias("su"))
         v = sets.select(F.col("cid").alias("v"), F.col("shingles").alias("sv"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import spread, table
+from daybook.llm.common import table
+from daybook.session import spread
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
