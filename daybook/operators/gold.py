@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from daybook.functions.columns import gold_endpoint, gold_uid, listed
 
 KEYS = ("dt", "service", "endpoint", "method")
+_COUNTS = ("requests", "errors_4xx", "errors_5xx")
 
 
 def nearest_rank(share: float, values: str) -> Column:
@@ -31,11 +33,13 @@ def folded(silver: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def _counted() -> list[Column]:
+    return [F.count(F.lit(1)).alias("requests"), *(F.count_if(F.col("status_class") == c).alias(f"errors_{c}") for c in ("4xx", "5xx"))]
+
+
 def daily(silver: DataFrame) -> DataFrame:
-    of = lambda c: F.count_if(F.col("status_class") == c).cast("int")
     rows = folded(silver).groupBy(*KEYS).agg(
-        F.count(F.lit(1)).cast("int").alias("requests"), of("4xx").alias("errors_4xx"), of("5xx").alias("errors_5xx"),
-        F.count("measured").cast("int").alias("requests_measured"), nearest_rank(0.5, "measured").alias("latency_p50"),
+        *_counted(), F.count("measured").alias("requests_measured"), nearest_rank(0.5, "measured").alias("latency_p50"),
         nearest_rank(0.95, "measured").alias("latency_p95"), nearest_rank(0.99, "measured").alias("latency_p99"),
         F.avg("measured").alias("latency_avg"), F.max("measured").alias("latency_max"), listed(F.col("colo")).alias("colos"),
     )
@@ -43,38 +47,36 @@ def daily(silver: DataFrame) -> DataFrame:
 
 
 def _finished(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumns({c: F.col(c).cast("int") for c in (*_COUNTS, "requests_measured")})
     return rows.select(
-        *KEYS, "requests", "errors_4xx", "errors_5xx", error_rate(F.col("errors_4xx") + F.col("errors_5xx"), F.col("requests")).alias("error_rate"),
+        *KEYS, *_COUNTS, error_rate(F.col("errors_4xx") + F.col("errors_5xx"), F.col("requests")).alias("error_rate"),
         "requests_measured", (F.col("requests") - F.col("requests_measured")).alias("requests_zero_latency"), "latency_p50", "latency_p95",
         "latency_p99", "latency_avg", "latency_max", "colos", gold_uid(*(F.col(k) for k in KEYS)).alias("row_uid"),
     )
 
 
 def partial(silver: DataFrame, chunk: Column) -> DataFrame:
-    """Mergeable partial aggregates of each chunk, to be kept and merged later."""
+    """Mergeable partial aggregates of each chunk, to be kept and merged later: counts by latency and colo, one row each.
+
+    Partial aggregates are merged by adding their counts, so any of them may be merged with any others, in any order.
+    """
     rows = folded(silver.withColumn("chunk", chunk), "chunk")
-    return rows.groupBy("chunk", *KEYS).agg(
-        F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status_class") == "4xx").alias("errors_4xx"),
-        F.count_if(F.col("status_class") == "5xx").alias("errors_5xx"), F.sum("measured").alias("latency_sum"),
-        F.max("measured").alias("latency_max"), F.collect_list("measured").alias("latencies"), F.collect_set("colo").alias("colos"),
-    )
+    return rows.groupBy("chunk", *KEYS, "measured", "colo").agg(*_counted())
 
 
 def merged(partials: DataFrame) -> DataFrame:
-    """The daily aggregate of partial ones: sums, maxima, unions, and the percentiles of all latencies together."""
-    rank = lambda p: F.element_at("l", F.greatest(F.lit(1), F.ceil(F.lit(p) * F.size("l"))).cast("int"))
-    rows = partials.groupBy(*KEYS).agg(
-        *(F.sum(c).cast("int").alias(c) for c in ("requests", "errors_4xx", "errors_5xx")), F.sum("latency_sum").alias("latency_sum"),
-        F.max("latency_max").alias("latency_max"), F.array_sort(F.flatten(F.collect_list("latencies"))).alias("l"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("colos")))), ",").alias("colos"),
-    )
-    some = F.size("l") > 0
+    """The daily aggregate of partial ones, in one shuffle; percentiles are read off running counts."""
+    n = F.when(F.col("measured").isNotNull(), F.col("requests")).otherwise(0)
+    group = Window.partitionBy(*KEYS)
+    rows = partials.withColumns({"n": n, "until": F.sum(n).over(group.orderBy("measured")), "all": F.sum(n).over(group)})
+    rank = lambda p: F.min(F.when(F.col("until") >= F.ceil(F.lit(p / 100) * F.col("all")), F.col("measured"))).alias(f"latency_p{p}")
     return _finished(
-        rows.withColumns(
-            {"requests_measured": F.size("l"), "latency_avg": F.when(some, F.col("latency_sum") / F.size("l"))}
-            | {f"latency_p{n}": F.when(some, rank(n / 100)) for n in (50, 95, 99)}
+        rows.groupBy(*KEYS).agg(
+            *(F.sum(c).alias(c) for c in _COUNTS), F.sum("n").alias("requests_measured"), *(rank(p) for p in (50, 95, 99)),
+            F.try_divide(F.sum(F.col("measured") * F.col("n")), F.sum("n")).alias("latency_avg"), F.max("measured").alias("latency_max"),
+            listed(F.col("colo")).alias("colos"),
         )
-    )
+    )
 
 
 def totals(gold: DataFrame) -> DataFrame:
