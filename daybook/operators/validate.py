@@ -17,16 +17,20 @@ _OPTIONAL_NUMBERS = ("request_size", "response_size")
 _OPTIONAL_TEXTS = ("user_id", "cf_ray", "cf_colo", "error_message")
 
 
-def strict_json(line: Column) -> Column:
-    """The line as VARIANT if it is exactly one JSON value, else null.
+def _in_list(line: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
 
-    The parser forgives what follows a value, so the line is parsed within brackets and within an object: only one
-    whole value fits both, and the first then has one element.
+
+def _alone(line: Column, parsed_list: Column) -> Column:
+    """The line as VARIANT if it is exactly one JSON value, else null; parsed_list: what _in_list made of it.
+
+    The parser forgives what follows a value, so the line is parsed within brackets, where the first element must be
+    the only one. Only a line with a closing bracket of its own can end the list early: that one is parsed within an
+    object too, and what fits both is one whole value.
     """
-    in_list = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    one = parsed_list.isNotNull() & F.try_variant_get(parsed_list, "$[1]", "variant").isNull()
     in_object = F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}")))
-    alone = in_object.isNotNull() & (F.size(in_list.cast("array<variant>")) == 1)
-    return F.when(in_list.isNotNull() & alone, F.try_variant_get(in_list, "$[0]", "variant"))
+    return F.when(one & (~F.contains(line, F.lit("]")) | in_object.isNotNull()), F.try_variant_get(parsed_list, "$[0]", "variant"))
 
 
 def _kind(name: str) -> Column:
@@ -56,7 +60,8 @@ def parsed(df: DataFrame) -> DataFrame:
     """df (dt, service, source_key, line_index, line) with its typed columns and reason (null: valid)."""
     texts, numbers = ("timestamp", "endpoint", "method", *_OPTIONAL_TEXTS), ("status", "latency_ms", *_OPTIONAL_NUMBERS)
     # A generator between the steps keeps Catalyst from writing each step out again wherever the next one uses it.
-    df = df.select("*", F.explode(F.array(strict_json(F.col("line")))).alias("_v"))
+    df = df.select("*", F.explode(F.array(_in_list(F.col("line")))).alias("_l"))
+    df = df.select("*", F.explode(F.array(_alone(F.col("line"), F.col("_l")))).alias("_v"))
     field = lambda name, kind: F.try_variant_get(F.col("_v"), f"$.{name}", kind)
     found = [F.schema_of_variant(field(n, "variant")).alias(f"_k_{n}") for n in (*texts, *numbers)]
     found += [field(n, "string").alias(f"_t_{n}") for n in texts] + [field(n, "double").alias(f"_n_{n}") for n in numbers]
