@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import UTC, date, datetime, timedelta
 
-BRONZE = "api-metrics"
+BRONZE, MANIFESTS = "api-metrics", "_state/days"
 
 
 def is_valid_dt(dt: str | None) -> bool:
@@ -66,4 +66,9 @@ def day_prefix(dt: str) -> str:
 
 
 def manifest_key(dt: str) -> str:
-    return f"_state/days/dt={dt}.json"
+    return f"{MANIFESTS}/dt={dt}.json"
+
+
+def quarantine_key(dt: str, source: str) -> str:
+    """Where the refused lines of one source are exported to."""
+    return f"quarantine/{BRONZE}/dt={dt}/{source}.jsonl"

@@ -94,16 +94,19 @@ def missing_objects(listing: DataFrame, read: DataFrame) -> DataFrame:
     return listing.where(F.col("length") > 0).join(read.select("source_key").distinct(), "source_key", "left_anti")
 
 
+# The sentences on what is wrong with a manifest; what follows a colon or "is" is its own.
+MISSING, STATUS, UNVERIFIED = "manifest is missing (the workflow may not have completed)", "status is ", "verify has not run"
+FAILED, SKIPPED = "verify failed: ", "verify was skipped: "
+
+
 def problems(status: Column, verify: Column, error: Column, skipped: Column) -> Column:
     """Sentences on what is wrong with a manifest; status null: there is none. verify: whether that step has run."""
-    # The sentences.
     texts = F.array(
-        F.when(status != "done", F.concat(F.lit("status is "), status)),
-        F.when(~verify, F.lit("verify has not run")).when(error.isNotNull(), F.concat(F.lit("verify failed: "), error))
-        .when(skipped.isNotNull(), F.concat(F.lit("verify was skipped: "), skipped)),
+        F.when(status != "done", F.concat(F.lit(STATUS), status)),
+        F.when(~verify, F.lit(UNVERIFIED)).when(error.isNotNull(), F.concat(F.lit(FAILED), error))
+        .when(skipped.isNotNull(), F.concat(F.lit(SKIPPED), skipped)),
     )
-    none = F.array(F.lit("manifest is missing (the workflow may not have completed)"))
-    return F.when(status.isNull(), none).otherwise(F.filter(texts, lambda x: x.isNotNull()))
+    return F.when(status.isNull(), F.array(F.lit(MISSING))).otherwise(F.filter(texts, lambda x: x.isNotNull()))
 
 
 #: Characters of an alert at most; chat services cut longer ones.

@@ -7,29 +7,28 @@ import logging
 import urllib.request
 from collections.abc import Callable
 
-from daybook.operators.quality import ALERT_LENGTH
+from daybook.operators import quality
 
 _log = logging.getLogger("daybook")
 
 
 def manifest_problems(manifest: dict | None) -> list[str]:
-    # The sentences.
     if manifest is None:
-        return ["manifest is missing (the workflow may not have completed)"]
-    found = [] if manifest["status"] == "done" else [f"status is {manifest['status']}"]
+        return [quality.MISSING]
+    found = [] if manifest["status"] == "done" else [quality.STATUS + manifest["status"]]
     verify = manifest.get("verify")
     if not verify:
-        found.append("verify has not run")
+        found.append(quality.UNVERIFIED)
     elif verify.get("error") is not None:
-        found.append(f"verify failed: {verify['error']}")
+        found.append(quality.FAILED + verify["error"])
     elif verify.get("skipped") is not None:
-        found.append(f"verify was skipped: {verify['skipped']}")
+        found.append(quality.SKIPPED + verify["skipped"])
     return found
 
 
 def format_alert(dt: str, source: str, problems: list[str]) -> str:
     lines = [f"daybook dt={dt} ({source})", *(f"- {p}" for p in problems), f"check: status {dt} / verify-all"]
-    return "\n".join(lines)[:ALERT_LENGTH]
+    return "\n".join(lines)[:quality.ALERT_LENGTH]
 
 
 def notify(text: str, webhook: str | None = None, send: Callable[[str, bytes], int] | None = None) -> bool:

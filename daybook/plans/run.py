@@ -1,4 +1,4 @@
-"""Days from raw objects to checked tables: one Spark job for any number of days."""
+"""Days from raw objects to checked tables: the same few Spark jobs for any number of days."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import re
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.days import (
@@ -50,17 +50,32 @@ def apply_counts(manifest: dict, counts: dict) -> dict:
     return {**manifest, "status": status, "assertions": checks, "verify": counts}
 
 
-def verify(lake: Lake, manifest: dict, count: Callable | None = None) -> dict:
-    """Count what is stored, record it in the manifest, and store that. A failure is recorded, not raised."""
-    try:
-        silver, gold = ((count or stored_counts)(lake, t, manifest["dt"]) for t in ("silver", "gold"))
-        manifest = apply_counts(
-            manifest, {"silverRows": silver[0], "silverDistinct": silver[1], "goldRows": gold[0], "goldDistinct": gold[1], "checkedAt": _now()}
-        )
-    except Exception as error:  # the day is complete either way
-        manifest = {**manifest, "verify": {"error": str(error)}}
-    lake.put_manifest(manifest)
-    return manifest
+def verify_days(lake: Lake, manifests: list[dict], count: Callable | None = None, skip: str | None = None) -> dict[str, dict]:
+    """Count what is stored of these days, one count for each table; record it in the manifests, and store them.
+
+    A failure is recorded in all of them, not raised; skip: why nothing is to be counted, which is recorded likewise.
+    """
+    days = [m["dt"] for m in manifests]
+    if skip is not None:
+        made = [{**m, "verify": {"skipped": skip}} for m in manifests]
+    else:
+        try:
+            counts = {t: (count or stored_day_counts)(lake, t, days) for t in ("silver", "gold")}
+            made = []
+            for m in manifests:
+                silver, gold = (counts[t].get(m["dt"], (0, 0)) for t in ("silver", "gold"))
+                made.append(apply_counts(m, {"silverRows": silver[0], "silverDistinct": silver[1], "goldRows": gold[0], "goldDistinct": gold[1], "checkedAt": _now()}))
+        except Exception as error:  # the days are complete either way
+            made = [{**m, "verify": {"error": str(error)}} for m in manifests]
+    for m in made:
+        lake.put_manifest(m)
+    return {m["dt"]: m for m in made}
+
+
+def stored_day_counts(lake: Lake, table: str, days: list[str]) -> dict[str, tuple[int, int]]:
+    """(rows, distinct ids) of each day that has any."""
+    rows = lake.read(table).where(F.col("dt").isin([check_dt(d) for d in days]))
+    return {r["dt"]: (r["rows"], r["distinct_ids"]) for r in quality.per_day(rows).collect()}
 
 
 def stored_counts(lake: Lake, table: str, dt: str) -> tuple[int, int]:
@@ -69,14 +84,16 @@ def stored_counts(lake: Lake, table: str, dt: str) -> tuple[int, int]:
 
 def run_days(
     spark: SparkSession, bronze_root: str, lake: Lake, days: list[str], force: bool = False, attempt: str | None = None,
-    webhook: str | None = None,
+    webhook: str | None = None, skip_verify: str | None = None,
 ) -> dict[str, dict]:
-    """Build all days that are not done (or all, if forced) in one job; their manifests by day.
+    """Build all days that are not done (or all, if forced); their manifests by day.
 
-    Raises MismatchError after everything is written if the counters of some day disagree.
+    Objects are listed once and read once, and the number of jobs doesn't depend on that of days. skip_verify: why the
+    stored rows are not to be counted. Raises MismatchError after everything is written if the counters of some day
+    disagree.
     """
     started = _now()
-    known = {d: lake.manifest(d) for d in days}
+    known = lake.manifests_of(days)
     for d in days:
         if not is_valid_run_id(run_id(d, attempt)):
             raise ValueError("a run needs an id")
@@ -85,10 +102,17 @@ def run_days(
     if not todo:
         return out
     scratch = Scratch(spark, "day")
-    listed = scratch.save(bronze.listing(spark, bronze_root, todo), "listing")
-    bodies = bronze.bodies(spark, bronze_root, todo)
-    read = scratch.save(bodies.select("source_key", "dt"), "read")
-    parsed = scratch.save(validate.parsed(bronze.numbered_lines(bodies)), "parsed")
+    try:
+        return out | _build(spark, bronze_root, lake, todo, started, scratch, webhook, skip_verify)
+    finally:
+        scratch.release()
+
+
+def _build(spark: SparkSession, bronze_root: str, lake: Lake, todo: list[str], started: str, scratch: Scratch, webhook: str | None, skip: str | None) -> dict[str, dict]:
+    listed = snapshot(bronze.listing(spark, bronze_root, todo), scratch)
+    # Objects without lines stay, with a null line: what was read is what this one scan saw.
+    read = scratch.save(validate.parsed(bronze.numbered_lines(bronze.bodies(spark, bronze_root, todo), outer=True)), "parsed")
+    parsed = read.where(F.col("raw").isNotNull())
     lake.replace_days("silver", validate.silver(parsed), todo)
     lake.replace_days("quarantine", validate.quarantine(parsed), todo)
     lake.replace_days("gold", gold_ops.daily(validate.silver(parsed)), todo)
@@ -96,11 +120,9 @@ def run_days(
     missing = quality.missing_objects(listed, read).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
     objects = {r["dt"]: r for r in listed.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("service")).alias("services")).collect()}
     lost = {r["dt"]: r["n"] for r in missing.collect()}
-    rows = {
-        r["dt"]: r for r in parsed.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNull()).alias("valid")).collect()
-    }
+    rows = {r["dt"]: r for r in parsed.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNull()).alias("valid")).collect()}
     built = {r["dt"]: r for r in lake.read("gold").where(F.col("dt").isin(todo)).groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum("requests").alias("r")).collect()}
-    broken = []
+    made = {}
     for d in todo:
         n, m = (objects[d]["n"] if d in objects else 0), lost.get(d, 0)
         lines, valid = (rows[d]["n"], rows[d]["valid"]) if d in rows else (0, 0)
@@ -108,18 +130,26 @@ def run_days(
             "dt": d, "bronzeObjectCount": n, "bronzeObjectsRead": n - m, "bronzeObjectsMissing": m, "bronzeLinesParsed": lines, "silverRows": valid,
             "quarantinedRows": lines - valid, "goldRows": built[d]["n"] if d in built else 0, "goldRequestsSum": built[d]["r"] if d in built else 0,
         }
-        manifest = build_manifest(counters, started, list(objects[d]["services"]) if d in objects else [])
-        lake.put_manifest(manifest)
-        if manifest["status"] == "mismatch":
-            broken.append(d)
-        else:
-            manifest = verify(lake, manifest)
-            if found := manifest_problems(manifest):
-                notify(format_alert(d, "workflow", found), webhook)
-        out[d] = manifest
+        made[d] = build_manifest(counters, started, list(objects[d]["services"]) if d in objects else [])
+        lake.put_manifest(made[d])
+    broken = [d for d in todo if made[d]["status"] == "mismatch"]
+    made |= verify_days(lake, [made[d] for d in todo if d not in broken], skip=skip)
+    for d in todo:
+        if d not in broken and (found := manifest_problems(made[d])):
+            notify(format_alert(d, "workflow", found), webhook)
     if broken:
         raise MismatchError(f"the counters of {', '.join(broken)} disagree; see their manifests")
-    return out
+    return made
+
+
+def snapshot(listing: DataFrame, scratch: Scratch) -> DataFrame:
+    """The listing, written once; raises if what is read back isn't as long as what was written."""
+    seen = Observation("listing")
+    stored = scratch.save(listing.observe(seen, F.count(F.lit(1)).alias("n")), "listing")
+    written, back = seen.get["n"], stored.count()
+    if written != back:
+        raise RuntimeError(f"{written} objects were listed, but {back} are in the snapshot")
+    return stored
 
 
 def backfill(spark: SparkSession, bronze_root: str, lake: Lake, start: str, end: str, **options) -> dict[str, dict]:
@@ -145,7 +175,10 @@ def dedupe_day(lake: Lake, table: str, dt: str) -> tuple[tuple[int, int], tuple[
     if before[0] == before[1]:
         return before, before
     scratch = Scratch(lake.spark, "dedupe")
-    lake.replace_days(table, scratch.save(quality.dedupe(lake.read(table).where(F.col("dt") == check_dt(dt))), "kept"), [dt])
+    try:
+        lake.replace_days(table, scratch.save(quality.dedupe(lake.read(table).where(F.col("dt") == check_dt(dt))), "kept"), [dt])
+    finally:
+        scratch.release()
     after = stored_counts(lake, table, dt)
     if after[0] != before[1]:
         raise RuntimeError(f"expected {before[1]} rows of {dt}, got {after[0]}; rebuild this day")

@@ -17,9 +17,11 @@ def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def names_in(spark: SparkSession, path: str) -> set[str]:
+    """What a folder holds, by one call to its store; nothing if there is no such folder."""
     p = _path(spark, path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {x.getPath().getName() for x in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def _key(spark: SparkSession, root: str, path: Column) -> Column:
@@ -29,15 +31,16 @@ def _key(spark: SparkSession, root: str, path: Column) -> Column:
     return F.substring(plain, len(base) + 2, 1 << 30)
 
 
-def _placed(df: DataFrame) -> DataFrame:
+def placed(df: DataFrame) -> DataFrame:
     """With dt and service from the key; objects under no service are left out."""
     part = F.split("source_key", "/")
     return df.withColumns({"dt": part[1], "service": part[2]}).where(F.size(part) > 3)
 
 
 def _folders(spark: SparkSession, root: str, days: list[str]) -> list[str]:
-    found = [f"{root.rstrip('/')}/{BRONZE}/{check_dt(d)}" for d in days]
-    return [f for f in found if exists(spark, f)]
+    base = f"{root.rstrip('/')}/{BRONZE}"
+    there = names_in(spark, base)
+    return [f"{base}/{d}" for d in days if check_dt(d) in there]
 
 
 def listing(spark: SparkSession, root: str, days: list[str]) -> DataFrame:
@@ -47,9 +50,12 @@ def listing(spark: SparkSession, root: str, days: list[str]) -> DataFrame:
         return spark.createDataFrame([], "source_key string, length long, dt string, service string")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
     sizes = found.select(_key(spark, root, F.col("_metadata.file_path")).alias("source_key"), "length")
-    # Scans skip empty objects, which the index behind them holds.
-    names = spark.createDataFrame([(f,) for f in found.inputFiles()], "path string").select(_key(spark, root, F.col("path")).alias("source_key"))
-    return _placed(names.join(sizes, "source_key", "left").select("source_key", F.coalesce("length", F.lit(0)).alias("length")))
+    # Scans skip empty objects, which the index behind them holds; its names stay on the JVM's side.
+    jvm = spark._jvm
+    paths = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(found._jdf.inputFiles())
+    index = spark._jsparkSession.createDataset(paths, jvm.org.apache.spark.sql.Encoders.STRING())
+    names = DataFrame(index.toDF(), spark).select(_key(spark, root, F.col("value")).alias("source_key"))
+    return placed(names.join(sizes, "source_key", "left").select("source_key", F.coalesce("length", F.lit(0)).alias("length")))
 
 
 def services(found: DataFrame) -> DataFrame:
@@ -61,12 +67,15 @@ def bodies(spark: SparkSession, root: str, days: list[str]) -> DataFrame:
     folders = _folders(spark, root, days)
     if not folders:
         return spark.createDataFrame([], "source_key string, body string, dt string, service string")
-    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
-    # The option is ignored by DataFrameReader.text(), which sets its own.
-    found = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", "true").load(folders)
-    return _placed(found.select(_key(spark, root, F.col("_metadata.file_path")).alias("source_key"), F.col("value").alias("body")))
+    # DataFrameReader.text() sets wholetext by itself, to false.
+    found = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", "true").option("ignoreMissingFiles", True).load(folders)
+    return placed(found.select(_key(spark, root, F.col("_metadata.file_path")).alias("source_key"), F.col("value").alias("body")))
 
 
-def numbered_lines(objects: DataFrame) -> DataFrame:
-    """source_key, dt, service, line_index, line: indexes count the non-blank lines of each object from 0."""
-    return objects.select("source_key", "dt", "service", F.posexplode(lines(F.col("body"))).alias("line_index", "line"))
+def numbered_lines(objects: DataFrame, outer: bool = False) -> DataFrame:
+    """source_key, dt, service, line_index, line: indexes count the non-blank lines of each object from 0.
+
+    outer: objects without lines keep a row, whose index and line are null.
+    """
+    split = F.posexplode_outer if outer else F.posexplode
+    return objects.select("source_key", "dt", "service", split(lines(F.col("body"))).alias("line_index", "line"))

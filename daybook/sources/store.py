@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from daybook.functions.days import check_dt, manifest_key
+from daybook.functions.days import MANIFESTS, check_dt, manifest_key
 from daybook.schemas import GOLD, MANIFEST, QUARANTINE, REQUIRED, SILVER
 from daybook.session import prepare
+from daybook.sources.bronze import names_in
 
 SCHEMAS = {"silver": SILVER, "gold": GOLD, "quarantine": QUARANTINE}
 
@@ -45,8 +46,15 @@ class Lake:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
+    def _files(self, table: str, days: list[str]) -> dict[str, set[str]]:
+        return {d: names_in(self.spark, f"{self.path(table)}/dt={d}") for d in days}
+
     def replace_days(self, table: str, rows: DataFrame, days: list[str]) -> None:
-        """Make rows the only ones of these days. Days without rows lose their folder, which overwriting would keep."""
+        """Make rows the only ones of these days, in files of even size.
+
+        A day that gets rows gets new files; one whose files are still the old ones got none, and loses its folder,
+        which overwriting would keep.
+        """
         names = SCHEMAS[table].fieldNames()
         broken = [F.col(c).isNull() for c in REQUIRED.get(table, ())]
         if broken:
@@ -54,11 +62,11 @@ class Lake:
             for b in broken[1:]:
                 bad = bad | b
             rows = rows.where(F.when(bad, F.raise_error(F.lit(f"a required column of {table} is null"))).otherwise(F.lit(True)))
-        rows.select(*names).write.mode("overwrite").partitionBy("dt").parquet(self.path(table))
-        present = {r[0] for r in self.read(table).where(F.col("dt").isin(days)).select("dt").distinct().collect()}
-        left = {r[0] for r in rows.select("dt").distinct().collect()}
-        for day in present - left:
-            self._delete(f"{self.path(table)}/dt={day}")
+        before = self._files(table, [check_dt(d) for d in days])
+        rows.select(*names).hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(self.path(table))
+        for day, files in self._files(table, days).items():
+            if files and files == before[day]:
+                self._delete(f"{self.path(table)}/dt={day}")
 
     def put_manifest(self, manifest: dict) -> None:
         fs, p = self._fs(f"{self.root}/{manifest_key(check_dt(manifest['dt']))}")
@@ -67,22 +75,37 @@ class Lake:
         out.close()
 
     def manifest(self, dt: str) -> dict | None:
-        path = f"{self.root}/{manifest_key(check_dt(dt))}"
-        if not self.exists(path):
-            return None
-        return json.loads(self.spark.read.format("text").option("wholetext", True).load(path).first()[0])
+        return self.manifests_of([dt])[dt]
+
+    def manifests_of(self, days: list[str]) -> dict[str, dict | None]:
+        """The manifests of these days by day, None where there is none; one read for all."""
+        names = {manifest_key(check_dt(d)).rpartition("/")[2]: d for d in days}
+        there = sorted(set(names) & names_in(self.spark, f"{self.root}/{MANIFESTS}"))
+        out: dict[str, dict | None] = dict.fromkeys(days)
+        if there:
+            found = self.spark.read.format("text").option("wholetext", True).load([f"{self.root}/{MANIFESTS}/{n}" for n in there])
+            # One row a day.
+            for manifest in (json.loads(r[0]) for r in found.collect()):
+                out[manifest["dt"]] = manifest
+        return out
 
     def manifests(self) -> DataFrame:
-        folder = f"{self.root}/_state/days"
+        folder = f"{self.root}/{MANIFESTS}"
         if not self.exists(folder):
             return self.spark.createDataFrame([], MANIFEST)
         # The reader leaves out names with a leading underscore only below the path it is given.
         return self.spark.read.schema(MANIFEST).option("multiLine", True).json(f"{folder}/dt=*.json")
 
     def compact(self, table: str, days: list[str], files: int = 1) -> None:
-        """Rewrite days into so many files each."""
+        """Rewrite days into so many files each. Nothing is left to expire: a rewritten day's old files are gone."""
         kept = self.read(table).where(F.col("dt").isin([check_dt(d) for d in days]))
-        kept.repartition(files * max(1, len(days)), "dt").write.mode("overwrite").partitionBy("dt").parquet(self.path(table))
+        part = F.pmod(F.xxhash64("row_uid"), F.lit(files))
+        kept.repartition(files * max(1, len(days)), "dt", part).write.mode("overwrite").partitionBy("dt").parquet(self.path(table))
 
     def drop(self, table: str) -> None:
         self._delete(self.path(table))
+
+    def recreate(self, table: str) -> None:
+        """An empty table in the place of what there was; days are filled again by forced runs."""
+        self.drop(table)
+        self.spark.createDataFrame([], SCHEMAS[table]).write.partitionBy("dt").parquet(self.path(table))

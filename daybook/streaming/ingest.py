@@ -1,30 +1,48 @@
 """Raw objects as they arrive: a file stream that validates new ones and appends them to silver and quarantine.
 
-One run takes what is there (Trigger.AvailableNow) and remembers it in the checkpoint. Batches are written under their
-number, so a batch that is repeated after a failure replaces itself.
+One run takes what is there (Trigger.AvailableNow) and remembers it in the checkpoint. A batch is parsed once and written
+under its number, so one that is repeated after a failure replaces itself. publish() brings days from there to the lake.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from daybook.operators import validate
+from daybook.operators import gold, validate
+from daybook.schemas import QUARANTINE, SILVER
 from daybook.sources import bronze
+from daybook.sources.store import Lake
+
+#: What a batch holds: the columns of both tables, told apart by a folder.
+_PARSED = StructType([*SILVER, StructField("reason", StringType()), StructField("raw", StringType()), StructField("refused", BooleanType())])
 
 
 def ingest(spark: SparkSession, bronze_root: str, out: str, checkpoint: str, glob: str = "*") -> None:
-    """Write silver and quarantine rows of all new objects below out/<table>/batch=<n>."""
+    """Write the parsed lines of all new objects below out/batch=<n>/refused=<whether>."""
     source = (
         spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", "true")
         .schema(StructType([StructField("value", StringType())])).load(f"{bronze_root.rstrip('/')}/{bronze.BRONZE}/{glob}")
     )
-    objects = bronze._placed(source.select(bronze._key(spark, bronze_root, F.col("_metadata.file_path")).alias("source_key"), F.col("value").alias("body")))
-    parsed = validate.parsed(bronze.numbered_lines(objects))
+    objects = bronze.placed(source.select(bronze._key(spark, bronze_root, F.col("_metadata.file_path")).alias("source_key"), F.col("value").alias("body")))
+    parsed = validate.parsed(bronze.numbered_lines(objects)).withColumn("refused", F.col("reason").isNotNull())
 
     def write(batch: DataFrame, number: int) -> None:
-        for table, rows in (("silver", validate.silver(batch)), ("quarantine", validate.quarantine(batch))):
-            rows.write.mode("overwrite").parquet(f"{out}/{table}/batch={number}")
+        batch.write.mode("overwrite").partitionBy("refused").parquet(f"{out}/batch={number}")
 
     parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def ingested(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """What the stream has written so far of silver or quarantine."""
+    rows = spark.read.schema(_PARSED).parquet(out).where(F.col("refused") == (table == "quarantine"))
+    return rows.select(*{"silver": SILVER, "quarantine": QUARANTINE}[table].fieldNames())
+
+
+def publish(spark: SparkSession, out: str, lake: Lake, days: list[str]) -> None:
+    """Make what the stream has written of these days, once each, the days of the lake, with their daily aggregates."""
+    of_days = F.col("dt").isin(days)
+    for table in ("silver", "quarantine"):
+        lake.replace_days(table, ingested(spark, out, table).where(of_days).dropDuplicates(["dt", "row_uid"]), days)
+    lake.replace_days("gold", gold.daily(lake.read("silver").where(of_days)), days)

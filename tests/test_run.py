@@ -1,6 +1,7 @@
 """Days from files to tables: counters, verification, repeats, missing objects, duplicates, alerts, calls."""
 
 import json
+import pathlib
 from datetime import UTC, datetime
 
 import pytest
@@ -8,6 +9,8 @@ import pytest
 from daybook.functions import days
 from daybook.operators import quality
 from daybook.plans import alerts, run
+from daybook.schemas import GOLD
+from daybook.scratch import Scratch
 from daybook.sources import bronze
 from daybook.sources.store import Lake
 
@@ -75,7 +78,7 @@ def test_dedupe(spark, roots):
     run.run_days(spark, roots[0], lake, [DT])
     lake.read("silver").limit(3).write.mode("append").partitionBy("dt").parquet(lake.path("silver"))
     assert run.stored_counts(lake, "silver", DT) == (7, 4)
-    m = run.verify(lake, lake.manifest(DT))
+    m = run.verify_days(lake, [lake.manifest(DT)])[DT]
     assert m["status"] == "duplicates" and alerts.manifest_problems(m) == ["status is duplicates"]
     assert run.dedupe_day(lake, "silver", DT) == ((7, 4), (4, 4))
     assert run.dedupe_day(lake, "silver", DT) == ((4, 4), (4, 4))
@@ -86,6 +89,81 @@ def test_missing_objects(spark):
     assert [r[0] for r in quality.missing_objects(listed, spark.createDataFrame([("a",)], "source_key string")).collect()] == ["b"]
 
 
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_as_many_jobs_for_many_days(spark, tmp_path):
+    root, all_days = tmp_path / "in", [f"2026-09-{d:02d}" for d in range(1, 13)]
+    for d in all_days:
+        for service in ("web", "api"):
+            path = root / "api-metrics" / d / service / "00" / "a.jsonl"
+            path.parent.mkdir(parents=True)
+            path.write_text("\n".join(line(i, timestamp=f"{d}T00:00:00Z") for i in range(5)))
+    one = jobs_of(spark, "one", lambda: run.run_days(spark, str(root), Lake(spark, str(tmp_path / "a")), all_days[:1]))
+    many = jobs_of(spark, "many", lambda: run.run_days(spark, str(root), Lake(spark, str(tmp_path / "b")), all_days))
+    again = jobs_of(spark, "again", lambda: run.run_days(spark, str(root), Lake(spark, str(tmp_path / "b")), all_days))
+    assert many <= one + 4 and again <= 2
+    lake = Lake(spark, str(tmp_path / "b"))
+    assert lake.read("silver").count() == 120 and {m["status"] for m in lake.manifests_of(all_days).values()} == {"done"}
+    assert all(len(list((tmp_path / "b/silver" / f"dt={d}").glob("*.parquet"))) == 1 for d in all_days)
+
+
+def test_object_lost_between_listing_and_reading(spark, roots, monkeypatch):
+    lake, bodies = Lake(spark, roots[1]), bronze.bodies
+
+    def late(*args):
+        df = bodies(*args)
+        (pathlib.Path(roots[0]) / "api-metrics" / DT / "api/00/c.jsonl").unlink()
+        return df
+
+    monkeypatch.setattr(bronze, "bodies", late)
+    settings = dict(spark.conf.getAll)
+    with pytest.raises(run.MismatchError):
+        run.run_days(spark, roots[0], lake, [DT, "2026-09-22"])
+    assert dict(spark.conf.getAll) == settings
+    m = lake.manifest(DT)
+    assert [m[c] for c in ("bronzeObjectCount", "bronzeObjectsRead", "bronzeObjectsMissing", "bronzeLinesParsed")] == [4, 3, 1, 4]
+    assert m["status"] == "mismatch" and lake.manifest("2026-09-22")["status"] == "done"
+
+
+def test_lost_files_of_other_tables_are_errors(spark, roots, tmp_path):
+    spark.range(1000).repartition(4).write.parquet(str(tmp_path / "plain"))
+    plain = spark.read.parquet(str(tmp_path / "plain"))
+    assert bronze.bodies(spark, roots[0], [DT]).count() == 3
+    next((tmp_path / "plain").glob("*.parquet")).unlink()
+    with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+        plain.count()
+
+
+def test_snapshot_must_be_whole(spark, roots, monkeypatch):
+    save = Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: save(self, df, name).limit(3) if name == "listing" else save(self, df, name))
+    with pytest.raises(RuntimeError, match="in the snapshot"):
+        run.run_days(spark, roots[0], Lake(spark, roots[1]), [DT])
+
+
+def test_compaction_and_a_new_table(spark, roots, tmp_path):
+    lake = Lake(spark, roots[1])
+    run.run_days(spark, roots[0], lake, [DT, "2026-09-22"])
+    for _ in range(3):
+        lake.read("silver").limit(1).write.mode("append").partitionBy("dt").parquet(lake.path("silver"))
+    rows = sorted(map(repr, lake.read("silver").collect()))
+    files = lambda d: len(list((tmp_path / "lake/silver" / f"dt={d}").glob("*.parquet")))
+    assert files(DT) + files("2026-09-22") == 5
+    lake.compact("silver", [DT, "2026-09-22"])
+    assert (files(DT), files("2026-09-22")) == (1, 1) and sorted(map(repr, lake.read("silver").collect())) == rows
+    lake.recreate("gold")
+    assert lake.read("gold").count() == 0 and lake.read("gold").schema == GOLD
+    run.run_days(spark, roots[0], lake, [DT], force=True)
+    assert lake.read("gold").count() == 3 and lake.read("silver").where(f"dt = '{DT}'").count() == 4
+
+
 def test_listing_of_nothing(spark, tmp_path):
     assert bronze.listing(spark, str(tmp_path), [DT]).count() == 0
 
@@ -114,8 +192,17 @@ def test_verification_never_raises(spark, tmp_path):
     def fails(*_):
         raise OSError("down")
 
-    m = run.verify(Lake(spark, str(tmp_path)), run.build_manifest(BASE, "t", []), fails)
-    assert m["status"] == "done" and alerts.manifest_problems(m) == ["verify failed: down"]
+    lake, other = Lake(spark, str(tmp_path)), "2026-09-22"
+    made = run.verify_days(lake, [run.build_manifest(BASE, "t", []), run.build_manifest(BASE | {"dt": other}, "t", [])], fails)
+    for d in (DT, other):
+        assert made[d]["status"] == "done" and alerts.manifest_problems(made[d]) == ["verify failed: down"] and lake.manifest(d) == made[d]
+
+
+def test_verification_can_be_skipped(spark, roots):
+    lake = Lake(spark, roots[1])
+    m = run.run_days(spark, roots[0], lake, [DT], skip_verify="no time")[DT]
+    assert m["status"] == "done" and m["verify"] == {"skipped": "no time"} and lake.manifest(DT) == m
+    assert alerts.manifest_problems(m) == ["verify was skipped: no time"]
 
 
 def test_alerts():
@@ -142,6 +229,8 @@ def test_days():
     assert {days.yesterday(datetime(2026, 9, 22, h, 5, tzinfo=UTC)) for h in (0, 23)} == {DT}
     assert [days.is_valid_attempt(x) for x in (None, "1", "12", "", "0", "02", "x")] == [True, True, True, False, False, False, False]
     assert [days.is_valid_force(x) for x in (None, "1", "true", "", "0", "yes")] == [True, True, True, False, False, False]
+    assert days.day_prefix(DT) == f"api-metrics/{DT}/" and days.manifest_key(DT) == f"_state/days/dt={DT}.json"
+    assert days.quarantine_key(DT, "web-0") == f"quarantine/api-metrics/dt={DT}/web-0.jsonl"
     assert days.run_id(DT) == f"day-{DT}" and days.run_id(DT, "2") == f"day-{DT}-r2"
     assert days.day_range("2026-02-27", "2026-03-01") == ["2026-02-27", "2026-02-28", "2026-03-01"]
     with pytest.raises(ValueError):
@@ -167,10 +256,15 @@ def test_calls(spark, tmp_path):
 
 def test_stream_takes_each_object_once(spark, roots, tmp_path):
     from daybook.session import prepare
-    from daybook.streaming.ingest import ingest
+    from daybook.streaming.ingest import ingest, ingested, publish
 
     prepare(spark)
     for _ in range(2):
         ingest(spark, roots[0], str(tmp_path / "out"), str(tmp_path / "state"))
-    assert spark.read.parquet(str(tmp_path / "out/silver")).count() == 5
-    assert spark.read.parquet(str(tmp_path / "out/quarantine")).count() == 1
+    out, lake = str(tmp_path / "out"), Lake(spark, roots[1])
+    assert ingested(spark, out, "silver").count() == 5 and [r["raw"] for r in ingested(spark, out, "quarantine").collect()] == ["{bad"]
+    publish(spark, out, lake, [DT, "2026-09-22"])
+    stored = {t: sorted(map(repr, lake.read(t).collect())) for t in ("silver", "gold", "quarantine")}
+    other = Lake(spark, str(tmp_path / "other"))
+    run.run_days(spark, roots[0], other, [DT, "2026-09-22"])
+    assert stored == {t: sorted(map(repr, other.read(t).collect())) for t in stored}
