@@ -9,6 +9,8 @@ from daybook.functions import columns as fn
 from daybook.functions.days import check_dt, run_id
 from daybook.operators import gold, quality, validate
 from daybook.plans import workload as w
+from daybook.session import spread
+from daybook.sources import bronze
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,6 +43,17 @@ _REQUESTS = """
                             WHEN 16 THEN 'missing_or_invalid_latency_ms' WHEN 7 THEN 'invalid_request_size' WHEN 8 THEN 'invalid_response_size'
                             WHEN 9 THEN 'invalid_user_id' WHEN 10 THEN 'invalid_cf_ray' WHEN 11 THEN 'invalid_cf_colo'
                             WHEN 12 THEN 'invalid_error_message' END AS reason FROM req),
+    texts AS (SELECT *, '{"n":' || event_id || CASE c WHEN 2 THEN '' WHEN 17 THEN ',"timestamp":"not-a-date"' ELSE ',"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"' END
+                     || ',"endpoint":"' || CASE c WHEN 3 THEN '' ELSE endpoint END || '"' || CASE c WHEN 4 THEN '' ELSE ',"method":"' || method || '"' END
+                     || ',"status":' || CASE c WHEN 5 THEN '"200"' WHEN 14 THEN '200.5' WHEN 15 THEN '99' ELSE status::VARCHAR END
+                     || ',"latency_ms":' || CASE c WHEN 6 THEN '-1' WHEN 16 THEN '1e400' ELSE latency_ms::VARCHAR END
+                     || ',"request_size":' || CASE c WHEN 7 THEN '"big"' ELSE (k * 3 - 50)::VARCHAR END || ',"response_size":' || CASE c WHEN 8 THEN '[]' ELSE 'null' END
+                     || ',"user_id":' || CASE c WHEN 9 THEN '{}' ELSE '""' END || ',"cf_ray":' || CASE c WHEN 10 THEN '1' ELSE 'null' END
+                     || ',"cf_colo":' || CASE WHEN c = 11 THEN '123' ELSE coalesce('"' || cf_colo || '"', 'null') END
+                     || ',"error_message":' || CASE c WHEN 12 THEN 'false' ELSE 'null' END || '}' AS usual FROM lines),
+    refused AS (SELECT dt, reason, source_key, source_key || '#0' AS row_uid,
+                       CASE c WHEN 0 THEN '{not json' WHEN 1 THEN '[1,2,3]' WHEN 13 THEN usual || ' junk' WHEN 18 THEN 'null' ELSE usual END AS raw
+                FROM texts WHERE reason IS NOT NULL),
     silver AS (SELECT *, (status // 100) || 'xx' AS status_class, 'e#' || event_id AS row_uid FROM req),
     stored AS (SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE event_id % 50 = 0 AND dt LIKE '%3'),
     folded AS (SELECT *, CASE WHEN status = 404 THEN '(unmatched)' ELSE endpoint END AS e, nullif(latency_ms, 0) AS m FROM silver),
@@ -77,15 +90,15 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.parsed(spark, sf_dir).groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_sql("SELECT reason, source_key, source_key || '#0' AS row_uid, dt FROM lines WHERE reason IS NOT NULL"))
+@query(_sql("SELECT reason, source_key, row_uid, dt, raw FROM refused"))
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.quarantine(w.parsed(spark, sf_dir)).drop("raw")
+    return validate.quarantine(w.parsed(spark, sf_dir))
 
 
-@query(_sql("""SELECT '{"reason":"' || reason || '","source_key":"' || source_key || '","row_uid":"' || source_key || '#0"}' AS json FROM lines WHERE reason IS NOT NULL"""))
+@query(_sql("""SELECT '{"reason":"' || reason || '","source_key":"' || source_key || '","raw":' || to_json(raw) || ',"row_uid":"' || row_uid || '"}' AS json FROM refused"""))
 def quarantine_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Refused lines as JSON lines, without their text."""
-    return validate.quarantine(w.parsed(spark, sf_dir)).select(F.to_json(F.struct("reason", "source_key", "row_uid")).alias("json"))
+    """Refused lines as JSON lines, with their text."""
+    return validate.quarantine(w.parsed(spark, sf_dir)).select(F.to_json(F.struct("reason", "source_key", "raw", "row_uid")).alias("json"))
 
 
 @query(_sql("SELECT dt, count(*) AS lines, count(*) FILTER (reason IS NULL) AS valid, count(*) FILTER (reason IS NOT NULL) AS refused, count(DISTINCT source_key) AS objects FROM lines GROUP BY dt"))
@@ -96,7 +109,7 @@ def bronze_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT n, CASE WHEN n // 100 BETWEEN 1 AND 5 THEN (n // 100) || 'xx' ELSE 'unknown' END AS status_class, count(*) AS c FROM (SELECT (event_id % 800)::INT AS n FROM events) GROUP BY n, 2")
 def status_class_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = spark.read.parquet(f"{sf_dir}/events.parquet").select((F.col("event_id") % 800).cast("int").alias("n"))
+    n = spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select((F.col("event_id") % 800).cast("int").alias("n"))
     return n.groupBy("n", fn.status_class(F.col("n")).alias("status_class")).agg(F.count(F.lit(1)).alias("c"))
 
 
@@ -270,8 +283,7 @@ def alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_sql("SELECT DISTINCT dt, service FROM lines"))
 def services_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.split("source_key", "/")
-    return w.bronze_lines(spark, sf_dir).select(part[1].alias("dt"), part[2].alias("service")).distinct()
+    return bronze.services(bronze.placed(w.bronze_lines(spark, sf_dir).select("source_key")))
 
 
 _PAGES = """
@@ -285,7 +297,7 @@ _PAGES = """
 
 @query(f"WITH RECURSIVE {_PAGES} SELECT service, chunk_no::INT AS chunk_no, max(open) AS expected_count FROM rec GROUP BY service, chunk_no")
 def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     service, page = F.concat(F.lit("svc"), F.col("user_id") % 4).alias("service"), F.floor(F.col("event_id") / 1000).cast("int").alias("page_no")
     return quality.chunk_plan(events.groupBy(service, page).agg((F.count(F.lit(1)) * 3).alias("n_objects")))
 
@@ -303,7 +315,7 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
        SELECT event_id, unnest(generate_series(0, len(l) - 1))::INT AS line_index, unnest(l) AS line FROM l"""
 )
 def line_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     body = F.concat(F.lit("a\r\n\n  b"), F.col("event_id").cast("string"), F.lit(" \n﻿c \n \t"))
     return events.select("event_id", F.posexplode(fn.lines(body)).alias("line_index", "line"))
 
@@ -329,6 +341,6 @@ def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def valid_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_id")
     made = F.format_string("%04d-%02d-%02d", 2023 + n % 3, n % 14, n % 33)
-    days = spark.read.parquet(f"{sf_dir}/events.parquet").select(made.alias("dt"))
+    days = spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(made.alias("dt"))
     odd = spark.createDataFrame([("2026-9-21",), ("",), ("2026-09-21' OR '1'='1",)], "dt string")
     return days.union(odd).distinct().select("dt", fn.is_day(F.col("dt")).alias("valid"))

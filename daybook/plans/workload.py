@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import gold, quality, validate
-from daybook.session import prepare
+from daybook.session import prepare, spread
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, ts, dt, service, endpoint, method, status, latency_ms, cf_colo, k, case: one row per event."""
-    events = prepare(spark).read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(prepare(spark).read.parquet(f"{sf_dir}/events.parquet"))
     k = F.get_json_object("props", "$.k").cast("int")
     e = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", k.alias("k"))
     return e.select(
