@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--layer", choices=("silver", "gold"), default="silver")
     p.add_argument("--attempt")
     p.add_argument("--force")
+    p.add_argument("--skip-verify", metavar="WHY", help="don't count what was stored, and record why")
     p.add_argument("command", choices=("run", "backfill", "status", "count", "scan-all", "dedupe", "verify-all", "health-check"))
     p.add_argument("days", nargs="*")
     a = p.parse_args(argv)
@@ -37,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     lake = Lake(spark, a.lake)
     if a.command in ("run", "backfill"):
         first, last = a.days[0], a.days[-1]
-        made = run.backfill(spark, a.bronze, lake, first, last, force=parse_force(a.force), attempt=a.attempt, webhook=os.environ.get("DAYBOOK_WEBHOOK"))
+        made = run.backfill(spark, a.bronze, lake, first, last, force=parse_force(a.force), attempt=a.attempt, webhook=os.environ.get("DAYBOOK_WEBHOOK"), skip_verify=a.skip_verify)
         for dt, m in sorted(made.items()):
             print(dt, m["status"])
         return 0
@@ -47,31 +48,42 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "health-check":
         return int(bool(run.health_check(lake, webhook=os.environ.get("DAYBOOK_WEBHOOK"))))
     if a.command == "count":
-        rows, distinct = run.stored_counts(lake, a.layer, a.days[0])
-        print(f"{a.days[0]}: rows={rows} distinct={distinct} dup={rows - distinct}")
+        print(f"{a.days[0]} {a.layer} {_said(*run.stored_counts(lake, a.layer, a.days[0]))}")
         return 0
     if a.command == "dedupe":
-        for label, (rows, distinct) in zip(("before", "after"), run.dedupe_day(lake, a.layer, a.days[0]), strict=True):
-            print(f"{label}: rows={rows} distinct={distinct} dup={rows - distinct}")
+        was, now = run.dedupe_day(lake, a.layer, a.days[0])
+        print(f"{a.days[0]} {a.layer} {_said(*was)}; stored now: {_said(*now)}")
         return 0
-    counts = {t: quality.per_day(lake.read(t)) for t in ("silver", "gold")}
     if a.command == "scan-all":
-        days, rows, bad = quality.scan_summary(counts[a.layer]).first()
-        print(f"days={days} rows={rows} dup_days={bad}")
-        for r in quality.duplicate_days(counts[a.layer]).orderBy("dt").toLocalIterator():
-            print(f"  {r['dt']}: rows={r['rows']} distinct={r['distinct_ids']} dup={r['dup']}")
+        counts = quality.per_day(lake.read(a.layer))
+        days, rows, bad = quality.scan_summary(counts).first()
+        for r in quality.duplicate_days(counts).orderBy("dt").toLocalIterator():
+            print(f"{r['dt']} {_said(r['rows'], r['distinct_ids'])}")
+        print(f"{a.layer}: {days} days, {rows} rows, {bad} days with repeated ids")
         return 0
+    return _verify_all(lake)
+
+
+def _said(rows: int, distinct: int) -> str:
+    return f"{rows} rows, {distinct} ids, {rows - distinct} repeated"
+
+
+def _verify_all(lake: Lake) -> int:
+    """Report every day whose counts aren't its manifest's and every day without one, then totals; 1 if there is any."""
+    counts = {t: quality.per_day(lake.read(t)) for t in ("silver", "gold")}
     wanted = lake.manifests().select("dt", "silverRows", "goldRows")
-    differing = quality.against_manifests(counts["silver"], counts["gold"], wanted).orderBy("layer", "dt")
-    without = quality.without_manifest(counts["silver"], counts["gold"], wanted).orderBy("dt")
-    bad = 0
-    for r in differing.toLocalIterator():
-        print(f"  {r['layer']} {r['dt']}: table rows={r['rows']} distinct={r['distinct_ids']} / manifest={r['want']}")
-        bad = 1
-    for r in without.toLocalIterator():
-        print(f"  {r['dt']}: no manifest")
-        bad = 1
-    return bad
+    wrong, without = dict.fromkeys(counts, 0), 0
+    for r in quality.against_manifests(counts["silver"], counts["gold"], wanted).orderBy("layer", "dt").toLocalIterator():
+        print(f"{r['dt']} {r['layer']} {_said(r['rows'], r['distinct_ids'])}, but its manifest says {r['want']}")
+        wrong[r["layer"]] += 1
+    for r in quality.without_manifest(counts["silver"], counts["gold"], wanted).orderBy("dt").toLocalIterator():
+        print(f"{r['dt']} has rows but no manifest")
+        without += 1
+    for layer in counts:
+        days, rows, _ = quality.scan_summary(counts[layer]).first()
+        print(f"{layer}: {days} days, {rows} rows, {wrong[layer]} days unlike their manifests")
+    print(f"days without a manifest: {without}")
+    return int(bool(without or any(wrong.values())))
 
 
 if __name__ == "__main__":

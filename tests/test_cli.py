@@ -19,7 +19,11 @@ def test_commands(spark, tmp_path, capsys):
     assert main([*roots, "verify-all"]) == 0 and main([*roots, "scan-all"]) == 0 and main([*roots, "dedupe", "2026-09-21"]) == 0
     capsys.readouterr()
     assert main([*roots, "count", "2026-09-21", "--layer", "gold"]) == 0
-    assert capsys.readouterr().out.strip() == "2026-09-21: rows=1 distinct=1 dup=0"
+    assert capsys.readouterr().out.strip() == "2026-09-21 gold 1 rows, 1 ids, 0 repeated"
+    assert main([*roots, "verify-all"]) == 0
+    assert capsys.readouterr().out.splitlines() == ["silver: 1 days, 1 rows, 0 days unlike their manifests", "gold: 1 days, 1 rows, 0 days unlike their manifests", "days without a manifest: 0"]
+    assert main([*roots, "run", "2026-09-22", "--force", "1", "--skip-verify", "trial"]) == 0
+    assert main([*roots, "status", "2026-09-22"]) == 0 and '"skipped": "trial"' in capsys.readouterr().out
     assert main([*roots, "status", "2026-09-21"]) == 0 and json.loads(capsys.readouterr().out)["status"] == "done"
     assert main([*roots, "health-check"]) == 1
 
@@ -42,6 +46,9 @@ def test_lists_of_days_are_whole(spark, tmp_path, capsys, monkeypatch):
     manifests = counts.select("dt", F.lit(2).cast("long").alias("silverRows"), F.lit(3).cast("long").alias("goldRows"))
     monkeypatch.setattr(Lake, "manifests", lambda self: manifests)
     assert listed("verify-all") == (1, [*days, *days])
+    assert main([*lake, "verify-all"]) == 1
+    totals = capsys.readouterr().out.splitlines()[-3:]
+    assert totals == [*(f"{t}: {n} days, {3 * n} rows, {n} days unlike their manifests" for t in ("silver", "gold")), "days without a manifest: 0"]
     same = counts.select("dt", F.lit(2).cast("long").alias("rows"), F.lit(2).cast("long").alias("distinct_ids"), F.lit(0).cast("long").alias("dup"))
     monkeypatch.setattr(quality, "per_day", lambda rows: same)
     monkeypatch.setattr(Lake, "manifests", lambda self: manifests.withColumn("goldRows", F.col("silverRows")))
