@@ -1,7 +1,11 @@
 """The pipeline's stages against brute force, each on its own input."""
 
+import random
 import re
+import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
 from brute import benchmark_brute, near_brute
 
 import corpus_pipeline as p
@@ -33,8 +37,7 @@ def test_stages(spark, tmp_path):
             bench = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").select("item_id", "text").collect()]
             want = {d for d, (_, hit, _) in zip(rows, benchmark_brute(rows.values(), bench), strict=True) if not hit}
         else:
-            pieces = out.collect()
-            assert {r["doc_id"] for r in pieces} == set(rows) and len({(r["doc_id"], r["piece"]) for r in pieces}) == len(pieces)
+            check_packed(rows, out.collect())
             return
         path = str(tmp_path / str(k))
         out.write.parquet(path)
@@ -43,6 +46,68 @@ def test_stages(spark, tmp_path):
         assert {r[0] for r in docs.select("doc_id").collect()} == want and docs.count() == len(want)
 
 
+def check_packed(rows, pieces):
+    """Every document's ids are there once, in order, and sequences are filled without gaps."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own, sequences = defaultdict(list), defaultdict(list)
+    for r in pieces:
+        own[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(own) == set(rows)
+    for d, text in rows.items():
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        of = sorted(own[d], key=lambda r: r["piece"])
+        assert [r["piece"] for r in of] == list(range(len(of))) and sum(r["length"] for r in of) == len(ids)
+        for r in of:
+            assert zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+    for s in sequences.values():
+        s.sort()
+        assert [o for o, _ in s] == [sum(n for _, n in s[:i]) for i in range(len(s))] and sum(n for _, n in s) <= 2048
+
+
+def test_empty_tables(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    for name, stage in p.STAGES:
+        out = stage(spark, docs, DATA)
+        assert out.count() == 0 and (name == "packed" or out.columns == docs.columns)
+
+
+def test_random_rows_with_few_ids_against_brute_force(spark):
+    """Ids repeat, are null, and stand for different texts: every stage decides row by row."""
+    rng = random.Random(11)
+    bench = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").select("item_id", "text").collect()]
+    base = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "rho", "tau"]) + str(rng.randrange(50)) for _ in range(60)) for _ in range(6)]
+    texts = []
+    for _ in range(40):
+        t = rng.choice(base)
+        kind = rng.randrange(4)
+        texts.append(t if kind == 0 else t + " " * rng.randrange(3) if kind == 1 else t + f" end{rng.randrange(3)}" if kind == 2 else f"{t} {rng.choice(bench)[1]}")
+    rows = [(rng.choice([None, 1, 2, 3, 4]), t, i) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key int").repartition(4)
+    order = lambda i: (rows[i][0] is None, rows[i][0] or 0)
+    kept = lambda stage: Counter(rows[r["row_key"]][:2] for r in stage(spark, docs, DATA).collect())
+
+    groups = defaultdict(list)
+    for i, (_, t, _) in enumerate(rows):
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t)].append(i)
+    best = [min(g, key=lambda i: (-len(rows[i][1]), order(i))) for g in groups.values()]
+    # Of rows that are equal in length and id, any stays.
+    assert sorted(len(t) for _, t in kept(p.exact).elements()) == sorted(len(rows[i][1]) for i in best)
+    assert sorted(repr(d) for d, _ in kept(p.exact).elements()) == sorted(repr(rows[i][0]) for i in best)
+
+    near = near_brute([(i, t) for i, (_, t, _) in enumerate(rows)])
+    groups = defaultdict(list)
+    for i, (_, c) in near.items():
+        groups[c].append(i)
+    assert sorted(repr(d) for d, _ in kept(p.near).elements()) == sorted(repr(rows[min(g, key=order)][0]) for g in groups.values())
+
+    clean = [rows[i][:2] for i, (_, hit, _) in enumerate(benchmark_brute(texts, bench)) if not hit]
+    assert 0 < len(clean) < len(rows) and kept(p.decontaminated) == Counter(clean)
+
+
 def test_repeated_ids_and_clashing_columns(spark):
     schema = "doc_id long, text string, lang string, found string, other_id int, stay int, nth int"
     rows = [(1, "the and of that " * 9, "en", "f", 1, 1, 1), (1, "the and of that " * 9, "en", "f", 1, 1, 1), (2, "the and of that " * 9, "en", "f", 2, 2, 2), (None, "with for this but " * 9, "en", "f", 3, 3, 3), (None, "with for this but " * 9, "en", "f", 3, 3, 3), (4, None, "en", "f", 4, 4, 4)]
