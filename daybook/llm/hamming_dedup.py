@@ -259,9 +259,10 @@ class NearDuplicates:
         self.scratch.drop(f"{name}-wanted")
         return made
 
-    def _confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (u, v) of classes whose full sets are similar enough."""
+    def _confirmed(self, pairs: DataFrame, name: str, *used: str) -> DataFrame:
+        """The pairs (u, v) of classes whose full sets are similar enough; used: tables that only the pairs are made of."""
         pairs = self.scratch.save(pairs, f"{name}-pairs")
+        self.scratch.drop(*used)
         ids = pairs.select(F.col("u").alias("cid")).unionAll(pairs.select(F.col("v").alias("cid")))
         sets = self._from_texts(ids, ["shingles"], "shingles binary", _set_column, f"{name}-sets")
         u = sets.select(F.col("cid").alias("u"), F.col("shingles").alias("su"))
@@ -332,10 +333,11 @@ class NearDuplicates:
             stars = mixed.where("root <> home").join(home, "key").select(F.least("cid", "centre").alias("u"), F.greatest("cid", "centre").alias("v"))
             edges = edges.unionAll(self._confirmed(self._near(stars), "home"))
             mixed = self._mixed(mixed.select("key", "cid", "rep"), edges, "second")
+            self.scratch.drop("first-mixed")
             rest = self._wide_rest(mixed)
         else:
             rest = self._rest(mixed)
-        return edges.unionAll(self._confirmed(rest, "rest"))
+        return edges.unionAll(self._confirmed(rest, "rest", "first-mixed", "second-mixed", "wide", "wide-sides"))
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row."""
