@@ -87,7 +87,9 @@ class Scratch:
     def release(self) -> None:
         """Delete the whole folder."""
         _delete(self.spark, self.root)
-        _runs[self.spark.sparkContext.applicationId].remove(self.root)
+        runs = _runs.get(self.spark.sparkContext.applicationId, [])
+        if self.root in runs:
+            runs.remove(self.root)
         self.names.clear()
 
 
