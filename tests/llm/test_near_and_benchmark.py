@@ -109,8 +109,7 @@ LONG = " ".join(f"filler{i % 977}" if i % 3000 else "the quick brown fox jumps o
 DOCS = [LONG, "the quick brown fox jumps over the lazy dog again " * 40, None, "", "the QUICK,brown fox jumps over the lazy dog again", "x the quick brown fox jumps over the lazy dog again and again today the of", "brown quick", "é1_B é1", "of the of the of", "quick " * 1000 + "brown", "no hit here", "no hit here"]
 
 
-@pytest.mark.parametrize("rows_bound", [dc.BROADCAST_ROWS, 0])
-@pytest.mark.parametrize("filter_bits", [listed.FILTER_BITS, 64])
+@pytest.mark.parametrize("rows_bound, filter_bits", [(dc.BROADCAST_ROWS, listed.FILTER_BITS), (0, 64)])
 def test_benchmark_against_brute_force(spark, make, monkeypatch, rows_bound, filter_bits):
     monkeypatch.setattr(dc, "BROADCAST_ROWS", rows_bound)
     monkeypatch.setattr(listed, "FILTER_BITS", filter_bits)
