@@ -164,6 +164,14 @@ def test_compaction_and_a_new_table(spark, roots, tmp_path):
     assert lake.read("gold").count() == 3 and lake.read("silver").where(f"dt = '{DT}'").count() == 4
 
 
+def test_day_without_objects(spark, tmp_path):
+    folder = tmp_path / "in" / "api-metrics" / DT / "web"
+    folder.mkdir(parents=True)
+    (folder / "_hidden").write_text("x")
+    m = run.run_days(spark, str(tmp_path / "in"), Lake(spark, str(tmp_path / "lake")), [DT])[DT]
+    assert m["status"] == "done" and m["bronzeObjectCount"] == 0 and m["verify"]["silverRows"] == 0
+
+
 def test_listing_of_nothing(spark, tmp_path):
     assert bronze.listing(spark, str(tmp_path), [DT]).count() == 0
 
