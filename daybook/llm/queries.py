@@ -76,6 +76,14 @@ def op10_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(decontaminate(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark")))
 
 
+def op11_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from daybook.llm.piece_encoding import digests
+
+    return digests(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_dictionary_warc": op1_dictionary_warc,
     "op2_secret_ledger": op2_secret_ledger,
@@ -87,6 +95,7 @@ QUERIES = {
     "op8_language_mixture": op8_language_mixture,
     "op9_hamming_dedup": op9_hamming_dedup,
     "op10_prefix_decontamination": op10_prefix_decontamination,
+    "op11_piece_backtracking": op11_piece_backtracking,
 }
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"

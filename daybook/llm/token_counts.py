@@ -4,8 +4,8 @@ Two facts are proved from the model itself before any text is read:
 
 - Cuts. The model's own specification says that it is BPE, that its normaliser has no character map, keeps all white
   space, writes spaces as the word mark and puts one before the text. If no piece of the vocabulary holds the mark after
-  another character, no merge can then ever join what stands before a space to what stands after it, so a text's
-  tokens are those of its words (each with the mark).
+  another character, no merge can then ever join what stands before a space to what stands after it; and if the mark is a
+  piece, it isn't one with an unknown before it either. A text's tokens are then those of its words (each with the mark).
 - Whole tokens. A vocabulary string is in the shortcut only if encoding it alone gives exactly one token.
 
 A word in the shortcut counts 1 at once; the others are merged by the library, once while the worker remembers them.
@@ -31,7 +31,7 @@ MARK = "▁"
 REMEMBERED, LONGEST = 200_000, 64
 
 
-def _fields(message: bytes):
+def model_fields(message: bytes):
     """(number, value) of the fields of a protocol-buffers message: an int, or bytes."""
     at = 0
 
@@ -66,7 +66,7 @@ _PLAIN = {2: (b"", b""), 3: (1, 1), 4: (1, 0), 5: (1, 1), 6: (b"", b"")}  # char
 
 def words_are_independent(model: bytes) -> bool:
     """Whether the specification in a model file lets words be tokenised one by one, as far as the vocabulary allows."""
-    parts = {n: dict(_fields(v)) for n, v in _fields(model) if n in (_TRAINER, _NORMALIZER)}
+    parts = {n: dict(model_fields(v)) for n, v in model_fields(model) if n in (_TRAINER, _NORMALIZER)}
     wanted = ((parts.get(_TRAINER, {}), _BPE), (parts.get(_NORMALIZER, {}), _PLAIN))
     return all(found.get(n, default) == want for found, rules in wanted for n, (default, want) in rules.items())
 
@@ -81,7 +81,8 @@ class WholeTokens:
             if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i) or processor.is_unused(i))
         ]
         crossing = any(MARK in pieces[i].lstrip(MARK) for i in ordinary)
-        self.cuts = not crossing and words_are_independent(processor.serialized_model_proto())
+        marks = any(pieces[i] == MARK for i in ordinary)
+        self.cuts = marks and not crossing and words_are_independent(processor.serialized_model_proto())
         self.whole: dict[str, int] = {}
         if self.cuts:
             marked = [(i, pieces[i][1:]) for i in ordinary if pieces[i].startswith(MARK) and MARK not in pieces[i][1:]]

@@ -55,3 +55,12 @@ def benchmark_brute(docs, items, window=10):
                     found |= of
         out.append((len(w), len(hit), sorted(found)))
     return out
+
+
+def varint(n):
+    return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+
+def message(*fields):
+    """A protocol-buffers message of (number, value) fields."""
+    return b"".join(varint(n << 3) + varint(v) if isinstance(v, int) else varint(n << 3 | 2) + varint(len(v)) + v for n, v in fields)

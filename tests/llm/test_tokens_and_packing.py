@@ -11,6 +11,8 @@ from hypothesis import strategies as st
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
+from brute import message  # noqa: E402
+
 from daybook.llm import token_counts as tc  # noqa: E402
 from daybook.llm import vector_packing as vp  # noqa: E402
 
@@ -36,14 +38,6 @@ def test_no_cuts_without_proof(monkeypatch):
     assert [counter.count(t) for t in texts(200)] == [len(x) for x in counter.processor.encode(texts(200))]
 
 
-def varint(n):
-    return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
-
-
-def message(*fields):
-    return b"".join(varint(n << 3) + varint(v) if isinstance(v, int) else varint(n << 3 | 2) + varint(len(v)) + v for n, v in fields)
-
-
 def test_the_specification_decides_about_cuts():
     model = tc.counter(PIECES).processor.serialized_model_proto()
     assert tc.words_are_independent(model)
