@@ -84,6 +84,12 @@ def op11_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.filter_audit import audit
+
+    return audit(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_dictionary_warc": op1_dictionary_warc,
     "op2_secret_ledger": op2_secret_ledger,
@@ -96,6 +102,7 @@ QUERIES = {
     "op9_hamming_dedup": op9_hamming_dedup,
     "op10_prefix_decontamination": op10_prefix_decontamination,
     "op11_piece_backtracking": op11_piece_backtracking,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
@@ -152,4 +159,24 @@ ORACLE_SQL = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN f USING (doc_id)
     """,
+    "op13_filter_interactions": r"""
+        WITH l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        f AS (SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+                     || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END
+                     || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                     || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM w),
+        g AS (SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a JOIN x b ON b.x <> a.x JOIN x c ON c.x NOT IN (a.x, b.x)
+              JOIN x d ON d.x NOT IN (a.x, b.x, c.x) JOIN x e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+        s AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM o),
+        k AS (SELECT *, substr(filter_order, step, 1) AS filter, substr(filter_order, 1, step - 1) AS earlier FROM s),
+        h AS (SELECT *, contains(fails, filter) AS hit, len(regexp_extract_all(earlier, '[' || fails || '_]')) = 0 AS here FROM g, k),
+        r AS (SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (here AND NOT hit), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (here AND hit), 0)::BIGINT AS removed,
+                     coalesce(sum(n) FILTER (hit AND NOT here), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = filter), 0)::BIGINT AS unique_fails,
+                     coalesce(sum(good) FILTER (here AND hit), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (here AND hit), 0)::BIGINT AS toxic_lost
+              FROM h GROUP BY part, filter_order, step, filter)
+        SELECT * EXCLUDE (filter), (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM r
+    """,
 }
