@@ -26,6 +26,7 @@ from __future__ import annotations
 import codecs
 import re
 import struct
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -39,8 +40,6 @@ from daybook.scratch import Scratch
 
 #: Parts that a worker remembers (two generations of this many), the longest of them, and pairs of pieces.
 REMEMBERED, LONGEST, PAIRS = 200_000, 64, 500_000
-#: Positions whose matches are looked up at a time; those of two such blocks are held.
-BLOCK = 4096
 # Kinds of pieces in the model file, fields of its trainer's specification, what an unknown is decoded to.
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _TRAINER, _BYTE_FALLBACK, _END_PIECE, _UNKNOWN_SURFACE = 2, 35, 47, 44
@@ -67,24 +66,52 @@ class Vocabulary:
         self.unknown_surface = trainer.get(_UNKNOWN_SURFACE, " ⁇ ".encode())
 
 
+class _Symbols(dict):
+    """Characters that are pieces, to their ids; other characters are symbols that no id names, ~(code point)."""
+
+    def __missing__(self, character: str) -> int:
+        return ~ord(character)
+
+
+class _Remembered(dict):
+    """The ids of parts as 32-bit numbers: two generations of at most REMEMBERED parts."""
+
+    def __init__(self, made):
+        super().__init__()
+        self.made, self.older = made, {}
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.older.get(part)
+        if found is None:
+            found = array("i", self.made(part)).tobytes()
+        if len(part) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[part] = found
+        return found
+
+
 class Encoder:
-    """Encodes texts; one per worker process. A token is a piece's id, or, of a character that is no piece, ~(its code point)."""
+    """Encodes texts; one per worker process. A token is a piece's id, or a symbol without one (negative)."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.symbols = _Symbols((text, i) for text, i in vocabulary.id.items() if len(text) == 1)
         self.automaton = ahocorasick.Automaton()
+        self.sizes = [len(text) for text in vocabulary.texts]
+        #: Of each piece, the longest of its prefixes that is a piece or a symbol; none of those of one character.
+        self.shorter: list[int | None] = [None] * len(self.sizes)
         for text, i in vocabulary.id.items():
             if len(text) > 1:
-                self.automaton.add_word(text, (i, len(text)))
+                self.automaton.add_word(text, (i, len(text) - 1))
+                prefixes = (vocabulary.id.get(text[:n]) for n in range(len(text) - 1, 1, -1))
+                self.shorter[i] = next((x for x in prefixes if x is not None), self.symbols[text[0]])
         self.automaton.make_automaton()
-        self.single = {text: i for text, i in vocabulary.id.items() if len(text) == 1}
-        self.sizes = [len(text) for text in vocabulary.texts]
-        self.longest = max(map(len, vocabulary.id), default=1)
         self.cuts = MARK in vocabulary.id and not any(MARK in t.lstrip(MARK) for t in vocabulary.id)
         self.parts = re.compile(f"{MARK}+[^{MARK}]*")
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.pairs: dict[tuple[int | None, int], bool] = {}
+        self.known = _Remembered(self.ids_of)
 
     def text_of(self, token: int) -> str:
         return self.vocabulary.texts[token] if token >= 0 else chr(~token)
@@ -110,51 +137,42 @@ class Encoder:
         found = self.pairs[before, token] = self.merged("".join(symbols)) == symbols
         return found
 
-    def _block(self, part: str, first: int) -> list[list[int]]:
-        """The tokens that begin at each position of a block, shorter ones first; one of a character's own is always there."""
-        single = self.single
-        out = [[single[c] if c in single else ~ord(c)] for c in part[first : first + BLOCK]]
-        size = len(out)
-        for end, (token, n) in self.automaton.iter(part, first, min(len(part), first + size + self.longest)):
-            start = end - n + 1 - first
-            if 0 <= start < size:
-                out[start].append(token)
-        return out
-
     def tokens(self, part: str) -> list[int]:
-        """The tokens of a part, by backtracking. Options are used up where they are: no position is entered twice."""
-        pairs, sizes, length = self.pairs, self.sizes, len(part)
-        blocks = {0: self._block(part, 0)}
+        """The tokens of a part, by backtracking."""
+        # What to try next at each position: the longest match, then the next shorter ones. No position is entered twice.
+        options: list[int | None] = list(map(self.symbols.__getitem__, part))
+        for last, (token, rest) in self.automaton.iter(part):
+            options[last - rest] = token
+        pairs, sizes, shorter, length = self.pairs, self.sizes, self.shorter, len(part)
         failed = bytearray((length >> 3) + 1)
         tokens: list[int] = []
         at, before = 0, None
         while at < length:
-            number = at // BLOCK
-            if number not in blocks:
-                if len(blocks) == 2:
-                    del blocks[max(blocks, key=lambda n: abs(n - number))]
-                blocks[number] = self._block(part, number * BLOCK)
-            options = blocks[number][at % BLOCK]
-            while options:
-                token = options.pop()
-                end = at + (sizes[token] if token >= 0 else 1)
-                if failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                fits = pairs.get((before, token))
-                if fits or fits is None and self.fits(before, token):
-                    tokens.append(token)
-                    at, before = end, token
-                    break
-            else:
+            token = options[at]
+            if token is None:
                 failed[at >> 3] |= 1 << (at & 7)
                 token = tokens.pop()
                 at -= sizes[token] if token >= 0 else 1
                 before = tokens[-1] if tokens else None
+                continue
+            if token >= 0:
+                end, options[at] = at + sizes[token], shorter[token]
+            else:
+                end, options[at] = at + 1, None
+            if failed[end >> 3] >> (end & 7) & 1:
+                continue
+            fits = pairs.get((before, token))
+            if fits or fits is None and self.fits(before, token):
+                tokens.append(token)
+                at, before = end, token
         return tokens
 
     def ids_of(self, part: str) -> list[int]:
-        out, v = [], self.vocabulary
-        for token in self.tokens(part):
+        tokens, v = self.tokens(part), self.vocabulary
+        if min(tokens) >= 0:
+            return tokens
+        out: list[int] = []
+        for token in tokens:
             if token >= 0:
                 out.append(token)
             elif v.byte:
@@ -163,25 +181,12 @@ class Encoder:
                 out.append(v.unknown)
         return out
 
-    def _part(self, part: str) -> bytes:
-        """The ids of a part as 32-bit numbers."""
-        found = self.known.get(part)
-        if found is None:
-            found = self.older.get(part)
-            if found is None:
-                found = np.array(self.ids_of(part), np.int32).tobytes()
-            if len(part) <= LONGEST:
-                if len(self.known) >= REMEMBERED:
-                    self.older, self.known = self.known, {}
-                self.known[part] = found
-        return found
-
     def encode(self, text: str) -> bytes:
         """The ids of a text as 32-bit numbers."""
         if not text:
             return b""
         marked = MARK + text.replace(" ", MARK)
-        return b"".join(map(self._part, self.parts.findall(marked))) if self.cuts else np.array(self.ids_of(marked), np.int32).tobytes()
+        return b"".join(map(self.known.__getitem__, self.parts.findall(marked) if self.cuts else (marked,)))
 
 
 class Decoder:
