@@ -84,6 +84,12 @@ def op11_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_summa_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.summa_negatives import mine
+
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.filter_audit import audit
 
@@ -102,6 +108,7 @@ QUERIES = {
     "op9_hamming_dedup": op9_hamming_dedup,
     "op10_prefix_decontamination": op10_prefix_decontamination,
     "op11_piece_backtracking": op11_piece_backtracking,
+    "op12_summa_negatives": op12_summa_negatives,
     "op13_filter_interactions": op13_filter_interactions,
 }
 
@@ -159,6 +166,18 @@ ORACLE_SQL = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN f USING (doc_id)
     """,
+    "op12_summa_negatives": r"""
+        WITH v AS (SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+        n AS (SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b)::INT AS rank, s.b AS negative_id,
+                     p.score AS positive_score, s.score AS negative_score
+              FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+        SELECT * FROM n WHERE rank <= 10
+    """,
     "op13_filter_interactions": r"""
         WITH l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
         w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
