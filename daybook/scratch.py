@@ -14,6 +14,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +95,19 @@ class Scratch:
         self.names.clear()
 
 
+@contextmanager
+def borrowed(spark: SparkSession) -> Iterator[None]:
+    """Release all runs that begin inside, results too: for callers that have written what they need of them."""
+    app = spark.sparkContext.applicationId
+    before = set(_runs.get(app, []))
+    try:
+        yield
+    finally:
+        for root in [r for r in _runs.get(app, []) if r not in before]:
+            _delete(spark, root)
+            _runs[app].remove(root)
+
+
 def is_at_most(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; reads no further than that."""
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows

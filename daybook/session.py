@@ -37,7 +37,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Bytes of files beyond which a scan is never dealt anew: its splits are as many as they should be.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(rows: DataFrame) -> DataFrame:
-    """A file scan dealt over all cores where its few files would keep most of them idle; a larger one stays as it is."""
+    """A scan of a few small files dealt over all cores, most of which they would keep idle; any larger one stays as it is."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores) if size <= SPREAD_BYTES and rows.rdd.getNumPartitions() < cores else rows
