@@ -39,7 +39,7 @@ from daybook.llm.token_counts import MARK, model_fields, words_are_independent
 from daybook.scratch import Scratch
 
 #: Parts that a worker remembers (two generations of this many), the longest of them, and pairs of pieces.
-REMEMBERED, LONGEST, PAIRS = 200_000, 64, 500_000
+REMEMBERED, LONGEST, PAIRS = 500_000, 64, 500_000
 # Kinds of pieces in the model file, fields of its trainer's specification, what an unknown is decoded to.
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _TRAINER, _BYTE_FALLBACK, _END_PIECE, _UNKNOWN_SURFACE = 2, 35, 47, 44
@@ -81,9 +81,7 @@ class _Remembered(dict):
         self.made, self.older = made, {}
 
     def __missing__(self, part: str) -> bytes:
-        found = self.older.get(part)
-        if found is None:
-            found = array("i", self.made(part)).tobytes()
+        found = self.older.get(part) or array("i", self.made(part)).tobytes()
         if len(part) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
@@ -143,28 +141,35 @@ class Encoder:
         options: list[int | None] = list(map(self.symbols.__getitem__, part))
         for last, (token, rest) in self.automaton.iter(part):
             options[last - rest] = token
-        pairs, sizes, shorter, length = self.pairs, self.sizes, self.shorter, len(part)
-        failed = bytearray((length >> 3) + 1)
+        known, sizes, shorter, length = self.pairs.get, self.sizes, self.shorter, len(part)
+        failed = None
         tokens: list[int] = []
         at, before = 0, None
         while at < length:
             token = options[at]
             if token is None:
+                if failed is None:
+                    failed = bytearray((length >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 token = tokens.pop()
                 at -= sizes[token] if token >= 0 else 1
                 before = tokens[-1] if tokens else None
                 continue
             if token >= 0:
-                end, options[at] = at + sizes[token], shorter[token]
+                end = at + sizes[token]
+                options[at] = shorter[token]
             else:
-                end, options[at] = at + 1, None
-            if failed[end >> 3] >> (end & 7) & 1:
+                end = at + 1
+                options[at] = None
+            if failed is not None and failed[end >> 3] >> (end & 7) & 1:
                 continue
-            fits = pairs.get((before, token))
-            if fits or fits is None and self.fits(before, token):
+            fits = known((before, token))
+            if fits is None:
+                fits = self.fits(before, token)
+            if fits:
                 tokens.append(token)
-                at, before = end, token
+                at = end
+                before = token
         return tokens
 
     def ids_of(self, part: str) -> list[int]:
