@@ -43,6 +43,6 @@ SPREAD_BYTES = 256 << 20
 
 def spread(rows: DataFrame) -> DataFrame:
     """A scan of a few small files dealt over all cores, most of which they would keep idle; any larger one stays as it is."""
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if size <= SPREAD_BYTES and rows.rdd.getNumPartitions() < cores else rows
