@@ -216,21 +216,22 @@ def dictionary_of(rows: DataFrame, digests: DataFrame, dictionary_from: int, siz
     # With its headers a record has some hundred bytes more.
     total = distinct.agg(F.sum(F.col("size") + 500)).first()[0] or 0
     drawn = F.pmod(F.xxhash64("sha1"), F.lit(1 << 40)) / float(1 << 40)
-    picked = distinct.where(drawn < min(1.0, dictionary_from / max(total, 1))).select("page_id").distinct()
+    picked = distinct.where(drawn < min(1.0, dictionary_from / max(total, 1))).select("page_id", "sha1")
 
     def run(batches):
         records, held = [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # A page id that repeats brings more rows than were drawn.
+                # What was drawn is about so many bytes, but for the chance of the draw.
                 if held < 2 * dictionary_from:
                     records.append(_record_of(row, ""))
                     held += len(records[-1])
         yield pa.RecordBatch.from_arrays([pa.array([train(records, size)], pa.binary())], names=["dictionary"])
 
-    sample = rows.join(F.broadcast(picked), "page_id").repartition(1).sortWithinPartitions("page_id", "sha1")
-    found = sample.select("page_id", "url", "payload", "sha1", "size", F.lit(None).cast(sample.schema["page_id"].dataType)).mapInArrow(run, "dictionary binary").first()
-    return bytes(found[0]) if found and found[0] else None
+    # Repeated rows go before the shuffle, so that one task gets the drawn records once each.
+    sample = rows.join(F.broadcast(picked), ["page_id", "sha1"]).dropDuplicates(["page_id", "sha1"]).repartition(1).sortWithinPartitions("page_id", "sha1")
+    found = sample.select("page_id", "url", "payload", "sha1", "size", F.lit(None).cast(sample.schema["page_id"].dataType)).mapInArrow(run, "dictionary binary").collect()
+    return bytes(found[0][0]) if found and found[0][0] else None
 
 
 def write_archives(
