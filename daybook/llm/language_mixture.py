@@ -7,9 +7,9 @@ kept only if it gains more than PENALTY * log(trigrams) in log-likelihood (trigr
 likelihood counts). A background of equal likelihood for all trigrams takes what no language explains, free of charge.
 
 Learning: of the labelled rows outside the held-out fold, a sample by hash of about `rows_per_language` rows of each
-language (this bound is the parameter; how many rows each language has is counted over all of them). At most `most`
-languages are learned, those with most labelled rows, which bounds the model whatever a label column holds. Prediction
-reads nothing but the text, whole.
+language (this bound is the parameter; how many rows each language has is counted over all of them). All labelled
+languages are learned; more than `most` of them, which would no longer be a column of languages and would make the model
+too large to send to every task, are an error. Prediction reads nothing but the text, whole.
 
 Defined cases: null and texts without a letter get `und` and score 0, and so do all texts if nothing could be learned;
 rows without a language label are not learned from; repeated rows are predicted each; ties go to the language first
@@ -30,7 +30,7 @@ from daybook.llm.common import bounded_batches, fold
 from daybook.scratch import Scratch
 
 BITS = 15
-ROWS_PER_LANGUAGE, LANGUAGES = 3000, 200
+ROWS_PER_LANGUAGE, LANGUAGES = 3000, 1000
 PENALTY, ROUNDS, TOLERANCE = 2.0, 25, 1e-3
 UNDETERMINED = "und"
 #: Folds, and the one that is never learned from.
@@ -97,8 +97,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(most)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(most + 1)
     sizes = sorted((r[0], r[1]) for r in sizes.collect())
+    if len(sizes) > most:
+        raise ValueError(f"there are labels of more than {most} languages")
     if not sizes:
         return Model([], np.zeros((1, 1 << BITS)))
     number = F.create_map(*(F.lit(x) for k, (lang, _) in enumerate(sizes) for x in (lang, k)))[F.col("lang")]

@@ -1,6 +1,7 @@
 """Language mixtures and the quality machine: the mathematics, and held-out accuracy."""
 
 import itertools
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -79,15 +80,24 @@ def test_language_sets_are_those_of_full_enumeration(spark):
     assert same >= 0.95 * len(texts)
 
 
-def test_ties_go_to_the_first_language_and_labels_are_bounded(spark):
-    rows = [(i, "same words in both of them " * 3, lang) for i, lang in enumerate(["zz", "aa"] * 20)] + [(100 + i, "other text", f"rare{i}") for i in range(30)]
-    docs = spark.createDataFrame([r for r in rows if r[1]], "doc_id long, text string, lang string")
-    model = lm.fit(docs, rows_per_language=10**6, most=2)
+def test_ties_go_to_the_first_language(spark):
+    rows = [(i, "same words in both of them " * 3, lang) for i, lang in enumerate(["zz", "aa"] * 20)]
+    model = lm.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows_per_language=10**6)
     assert model.languages == ["aa", "zz"] and model.grams.shape[0] == 3
     model.grams[1] = model.grams[0]
     assert model.infer("same words in both of them")[0] == "aa"
 
 
+def test_all_languages_are_learned_or_refused(spark):
+    rows = [(i, f"word{i % 205} of its own " * 5, f"l{i % 205:03d}") for i in range(820)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held_out = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % lm.FOLDS == lm.HELD_OUT}
+    learned = sorted({lang for i, _, lang in rows if i not in held_out})
+    assert lm.fit(docs, rows_per_language=10**6).languages == learned and len(learned) > 200
+    with pytest.raises(ValueError, match="more than 200 languages"):
+        lm.fit(docs, most=200)
+
+
 def test_language_edge_cases(spark):
     schema = "doc_id long, text string, lang string, found string, score string"
     rows = [(i, "und der die das nicht ein " * 3, "de", "x", "y") for i in range(20)] + [(100 + i, "the and of that with for " * 3, "en", "x", "y") for i in range(20)]
