@@ -16,10 +16,12 @@ has a probability of about 1e-5, and of nearly nothing at higher ones.
 - How many comparisons the rest takes is counted before. If they are more than PER_ROW for each row of the listing, they
   are made fewer first: under keys that still hold several components, classes outside the largest are compared with
   one class inside it, another one under each key, and what that confirms is contracted too. Then the classes involved
-  get a wide signature of WIDE two-bit minima, whose distance at a similarity of 0.75 is above WIDE_RADIUS with a
-  probability of about 1e-6, and a pair is formed under the first key that it shares only.
-- All rounds test size and distance inside the join and confirm the survivors on their full sets, recomputed from
-  the texts of the documents involved.
+  get a wide signature of WIDE two-bit minima, and a pair is formed under the first key that it shares only. The wide
+  signature accepts nothing: it only stops pairs whose distance in it is above WIDE_RADIUS, which at a similarity of 0.75
+  has a probability of about 1e-6.
+- All rounds accept by size and RADIUS inside the join and confirm the survivors on their full sets, recomputed from
+  the texts of the documents involved. A class's text is fetched by an id and the text's own hash, so rows that share an
+  id, or have none, meet their own classes only.
 
 Defined cases: null and blank texts have empty sets, linked with nothing; a text with fewer words than a shingle has
 one shingle of all its words; equal ids are one document for component_id; a null id is never the smallest unless all
@@ -122,10 +124,10 @@ def _describe(size: int):
             signed = np.array(sig, np.uint64).reshape(-1, CHUNKS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(n, pa.int64()), *(pa.array([x[k] for x in sums], pa.int64()) for k in (0, 1)),
+                    batch.column(0), batch.column(2), pa.array(n, pa.int64()), *(pa.array([x[k] for x in sums], pa.int64()) for k in (0, 1)),
                     *(pa.array(np.ascontiguousarray(c)) for c in signed.T),
                 ],
-                names=["doc_id", "n_shingles", "f1", "f2", *_CHUNK],
+                names=["doc_id", "hash", "n_shingles", "f1", "f2", *_CHUNK],
             )
 
     return run
@@ -225,14 +227,17 @@ class NearDuplicates:
         self.size, self.percent = size, percent
         self.spark = docs.sparkSession
         self.scratch = Scratch(self.spark, "near-dedup")
-        self.rows = docs.select(F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("text"))
+        self.rows = docs.select(F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("text")).withColumn("hash", F.xxhash64("text"))
         kind = self.rows.schema["doc_id"].dataType.simpleString()
         longs = ", ".join(f"{c} long" for c in ("n_shingles", "f1", "f2", *_CHUNK))
         with bounded_batches(self.spark):
-            self.docs = self.scratch.save(self.rows.mapInArrow(_describe(size), f"doc_id {kind}, {longs}"), "docs")
+            self.docs = self.scratch.save(self.rows.mapInArrow(_describe(size), f"doc_id {kind}, hash long, {longs}"), "docs")
         classes = (
             self.docs.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2")
-            .agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("members"), *(F.first(c).alias(c) for c in _CHUNK))
+            .agg(
+                F.min("doc_id").alias("rep_id"), F.min(F.struct("doc_id", "hash")).alias("rep"), F.count(F.lit(1)).alias("members"),
+                *(F.first(c).alias(c) for c in _CHUNK),
+            )
             .withColumn("cid", F.monotonically_increasing_id())
         )
         self.classes = self.scratch.save(classes, "classes")
@@ -247,11 +252,11 @@ class NearDuplicates:
         return self.classes.select(*(F.col(c).alias(prefix + c) for c in ("cid", "n_shingles", *_CHUNK)))
 
     def _from_texts(self, ids: DataFrame, names: list[str], types: str, columns, name: str) -> DataFrame:
-        """(cid, columns) of the classes listed in ids, made from the texts of their smallest documents."""
-        wanted = self.classes.join(ids.select("cid").distinct(), "cid").select(F.struct("rep_id").alias("rep"), "cid", "n_shingles", "f1", "f2")
+        """(cid, columns) of the classes listed in ids, made from the text of one document of each."""
+        wanted = self.classes.join(ids.select("cid").distinct(), "cid").select("rep", "cid", "n_shingles", "f1", "f2")
         wanted = self.scratch.save(wanted, f"{name}-wanted")
         # Ids within structs, where nulls are equal.
-        texts = joined(self.rows.select(F.struct(F.col("doc_id").alias("rep_id")).alias("rep"), "text"), wanted, ["rep"], "inner", BROADCAST_ROWS)
+        texts = joined(self.rows.select(F.struct("doc_id", "hash").alias("rep"), "text"), wanted, ["rep"], "inner", BROADCAST_ROWS)
         with bounded_batches(self.spark):
             made = texts.select("cid", "n_shingles", "f1", "f2", "text").mapInArrow(_over_sets(self.size, names, columns), f"cid long, {types}")
             # Repeated rows give a class the same columns several times; that does no harm.
@@ -318,7 +323,7 @@ class NearDuplicates:
         wide = self._from_texts(mixed, _WORD, ", ".join(f"{w} long" for w in _WORD), _wide_columns, "wide").dropDuplicates(["cid"])
         wide = self.scratch.save(self.classes.select("cid", "n_shingles", *_CHUNK).join(wide, "cid"), "wide-sides")
         a, b = (wide.select(*(F.col(c).alias(p + c) for c in wide.columns)) for p in ("a_", "b_"))
-        near = _sizes_allow(self.percent) & _within_wide_radius() & _first_shared(F.col("l.key"))
+        near = _sizes_allow(self.percent) & _within_radius() & _within_wide_radius() & _first_shared(F.col("l.key"))
         return self._untested(mixed, a, b).where(near).select(F.least("a_cid", "b_cid").alias("u"), F.greatest("a_cid", "b_cid").alias("v")).distinct()
 
     def links(self) -> DataFrame:

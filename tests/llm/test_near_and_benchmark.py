@@ -54,6 +54,30 @@ def test_near_copies_without_ids(make):
     assert sorted((repr(r["doc_id"]), r["component_id"]) for r in got) == [("4", 4)] * 3 + [("None", 4)] * 3
 
 
+@pytest.mark.parametrize("ids", [None, 7])
+def test_many_rows_without_ids_or_with_one(make, ids, monkeypatch):
+    """A class's text is read once for each row that holds it, however many rows share the id."""
+    seen = []
+    plain = hd.NearDuplicates._from_texts
+
+    def counted(self, *args):
+        made = plain(self, *args)
+        seen.append((made.count(), made.select("cid").distinct().count()))
+        return made
+
+    monkeypatch.setattr(hd.NearDuplicates, "_from_texts", counted)
+    rng = random.Random(9)
+    rows = []
+    for g in range(100):
+        base = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(20):
+            base[rng.randrange(60)] = f"x{rng.random()}"
+            rows.append((ids, " ".join(base)))
+    got = hd.near_duplicates(make(rows)).collect()
+    assert len(got) == 2000 and {(r["doc_id"], r["component_id"]) for r in got} == {(ids, ids)}
+    assert seen and all(texts == classes for texts, classes in seen)
+
+
 def test_without_broadcasts(make, monkeypatch):
     monkeypatch.setattr(hd, "BROADCAST_ROWS", 0)
     rows = varied(2, 3, 15, 8)
@@ -109,7 +133,8 @@ LONG = " ".join(f"filler{i % 977}" if i % 3000 else "the quick brown fox jumps o
 DOCS = [LONG, "the quick brown fox jumps over the lazy dog again " * 40, None, "", "the QUICK,brown fox jumps over the lazy dog again", "x the quick brown fox jumps over the lazy dog again and again today the of", "brown quick", "é1_B é1", "of the of the of", "quick " * 1000 + "brown", "no hit here", "no hit here"]
 
 
-@pytest.mark.parametrize("rows_bound, filter_bits", [(dc.BROADCAST_ROWS, listed.FILTER_BITS), (0, 64)])
+@pytest.mark.parametrize("rows_bound", [dc.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("filter_bits", [listed.FILTER_BITS, 64])
 def test_benchmark_against_brute_force(spark, make, monkeypatch, rows_bound, filter_bits):
     monkeypatch.setattr(dc, "BROADCAST_ROWS", rows_bound)
     monkeypatch.setattr(listed, "FILTER_BITS", filter_bits)
