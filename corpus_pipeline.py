@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import bounded_batches, table
 from daybook.llm.listed import joined
-from daybook.scratch import Scratch
+from daybook.scratch import Scratch, borrowed
 from daybook.session import spread
 
 #: Share of a document that its languages together must explain, and rows of a list of ids that may be broadcast.
@@ -49,11 +49,16 @@ def _kept(spark: SparkSession, docs: DataFrame, label: str, decide: Callable[[Da
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language or mixture; those without text or letters, or that no languages explain, go."""
+    """Documents in some language or mixture; those without text or letters, or that no languages explain, go.
+
+    If no document says its language, nothing is known of any, and all stay.
+    """
     from daybook.llm.language_mixture import detect, fit, selected
 
-    name = _free(docs, "found")
-    found = docs.withColumn(name, detect(fit(docs), F.col("text"), spark))
+    model, name = fit(docs), _free(docs, "found")
+    if not model.languages:
+        return docs
+    found = docs.withColumn(name, detect(model, F.col("text"), spark))
     return selected(found, LEAST_SHARE, name).select(*docs.columns)
 
 
@@ -105,7 +110,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = spread(table(spark, sf_dir, "documents"))
     for name, stage in STAGES:
-        with bounded_batches(spark):
+        # What a stage and its operator have written goes once its result is.
+        with borrowed(spark), bounded_batches(spark):
             docs = scratch.save(stage(spark, docs, sf_dir), name)
         scratch.drop(*(scratch.names - {name}))
     return docs
