@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 from brute import benchmark_brute, near_brute
+from pyspark.sql import functions as F
 
 import corpus_pipeline as p
 from daybook.llm import language_mixture as lm
@@ -22,7 +23,8 @@ def test_stages(spark, tmp_path):
         out = stage(spark, docs, DATA)
         if name == "language":
             model = lm.fit(docs)
-            want = {d for d, t in rows.items() if model.infer(t)[0] != "und" and model.infer(t)[1] >= p.LEAST_SHARE}
+            found = {d: model.infer(t) for d, t in rows.items()}
+            want = {d for d, (lang, _, shares) in found.items() if lang != "und" and sum(s for _, s in shares) >= p.LEAST_SHARE}
             assert len(want) >= 0.95 * len(rows)
         elif name == "exact":
             best = {}
@@ -68,6 +70,32 @@ def check_packed(rows, pieces):
         assert [o for o, _ in s] == [sum(n for _, n in s[:i]) for i in range(len(s))] and sum(n for _, n in s) <= 2048
 
 
+def test_documents_of_no_known_language_stay(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    out = p.STAGES[0][1](spark, docs, DATA)
+    assert out.count() == docs.count() and out.columns == docs.columns
+
+
+def test_a_mixture_stays(spark):
+    rows = [(i, "und der die das nicht ein " * 9, "de") for i in range(30)] + [(100 + i, "the and of that with for " * 9, "en") for i in range(30)]
+    rows += [(200, "und der die das nicht ein the and of that with for " * 9, None), (201, "1234 5678", None), (202, "qxz" * 200, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in p.STAGES[0][1](spark, docs, DATA).collect()} == {201, 202}
+
+
+def test_a_run_leaves_its_result_only(spark, tmp_path, monkeypatch):
+    from daybook import scratch
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    (tmp_path / "in").mkdir()
+    docs.unionByName(docs.limit(9)).write.parquet(str(tmp_path / "in/documents.parquet"))
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(str(tmp_path / "in/benchmark.parquet"))
+    monkeypatch.setattr(scratch, "shared_root", lambda _: f"file:{tmp_path}/shared")
+    assert p.run(spark, str(tmp_path / "in")).count() > 60
+    left = {str(x.relative_to(tmp_path / "shared")).partition("/")[2] for x in (tmp_path / "shared").glob("*/*")}
+    assert left == {"packed"} and len(list((tmp_path / "shared").iterdir())) == 1
+
+
 def test_empty_tables(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for name, stage in p.STAGES:
