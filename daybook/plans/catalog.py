@@ -153,7 +153,7 @@ def gold_partial_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_sql("SELECT count(*) AS gold_rows, sum(requests)::BIGINT AS gold_requests_sum FROM gold"))
 def gold_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.totals(gold.daily(w.silver(spark, sf_dir)))
+    return gold.totals(gold.groups(w.silver(spark, sf_dir)))
 
 
 _DAY = "2024-01-13"

@@ -97,7 +97,7 @@ def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dt, status, silverRows, goldRows of each day but days 6n, one row too many on days 8n."""
     rows = silver(spark, sf_dir)
     s = rows.groupBy("dt").agg(F.count(F.lit(1)).alias("silverRows"))
-    g = gold.daily(rows).groupBy("dt").agg(F.count(F.lit(1)).alias("goldRows"))
+    g = gold.groups(rows).groupBy("dt").agg(F.count(F.lit(1)).alias("goldRows"))
     day = day_of(F.col("dt"))
     return s.join(g, "dt").where(day % 6 != 0).select(
         "dt", F.lit("done").alias("status"), (F.col("silverRows") + F.when(day % 8 == 0, 1).otherwise(0)).alias("silverRows"), "goldRows"
@@ -105,4 +105,4 @@ def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_counts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return quality.per_day(stored_silver(spark, sf_dir)), quality.per_day(gold.daily(silver(spark, sf_dir)))
+    return quality.per_day(stored_silver(spark, sf_dir)), quality.per_day(gold.groups(silver(spark, sf_dir)))
