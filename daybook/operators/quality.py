@@ -29,7 +29,7 @@ def scan_summary(counts: DataFrame) -> DataFrame:
 
 
 def dedupe(rows: DataFrame) -> DataFrame:
-    """One row for each id; equal ids are equal rows, so it doesn't matter which."""
+    """One row for each id; where conflicting() finds none, equal ids are equal rows, so it doesn't matter which."""
     return rows.dropDuplicates(["dt", "row_uid"])
 
 
@@ -94,6 +94,34 @@ def missing_objects(listing: DataFrame, read: DataFrame) -> DataFrame:
     return listing.where(F.col("length") > 0).join(read.select("source_key").distinct(), "source_key", "left_anti")
 
 
+def listing_problems(listed: DataFrame, read: DataFrame, again: DataFrame) -> DataFrame:
+    """dt, source_key, problem of objects that weren't the same before, during and after reading.
+
+    Each frame has dt, source_key, length, modified. late: not listed before; lost: listed before, but not read (empty ones
+    have nothing to read) or not there afterwards; changed: of another length or time when it was read or listed again.
+    """
+    frames = [("listed", listed), ("read", read), ("again", again)]
+    one = [
+        f.groupBy("dt", "source_key").agg(F.max("length").alias(f"{n}_length"), F.max("modified").alias(f"{n}_modified")).withColumn(n, F.lit(True)) for n, f in frames
+    ]
+    both = one[0].join(one[1], ["dt", "source_key"], "full").join(one[2], ["dt", "source_key"], "full")
+    there = {n: F.col(n).isNotNull() for n, _ in frames}
+    other = lambda n: there[n] & (~F.col(f"{n}_length").eqNullSafe(F.col("listed_length")) | ~F.col(f"{n}_modified").eqNullSafe(F.col("listed_modified")))
+    problem = (
+        F.when(~there["listed"], "late").when((~there["read"] & (F.col("listed_length") > 0)) | ~there["again"], "lost")
+        .when(other("read") | other("again"), "changed")
+    )
+    return both.select("dt", "source_key", problem.alias("problem")).where("problem is not null")
+
+
+def conflicting(rows: DataFrame) -> DataFrame:
+    """dt, row_uid, copies, contents of ids that stand for rows of different content, by a fingerprint of all columns."""
+    content = F.struct(*(c for c in rows.columns if c not in ("dt", "row_uid")))
+    marks = rows.select("dt", "row_uid", F.xxhash64(content).alias("a"), F.crc32(F.encode(F.to_json(content), "UTF-8")).alias("b"))
+    by_mark = marks.groupBy("dt", "row_uid", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return by_mark.groupBy("dt", "row_uid").agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("contents")).where("contents > 1")
+
+
 # The sentences on what is wrong with a manifest; what follows a colon or "is" is its own.
 MISSING, STATUS, UNVERIFIED = "manifest is missing (the workflow may not have completed)", "status is ", "verify has not run"
 FAILED, SKIPPED = "verify failed: ", "verify was skipped: "

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.columns import silver_uid, status_class
+from daybook.schemas import SILVER
 
 #: ISO-8601 days and times. Other forms that lenient parsers take are refused.
 _TIME = r"^\d{4}(-\d{2}(-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?(Z|[+-]\d{2}:\d{2})?)?)?)?$"
@@ -56,8 +57,8 @@ def _time(text: Column) -> Column:
     return F.when(text.rlike(_TIME), seconds.try_cast("timestamp"))
 
 
-def parsed(df: DataFrame) -> DataFrame:
-    """df (dt, service, source_key, line_index, line) with its typed columns and reason (null: valid)."""
+def parsed(df: DataFrame, *more: str) -> DataFrame:
+    """df (dt, service, source_key, line_index, line) with its typed columns and reason (null: valid), and more columns of its own."""
     texts, numbers = ("timestamp", "endpoint", "method", *_OPTIONAL_TEXTS), ("status", "latency_ms", *_OPTIONAL_NUMBERS)
     # A generator between the steps keeps Catalyst from writing each step out again wherever the next one uses it.
     df = df.select("*", F.explode(F.array(_in_list(F.col("line")))).alias("_l"))
@@ -89,13 +90,13 @@ def parsed(df: DataFrame) -> DataFrame:
         F.when(_is_number("status") & status.between(100, 599), status).cast("int").alias("status"),
         status_class(status).alias("status_class"), latency.alias("latency_ms"), *(kept(n, _is_number) for n in _OPTIONAL_NUMBERS),
         *(kept(n, _is_text) for n in _OPTIONAL_TEXTS), "source_key", silver_uid(F.col("source_key"), F.col("line_index")).alias("row_uid"),
-        reason.alias("reason"), F.col("line").alias("raw"),
+        reason.alias("reason"), F.col("line").alias("raw"), *more,
     )
 
 
 def silver(df: DataFrame) -> DataFrame:
     """The valid rows of `parsed`."""
-    return df.where(F.col("reason").isNull()).drop("reason", "raw")
+    return df.where(F.col("reason").isNull()).select(*SILVER.fieldNames())
 
 
 def quarantine(df: DataFrame) -> DataFrame:

@@ -25,6 +25,19 @@ GOLD = T.StructType(
 
 QUARANTINE = T.StructType([T.StructField(c, _s) for c in ("reason", "source_key", "raw", "row_uid", "dt")])
 
+#: Counts by measured latency and colo (null: none); they may be negative, to take others back.
+PARTIALS = T.StructType(
+    [
+        *(T.StructField(c, _s) for c in ("dt", "service", "endpoint", "method")), T.StructField("measured", _d), T.StructField("colo", _s),
+        *(T.StructField(c, _l) for c in ("requests", "errors_4xx", "errors_5xx")),
+    ]
+)
+#: The objects that a day was made of, as they were then.
+OBJECTS = T.StructType([T.StructField("dt", _s), T.StructField("service", _s), T.StructField("source_key", _s), T.StructField("length", _l), T.StructField("modified", T.TimestampType())])
+#: Objects that were late, lost or changed while a day was read; ids that stand for rows of different content.
+DISCREPANCIES = T.StructType([T.StructField(c, _s) for c in ("dt", "source_key", "problem")])
+CONFLICTS = T.StructType([T.StructField("dt", _s), T.StructField("row_uid", _s), T.StructField("copies", _l), T.StructField("contents", _l)])
+
 REQUIRED = {
     "silver": ("ts", "dt", "service", "endpoint", "method", "status", "status_class", "latency_ms", "source_key", "row_uid"),
     "gold": (
@@ -42,6 +55,7 @@ MANIFEST = T.StructType(
     [
         T.StructField("dt", _s), T.StructField("status", _s), T.StructField("startedAt", _s), T.StructField("finishedAt", _s),
         *(T.StructField(c, _l) for c in COUNTERS), T.StructField("services", T.ArrayType(_s)),
+        T.StructField("objectProblems", T.StructType([*(T.StructField(c, _l) for c in ("late", "lost", "changed")), T.StructField("keys", T.ArrayType(_s))])),
         T.StructField(
             "assertions",
             T.StructType(

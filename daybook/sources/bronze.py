@@ -6,11 +6,15 @@ packed into few tasks. Objects right under the day, and names that begin with _
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from daybook.functions.columns import lines
+from daybook.functions.columns import lines, trimmed
 from daybook.functions.days import BRONZE, check_dt
+from daybook.scratch import Scratch
 
 
 def _path(spark: SparkSession, path: str):
@@ -44,32 +48,90 @@ def _folders(spark: SparkSession, root: str, days: list[str]) -> list[str]:
 
 
 def listing(spark: SparkSession, root: str, days: list[str]) -> DataFrame:
-    """source_key, length, dt, service of all objects of the days; contents are not read."""
+    """source_key, length, modified, dt, service of all objects of the days; contents are not read."""
     folders = _folders(spark, root, days)
     if not folders:
-        return spark.createDataFrame([], "source_key string, length long, dt string, service string")
+        return spark.createDataFrame([], "source_key string, length long, modified timestamp, dt string, service string")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
-    sizes = found.select(_key(spark, root, F.col("_metadata.file_path")).alias("source_key"), "length")
+    sizes = found.select(_key(spark, root, F.col("_metadata.file_path")).alias("source_key"), "length", F.col("modificationTime").alias("modified"))
     # Scans skip empty objects, which the index behind them holds; its names stay on the JVM's side.
     jvm = spark._jvm
     paths = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(found._jdf.inputFiles())
     index = spark._jsparkSession.createDataset(paths, jvm.org.apache.spark.sql.Encoders.STRING())
     names = DataFrame(index.toDF(), spark).select(_key(spark, root, F.col("value")).alias("source_key"))
-    return placed(names.join(sizes, "source_key", "left").select("source_key", F.coalesce("length", F.lit(0)).alias("length")))
+    return placed(names.join(sizes, "source_key", "left").select("source_key", F.coalesce("length", F.lit(0)).alias("length"), "modified"))
 
 
 def services(found: DataFrame) -> DataFrame:
     return found.select("dt", "service").distinct()
 
 
-def bodies(spark: SparkSession, root: str, days: list[str]) -> DataFrame:
-    """source_key, dt, service, body of all objects that are there; one that vanishes is left out, not an error."""
-    folders = _folders(spark, root, days)
-    if not folders:
-        return spark.createDataFrame([], "source_key string, body string, dt string, service string")
+#: What a scan says about the object that a line is from.
+SEEN = ("length", "modified")
+#: Bytes from which an object is read in several splits.
+SPLIT_FROM = 64 << 20
+
+
+def _seen() -> list[Column]:
+    return [F.col("_metadata.file_size").alias("length"), F.col("_metadata.file_modification_time").alias("modified")]
+
+
+def _scan(spark: SparkSession, whole: bool) -> DataFrameReader:
     # DataFrameReader.text() sets wholetext by itself, to false.
-    found = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", "true").option("ignoreMissingFiles", True).load(folders)
-    return placed(found.select(_key(spark, root, F.col("_metadata.file_path")).alias("source_key"), F.col("value").alias("body")))
+    reader = spark.read.format("text").option("recursiveFileLookup", "true").option("ignoreMissingFiles", True)
+    return reader.option("wholetext", True) if whole else reader.option("lineSep", "\n")
+
+
+def bodies(spark: SparkSession, root: str, days: list[str], keys: list[str] | None = None) -> DataFrame:
+    """source_key, dt, service, body, length, modified of all objects that are there, or of those listed; one that vanishes
+    is left out, not an error."""
+    paths = _folders(spark, root, days) if keys is None else [f"{root.rstrip('/')}/{k}" for k in keys]
+    if not paths:
+        return spark.createDataFrame([], "source_key string, body string, length long, modified timestamp, dt string, service string")
+    found = _scan(spark, True).load([_literal(p) for p in paths])
+    return placed(found.select(_key(spark, root, F.col("_metadata.file_path")).alias("source_key"), F.col("value").alias("body"), *_seen()))
+
+
+def _literal(path: str) -> str:
+    """A path that no character of means a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def split_lines(spark: SparkSession, root: str, keys: list[str], scratch: Scratch) -> DataFrame:
+    """source_key, dt, service, line_index, line, length, modified of large objects, which many tasks read by ranges of bytes.
+
+    A line belongs to the range it begins in. The lines of a range are numbered as they are read, and written; the numbers
+    of lines of the ranges before, of which there are few, then make them those of the object.
+    """
+    found = _scan(spark, False).load([_literal(f"{root.rstrip('/')}/{k}") for k in keys])
+    path = F.col("_metadata.file_path")
+    lines_ = found.select(path.alias("path"), F.col("_metadata.file_block_start").alias("start"), trimmed(F.col("value")).alias("line"), *_seen())
+    stored = scratch.save(lines_.where(F.length("line") > 0).withColumn("at", F.monotonically_increasing_id()), f"split-lines-{len(scratch.names)}")
+    ranges = stored.groupBy("path", "start").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("start")) - F.col("n")
+    ranges = ranges.select("path", "start", (before - F.col("first")).alias("shift"))
+    numbered = stored.join(ranges, ["path", "start"]).withColumn("line_index", (F.col("at") + F.col("shift")).cast("int"))
+    return placed(numbered.select(_key(spark, root, F.col("path")).alias("source_key"), "line_index", "line", *SEEN))
+
+
+def read_lines(spark: SparkSession, root: str, listed: DataFrame, scratch: Scratch, days: list[str] | None = None) -> DataFrame:
+    """The numbered lines of the days' objects, or of the listed ones only; large ones by ranges, objects without lines with a null.
+
+    listed: their source_key and length; the names of the large ones, each of them over SPLIT_FROM bytes, go through the driver,
+    as all names do that a scan is given.
+    """
+    large = [r[0] for r in listed.where(F.col("length") >= SPLIT_FROM).select("source_key").collect()]
+    if days is None:
+        small = [r[0] for r in listed.where((F.col("length") > 0) & (F.col("length") < SPLIT_FROM)).select("source_key").collect()]
+        whole = bodies(spark, root, [], small)
+    else:
+        whole = bodies(spark, root, days)
+    if not large:
+        return numbered_lines(whole, outer=True)
+    # The scan itself knows how long an object is, so a large one isn't opened as a whole.
+    whole = whole.where(F.col("length") < SPLIT_FROM)
+    parts = split_lines(spark, root, large, scratch)
+    return numbered_lines(whole, outer=True).unionByName(parts)
 
 
 def numbered_lines(objects: DataFrame, outer: bool = False) -> DataFrame:
@@ -78,4 +140,4 @@ def numbered_lines(objects: DataFrame, outer: bool = False) -> DataFrame:
     outer: objects without lines keep a row, whose index and line are null.
     """
     split = F.posexplode_outer if outer else F.posexplode
-    return objects.select("source_key", "dt", "service", split(lines(F.col("body"))).alias("line_index", "line"))
+    return objects.select("source_key", "dt", "service", split(lines(F.col("body"))).alias("line_index", "line"), *(c for c in SEEN if c in objects.columns))

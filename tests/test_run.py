@@ -76,7 +76,7 @@ def test_forced_run_without_objects_empties_the_day(spark, roots, tmp_path):
 def test_dedupe(spark, roots):
     lake = Lake(spark, roots[1])
     run.run_days(spark, roots[0], lake, [DT])
-    lake.read("silver").limit(3).write.mode("append").partitionBy("dt").parquet(lake.path("silver"))
+    lake.append("silver", lake.read("silver").limit(3), [DT])
     assert run.stored_counts(lake, "silver", DT) == (7, 4)
     m = run.verify_days(lake, [lake.manifest(DT)])[DT]
     assert m["status"] == "duplicates" and alerts.manifest_problems(m) == ["status is duplicates"]
@@ -111,7 +111,7 @@ def test_as_many_jobs_for_many_days(spark, tmp_path):
     assert many <= one + 4 and again <= 2
     lake = Lake(spark, str(tmp_path / "b"))
     assert lake.read("silver").count() == 120 and {m["status"] for m in lake.manifests_of(all_days).values()} == {"done"}
-    assert all(len(list((tmp_path / "b/silver" / f"dt={d}").glob("*.parquet"))) == 1 for d in all_days)
+    assert all(len(list((tmp_path / "b/silver").glob(f"write=*/dt={d}/*.parquet"))) == 1 for d in all_days)
 
 
 def test_object_lost_between_listing_and_reading(spark, roots, monkeypatch):
@@ -152,9 +152,9 @@ def test_compaction_and_a_new_table(spark, roots, tmp_path):
     lake = Lake(spark, roots[1])
     run.run_days(spark, roots[0], lake, [DT, "2026-09-22"])
     for _ in range(3):
-        lake.read("silver").limit(1).write.mode("append").partitionBy("dt").parquet(lake.path("silver"))
+        lake.append("silver", lake.read("silver").limit(1), [DT, "2026-09-22"])
     rows = sorted(map(repr, lake.read("silver").collect()))
-    files = lambda d: len(list((tmp_path / "lake/silver" / f"dt={d}").glob("*.parquet")))
+    files = lambda d: sum(len(list((tmp_path / f"lake/silver/write={f}/dt={d}").glob("*.parquet"))) for f, _ in lake.snapshot().folders("silver", [d]))
     assert files(DT) + files("2026-09-22") == 5
     lake.compact("silver", [DT, "2026-09-22"])
     assert (files(DT), files("2026-09-22")) == (1, 1) and sorted(map(repr, lake.read("silver").collect())) == rows
@@ -260,19 +260,3 @@ def test_calls(spark, tmp_path):
     assert call({"dt": DT})[0] == 409 and call({"dt": DT, "attempt": "2", "force": "1"})[0] == 202
     lake = Lake(spark, str(tmp_path))
     assert [run.handle_status(lake, q, h, "s")[0] for q, h in (({"dt": DT}, ""), ({}, "Bearer s"), ({"dt": DT}, "Bearer s"))] == [401, 400, 404]
-
-
-def test_stream_takes_each_object_once(spark, roots, tmp_path):
-    from daybook.session import prepare
-    from daybook.streaming.ingest import ingest, ingested, publish
-
-    prepare(spark)
-    for _ in range(2):
-        ingest(spark, roots[0], str(tmp_path / "out"), str(tmp_path / "state"))
-    out, lake = str(tmp_path / "out"), Lake(spark, roots[1])
-    assert ingested(spark, out, "silver").count() == 5 and [r["raw"] for r in ingested(spark, out, "quarantine").collect()] == ["{bad"]
-    publish(spark, out, lake, [DT, "2026-09-22"])
-    stored = {t: sorted(map(repr, lake.read(t).collect())) for t in ("silver", "gold", "quarantine")}
-    other = Lake(spark, str(tmp_path / "other"))
-    run.run_days(spark, roots[0], other, [DT, "2026-09-22"])
-    assert stored == {t: sorted(map(repr, other.read(t).collect())) for t in stored}
