@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.columns import silver_uid, status_class
+from daybook.functions.times import point_in_time
 from daybook.schemas import SILVER
 
-#: ISO-8601 days and times. Other forms that lenient parsers take are refused.
-_TIME = r"^\d{4}(-\d{2}(-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?(Z|[+-]\d{2}:\d{2})?)?)?)?$"
 _OPTIONAL_NUMBERS = ("request_size", "response_size")
 _OPTIONAL_TEXTS = ("user_id", "cf_ray", "cf_colo", "error_message")
 
@@ -51,12 +50,6 @@ def _absent(name: str) -> Column:
     return _kind(name).isNull() | (_kind(name) == "VOID")
 
 
-def _time(text: Column) -> Column:
-    """ISO-8601 text as a timestamp, or null; minutes without seconds are completed for the cast."""
-    seconds = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00")
-    return F.when(text.rlike(_TIME), seconds.try_cast("timestamp"))
-
-
 def parsed(df: DataFrame, *more: str) -> DataFrame:
     """df (dt, service, source_key, line_index, line) with its typed columns and reason (null: valid), and more columns of its own."""
     texts, numbers = ("timestamp", "endpoint", "method", *_OPTIONAL_TEXTS), ("status", "latency_ms", *_OPTIONAL_NUMBERS)
@@ -66,7 +59,7 @@ def parsed(df: DataFrame, *more: str) -> DataFrame:
     field = lambda name, kind: F.try_variant_get(F.col("_v"), f"$.{name}", kind)
     found = [F.schema_of_variant(field(n, "variant")).alias(f"_k_{n}") for n in (*texts, *numbers)]
     found += [field(n, "string").alias(f"_t_{n}") for n in texts] + [field(n, "double").alias(f"_n_{n}") for n in numbers]
-    found += [_time(field("timestamp", "string")).alias("_ts")]
+    found += [point_in_time(field("timestamp", "string")).alias("_ts")]
     df = df.select("*", F.inline(F.array(F.struct(*found))))
     status, latency = F.col("_n_status"), F.col("_n_latency_ms")
     # The names of the reasons, in the order in which the rules are tried.

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from daybook.functions import columns as fn
 from daybook.functions.days import check_dt, run_id
+from daybook.functions.times import point_in_time
 from daybook.operators import gold, quality, validate
 from daybook.plans import workload as w
-from daybook.session import spread
+from daybook.session import prepare, spread
 from daybook.sources import bronze
 
 QUERIES: dict = {}
@@ -344,3 +345,71 @@ def valid_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(made.alias("dt"))
     odd = spark.createDataFrame([("2026-9-21",), ("",), ("2026-09-21' OR '1'='1",)], "dt string")
     return days.union(odd).distinct().select("dt", fn.is_day(F.col("dt")).alias("valid"))
+
+
+# The forms in which an event's time is written, by its id; the last ones are refused.
+_FORMS_SQL = """
+    CASE event_id % 20
+        WHEN 0 THEN strftime(t, '%Y-%m-%dT%H:%M:%SZ') WHEN 1 THEN strftime(t, '%a, %d %b %Y %H:%M:%S GMT') WHEN 2 THEN strftime(t, '%A, %B %d, %Y %H:%M:%S')
+        WHEN 3 THEN strftime(t, '%a %b %d %Y %H:%M:%S GMT+0900 (Somewhere Standard Time)') WHEN 4 THEN strftime(t, '%d %B %Y %H:%M:%S EST') WHEN 5 THEN strftime(t, '%m/%d/%Y %I:%M:%S %p')
+        WHEN 6 THEN strftime(t, '%Y/%m/%d %H:%M:%S') WHEN 7 THEN strftime(t, '+00%Y-%m-%dT%H:%M:%S.5Z') WHEN 8 THEN strftime(t, '%Y %b %d') WHEN 9 THEN strftime(t, '%d-%b-%y %H:%M:%S')
+        WHEN 10 THEN strftime(t, '%b %d %Y %H:%M:%S -0730') WHEN 11 THEN strftime(t, '%Y-%m-%dT24:00:00Z') WHEN 12 THEN strftime(t, '%Y-02-31T%H:%M:%SZ')
+        WHEN 13 THEN strftime(t, '%b %Y') WHEN 14 THEN strftime(t, '%d Foo %Y') WHEN 15 THEN strftime(t, '%d %b %Y 25:00') WHEN 16 THEN strftime(t, '%Y/13/%d')
+        WHEN 17 THEN strftime(t, '%d %b %Y tomorrow') WHEN 18 THEN strftime(t, '%H:%M:%S') ELSE ' ' || strftime(t, '%Y-%m-%d') END"""
+
+
+@query(
+    f"""WITH e AS (SELECT event_id, date_trunc('second', ts) AS t FROM events), f AS (SELECT event_id, t, {_FORMS_SQL} AS text FROM e)
+        SELECT event_id, text, CASE event_id % 20 WHEN 3 THEN t - INTERVAL 9 HOUR WHEN 4 THEN t + INTERVAL 5 HOUR WHEN 7 THEN t + INTERVAL 500 MILLISECOND WHEN 8 THEN date_trunc('day', t)
+            WHEN 10 THEN t + INTERVAL 450 MINUTE WHEN 11 THEN date_trunc('day', t) + INTERVAL 1 DAY
+            WHEN 12 THEN date_trunc('year', t) + INTERVAL 61 DAY + (t - date_trunc('day', t)) ELSE CASE WHEN event_id % 20 < 13 THEN t END END::TIMESTAMP AS found FROM f"""
+)
+def time_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's time written in one of many forms, and what is read from it; null where it is refused."""
+    day, clock = "yyyy-MM-dd", "HH:mm:ss"
+    made = [
+        f"{day}'T'{clock}'Z'", f"EEE, dd MMM yyyy {clock} 'GMT'", f"EEEE, MMMM dd, yyyy {clock}", f"EEE MMM dd yyyy {clock} 'GMT+0900 (Somewhere Standard Time)'", f"dd MMMM yyyy {clock} 'EST'",
+        "MM/dd/yyyy hh:mm:ss a", f"yyyy/MM/dd {clock}", f"'+00'{day}'T'{clock}'.5Z'", "yyyy MMM dd", f"dd-MMM-yy {clock}", f"MMM dd yyyy {clock} '-0730'", f"{day}'T24:00:00Z'", f"yyyy-'02-31T'{clock}'Z'",
+        "MMM yyyy", "dd 'Foo' yyyy", "dd MMM yyyy '25:00'", "yyyy'/13/'dd", "dd MMM yyyy 'tomorrow'", clock, f"' '{day}",
+    ]
+    events = spread(prepare(spark).read.parquet(f"{sf_dir}/events.parquet"))
+    t, text = F.date_trunc("second", F.col("ts").cast("timestamp")), None
+    for k, form in enumerate(made):
+        one = F.date_format(t, form)
+        text = F.when(F.col("event_id") % len(made) == k, one) if text is None else text.when(F.col("event_id") % len(made) == k, one)
+    return events.select("event_id", text.alias("text")).withColumn("found", point_in_time(F.col("text")).cast("timestamp_ntz"))
+
+
+@query(_sql(
+    """SELECT dt, source_key, CASE WHEN event_id % 31 = 0 THEN 'late' WHEN event_id % 37 = 0 OR event_id % 41 = 0 THEN 'lost' ELSE 'changed' END AS problem
+       FROM lines WHERE event_id % 31 = 0 OR event_id % 37 = 0 OR event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 47 = 0"""
+))
+def listing_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects that weren't the same before, during and after reading: of the events' objects some came late, some were lost
+    while reading or afterwards, some were changed while reading or afterwards."""
+    n = F.regexp_extract("source_key", "([0-9]+)[.]jsonl$", 1).cast("long")
+    lines = w.bronze_lines(spark, sf_dir).select("dt", "source_key", F.length("line").cast("long").alias("length"), F.lit("2026-01-01").cast("timestamp").alias("modified"), n.alias("n"))
+    listed = lines.where(F.col("n") % 31 != 0)
+    read = lines.where((F.col("n") % 31 == 0) | (F.col("n") % 37 != 0)).withColumn("length", F.when(F.col("n") % 43 == 0, F.col("length") + 1).otherwise(F.col("length")))
+    again = lines.where((F.col("n") % 31 == 0) | (F.col("n") % 41 != 0)).withColumn("modified", F.when(F.col("n") % 47 == 0, F.lit("2026-01-02").cast("timestamp")).otherwise(F.col("modified")))
+    return quality.listing_problems(listed, read, again)
+
+
+@query(_sql(
+    """SELECT dt, row_uid, 2::BIGINT AS copies, 2::BIGINT AS contents FROM silver WHERE event_id % 50 = 0 AND dt LIKE '%3' AND event_id % 100 = 0"""
+))
+def content_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids stored twice, of which every other's rows differ in their latency."""
+    rows = w.silver(spark, sf_dir).select("event_id", *_STORED)
+    twice = rows.where((F.col("event_id") % 50 == 0) & F.col("dt").endswith("3"))
+    other = twice.withColumn("latency_ms", F.when(F.col("event_id") % 100 == 0, F.col("latency_ms") + 1).otherwise(F.col("latency_ms")))
+    return quality.conflicting(rows.unionByName(other).drop("event_id"))
+
+
+@query(_sql("SELECT * FROM gold"))
+def gold_retraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily aggregate of partial ones of which a third was added twice and taken back once."""
+    rows = w.silver(spark, sf_dir)
+    third = gold.partial(rows.where(F.col("event_id") % 3 == 1))
+    parts = gold.partial(rows).unionByName(third).unionByName(gold.retracted(third))
+    return gold.merged(parts).withColumn("latency_avg", F.round("latency_avg", 6))
