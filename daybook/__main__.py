@@ -1,4 +1,5 @@
-"""python -m daybook --bronze ROOT --lake ROOT run [DT] | backfill START END | status DT | count DT | scan-all | dedupe DT | verify-all | health-check
+"""python -m daybook --bronze ROOT --lake ROOT run [DT] | backfill START END | update START END | status DT | count DT | scan-all |
+dedupe DT | verify-all | health-check | history | compact DT... | expire | export DT | readmit DT (these two with --exports ROOT)
 
 A schedule of two commands runs the lake: `run` for yesterday (UTC) after midnight, `health-check` an hour later.
 """
@@ -10,9 +11,9 @@ import json
 import os
 import sys
 
-from daybook.functions.days import is_valid_attempt, is_valid_force, parse_force, yesterday
+from daybook.functions.days import day_range, is_valid_attempt, is_valid_force, parse_force, yesterday
 from daybook.operators import quality
-from daybook.plans import run
+from daybook.plans import export, merge, run
 from daybook.session import local_session
 from daybook.sources.store import Lake
 
@@ -21,19 +22,22 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--bronze", default="")
     p.add_argument("--lake", required=True)
+    p.add_argument("--exports", default="", help="where refused lines are exported to, and mended ones are read from")
     p.add_argument("--layer", choices=("silver", "gold"), default="silver")
     p.add_argument("--attempt")
     p.add_argument("--force")
     p.add_argument("--skip-verify", metavar="WHY", help="don't count what was stored, and record why")
-    p.add_argument("command", choices=("run", "backfill", "status", "count", "scan-all", "dedupe", "verify-all", "health-check"))
+    p.add_argument("command", choices=("run", "backfill", "update", "status", "count", "scan-all", "dedupe", "verify-all", "health-check", "history", "compact", "expire", "export", "readmit"))
     p.add_argument("days", nargs="*")
     a = p.parse_args(argv)
     if not is_valid_attempt(a.attempt) or not is_valid_force(a.force):
         p.error("attempt is a positive integer, force is 1 or true")
-    if a.command in ("run", "status", "count", "dedupe") and not a.days:
+    if a.command in ("run", "status", "count", "dedupe", "compact", "export", "readmit") and not a.days:
         a.days = [yesterday()]
-    if a.command == "backfill" and len(a.days) != 2:
-        p.error("backfill takes the first and the last day")
+    if a.command in ("backfill", "update") and len(a.days) != 2:
+        p.error(f"{a.command} takes the first and the last day")
+    if a.command in ("export", "readmit") and not a.exports:
+        p.error(f"{a.command} needs --exports")
     spark = local_session()
     lake = Lake(spark, a.lake)
     if a.command in ("run", "backfill"):
@@ -42,6 +46,29 @@ def main(argv: list[str] | None = None) -> int:
         for dt, m in sorted(made.items()):
             print(dt, m["status"])
         return 0
+    if a.command in ("update", "readmit"):
+        if a.command == "update":
+            made = merge.update_days(spark, a.bronze, lake, day_range(*a.days), webhook=os.environ.get("DAYBOOK_WEBHOOK"))
+        else:
+            made = export.readmit(lake, a.exports, a.days[0])
+        for dt, m in sorted(made.items()):
+            print(dt, m["status"])
+        return 0
+    if a.command == "export":
+        print("\n".join(export.export(lake, a.exports, a.days[0])))
+        return 0
+    if a.command == "history":
+        for n in lake.log.versions():
+            v = lake.snapshot(n)
+            print(f"{v.number} {v.at} {v.operation}: {sum(e['version'] == n for e in v.days.values())} of {len(v.days)} days")
+        return 0
+    if a.command == "compact":
+        print(f"version {lake.compact(a.layer, a.days).number}")
+        return 0
+    if a.command == "expire":
+        gone = lake.expire()
+        print(f"{len(gone['versions'])} versions and {gone['folders']} folders are gone")
+        return 0
     if a.command == "status":
         print(json.dumps(lake.manifest(a.days[0]), indent=2))
         return 0

@@ -28,6 +28,28 @@ def test_commands(spark, tmp_path, capsys):
     assert main([*roots, "health-check"]) == 1
 
 
+def test_commands_on_versions(spark, tmp_path, capsys):
+    obj = tmp_path / "in/api-metrics/2026-09-21/web/00/a.jsonl"
+    obj.parent.mkdir(parents=True)
+    obj.write_text(json.dumps({"timestamp": "2026-09-21T00:00:00Z", "endpoint": "/x", "method": "GET", "status": 200, "latency_ms": 5}))
+    roots = ["--bronze", str(tmp_path / "in"), "--lake", str(tmp_path / "lake"), "--exports", str(tmp_path / "out")]
+    assert main([*roots, "run", "2026-09-21"]) == 0
+    (obj.parent / "b.jsonl").write_text("{bad")
+    capsys.readouterr()
+    assert main([*roots, "update", "2026-09-20", "2026-09-22"]) == 0 and main([*roots, "export", "2026-09-21"]) == 0
+    assert capsys.readouterr().out.splitlines() == ["2026-09-21 done", "quarantine/api-metrics/dt=2026-09-21/web-0.jsonl"]
+    exported = tmp_path / "out/quarantine/api-metrics/dt=2026-09-21/web-0.jsonl"
+    mended = json.loads(exported.read_text()) | {"raw": obj.read_text()}
+    (exported.parent / ".web-0.jsonl.crc").unlink(missing_ok=True)
+    exported.write_text(json.dumps(mended))
+    assert main([*roots, "readmit", "2026-09-21"]) == 0 and Lake(spark, str(tmp_path / "lake")).manifest("2026-09-21")["silverRows"] == 2
+    assert main([*roots, "compact", "2026-09-21"]) == 0
+    capsys.readouterr()
+    assert main([*roots, "history"]) == 0
+    assert [x.split()[2] for x in capsys.readouterr().out.splitlines()] == ["run:", "verify:", "update:", "verify:", "readmit:", "verify:", "compact:"]
+    assert main([*roots, "expire"]) == 0 and "0 versions and 0 folders" in capsys.readouterr().out
+
+
 def test_lists_of_days_are_whole(spark, tmp_path, capsys, monkeypatch):
     n = 1100
     days = [f"{d:%Y-%m-%d}" for d in pd.date_range("2020-01-01", periods=n)]
