@@ -20,7 +20,7 @@ has a probability of about 1e-5, and of nearly nothing at higher ones.
   signature accepts nothing: it only stops pairs whose distance in it is above WIDE_RADIUS, which at a similarity of 0.75
   has a probability of about 1e-6.
 - All rounds accept by size and RADIUS inside the join and confirm the survivors on their full sets, recomputed from
-  the texts of the documents involved. A class's text is fetched by an id and the text's own hash, so rows that share an
+  the texts of the documents involved. A class's text is fetched by a hash of an id and the text, so rows that share an
   id, or have none, meet their own classes only.
 
 Defined cases: null and blank texts have empty sets, linked with nothing; a text with fewer words than a shingle has
@@ -227,17 +227,14 @@ class NearDuplicates:
         self.size, self.percent = size, percent
         self.spark = docs.sparkSession
         self.scratch = Scratch(self.spark, "near-dedup")
-        self.rows = docs.select(F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("text")).withColumn("hash", F.xxhash64("text"))
+        self.rows = docs.select(F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("text")).withColumn("hash", F.xxhash64("doc_id", "text"))
         kind = self.rows.schema["doc_id"].dataType.simpleString()
         longs = ", ".join(f"{c} long" for c in ("n_shingles", "f1", "f2", *_CHUNK))
         with bounded_batches(self.spark):
             self.docs = self.scratch.save(self.rows.mapInArrow(_describe(size), f"doc_id {kind}, hash long, {longs}"), "docs")
         classes = (
             self.docs.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2")
-            .agg(
-                F.min("doc_id").alias("rep_id"), F.min(F.struct("doc_id", "hash")).alias("rep"), F.count(F.lit(1)).alias("members"),
-                *(F.first(c).alias(c) for c in _CHUNK),
-            )
+            .agg(F.min("doc_id").alias("rep_id"), F.min("hash").alias("rep"), F.count(F.lit(1)).alias("members"), *(F.first(c).alias(c) for c in _CHUNK))
             .withColumn("cid", F.monotonically_increasing_id())
         )
         self.classes = self.scratch.save(classes, "classes")
@@ -255,8 +252,7 @@ class NearDuplicates:
         """(cid, columns) of the classes listed in ids, made from the text of one document of each."""
         wanted = self.classes.join(ids.select("cid").distinct(), "cid").select("rep", "cid", "n_shingles", "f1", "f2")
         wanted = self.scratch.save(wanted, f"{name}-wanted")
-        # Ids within structs, where nulls are equal.
-        texts = joined(self.rows.select(F.struct("doc_id", "hash").alias("rep"), "text"), wanted, ["rep"], "inner", BROADCAST_ROWS)
+        texts = joined(self.rows.select(F.col("hash").alias("rep"), "text"), wanted, ["rep"], "inner", BROADCAST_ROWS)
         with bounded_batches(self.spark):
             made = texts.select("cid", "n_shingles", "f1", "f2", "text").mapInArrow(_over_sets(self.size, names, columns), f"cid long, {types}")
             # Repeated rows give a class the same columns several times; that does no harm.
