@@ -45,13 +45,15 @@ def _stream(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def _batches(spark: SparkSession, out: str) -> dict[str, list[int]]:
-    """Stream to the numbers of its batches that are written whole."""
+def _batches(spark: SparkSession, out: str, done: dict[str, int]) -> dict[str, list[int]]:
+    """Stream to the numbers of its batches that are written whole, those after the one that is done; only these are looked at."""
     found: dict[str, list[int]] = {}
     for stream in names_in(spark, out):
-        for batch in names_in(spark, f"{out}/{stream}") if stream.startswith("stream=") else ():
-            if batch.startswith("batch=") and "_SUCCESS" in names_in(spark, f"{out}/{stream}/{batch}"):
-                found.setdefault(stream.removeprefix("stream="), []).append(int(batch.removeprefix("batch=")))
+        name = stream.removeprefix("stream=")
+        for batch in names_in(spark, f"{out}/{stream}") if name != stream else ():
+            n = int(batch.removeprefix("batch=")) if batch.startswith("batch=") else -1
+            if n > done.get(name, -1) and "_SUCCESS" in names_in(spark, f"{out}/{stream}/{batch}"):
+                found.setdefault(name, []).append(n)
     return {k: sorted(v) for k, v in found.items()}
 
 
@@ -64,7 +66,7 @@ def _read(spark: SparkSession, out: str, batches: dict[str, list[int]]) -> DataF
 
 def ingested(spark: SparkSession, out: str, table: str) -> DataFrame:
     """What the streams have written so far of silver or quarantine."""
-    rows = _read(spark, out, _batches(spark, out)).where(F.col("refused") == (table == "quarantine"))
+    rows = _read(spark, out, _batches(spark, out, {})).where(F.col("refused") == (table == "quarantine"))
     return rows.select(*{"silver": SILVER, "quarantine": QUARANTINE}[table].fieldNames())
 
 
@@ -74,7 +76,7 @@ def publish(spark: SparkSession, out: str, lake: Lake) -> dict[str, dict]:
     Lines that a day has already, from a run or from another stream, change nothing; none is ever removed.
     """
     done = lake.snapshot().batches
-    new = {s: more for s, numbers in _batches(spark, out).items() if (more := [n for n in numbers if n > done.get(s, -1)])}
+    new = _batches(spark, out, done)
     if not new:
         return {}
 
