@@ -1,8 +1,9 @@
 """Secret scanning with an incremental blob ledger.
 
-Every version of every path is addressed by the SHA-256 of its content. The ledger holds one row per (blob, rule
-version) that has been scanned, with what was found. A run scans one copy of each blob that the ledger lacks for the
-rules at hand, adds those rows, and joins the findings back to all paths and versions that hold the blob.
+Every version of every path is addressed by the SHA-256 of its content. Each rule has a version of its own, and the
+ledger holds one row per (blob, rule version) that has been scanned, with what was found. A run scans one copy of each
+blob with those of its rules that the ledger lacks for it, adds those rows, and joins the findings back to all paths and
+versions that hold the blob. So a new or changed rule alone goes over the old blobs, and the others over new ones only.
 
 Texts are hardly shuffled: only blobs that occur more than once or that the ledger knows decide which rows are scanned;
 that list is broadcast where a count proves it small, and otherwise only texts that a filter says may be listed are
@@ -10,7 +11,7 @@ shuffled (listed.py). The ledger is as large as it is: only its addresses are co
 
 Defined cases: a null text counts as the empty text; null paths and repeated rows are paths like others; a blob
 without secrets has a ledger row with no spans; empty tables give empty results. Texts are scanned whole, whatever
-their length. Only the named columns are read.
+their length. Only the named columns are read. No rules, or the same rule twice, are an error.
 """
 
 from __future__ import annotations
@@ -66,9 +67,9 @@ RULES = (
 )
 
 
-def rule_version(rules: tuple[Rule, ...]) -> str:
-    """Changes with any kind, pattern or bound, so that changed rules scan everything anew."""
-    said = "\n".join(f"{r.kind}\t{r.pattern}\t{r.group}\t{r.shortest}" for r in rules)
+def rule_version(rule: Rule) -> str:
+    """Changes with the kind, pattern or bound, so that a changed rule scans everything anew."""
+    said = f"{rule.kind}\t{rule.pattern}\t{rule.group}\t{rule.shortest}"
     return hashlib.sha256(said.encode()).hexdigest()[:16]
 
 
@@ -82,19 +83,23 @@ def find(text: str, rules: tuple[Rule, ...] = RULES) -> list[tuple[str, int, int
 LEDGER_SCHEMA = "blob string, rule_version string, spans array<struct<kind:string,start:int,end:int>>"
 
 
-def _scan(rules: tuple[Rule, ...], version: str):
+def _scan(rules: tuple[Rule, ...], versions: list[str]):
+    """An Arrow step from (blob, text, places of the rules that the ledger has) to a ledger row for each other rule."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     schema = pa.schema([("blob", pa.string()), ("rule_version", pa.string()), ("spans", pa.list_(span))])
 
     def run(batches):
         for batch in batches:
-            spans = [
-                [{"kind": k, "start": s, "end": e} for k, s, e in find(text, rules)]
-                for text in batch.column(1).to_pylist()
-            ]
+            blobs, of, spans = [], [], []
+            for blob, text, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                lowered = text.lower()
+                for k, rule in enumerate(rules):
+                    if k not in (known or ()):
+                        blobs.append(blob)
+                        of.append(versions[k])
+                        spans.append([{"kind": rule.kind, "start": s, "end": e} for s, e in rule.spans(text, lowered)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([version] * len(spans), pa.string()), pa.array(spans, pa.list_(span))],
-                schema=schema,
+                [pa.array(blobs, pa.string()), pa.array(of, pa.string()), pa.array(spans, pa.list_(span))], schema=schema
             )
 
     return run
@@ -109,37 +114,43 @@ def scan(
     findings: path, blob, spans for every row of history. The new rows are what this run scanned; a caller appends
     them to the ledger that it passes next time.
     """
+    versions = [rule_version(r) for r in rules]
+    if not rules or len(set(versions)) < len(rules):
+        raise ValueError("rules must be there and differ")
     spark = history.sparkSession
     scratch = Scratch(spark, "secret-ledger")
-    version = rule_version(rules)
+    place = F.array_position(F.array(*map(F.lit, versions)), F.col("rule_version")).cast("int") - 1
     rows = history.select(F.col(path_col).alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("blob", F.sha2(F.encode("text", "UTF-8"), 256))
     paths = scratch.save(rows.select("path", "blob"), "paths")
-    several = (
-        paths.groupBy("blob").agg(F.min("path").alias("scanned_at"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select("blob", "scanned_at", F.lit(False).alias("seen"))
-    )
+    blobs = paths.groupBy("blob").agg(F.min("path").alias("scanned_at"), F.count(F.lit(1)).alias("n"))
     if ledger is None:
         seen = spark.createDataFrame([], LEDGER_SCHEMA)
-        listed = several
+        listed = blobs.where("n > 1").withColumn("known", F.expr("cast(null as array<int>)"))
     else:
-        seen = ledger.where(F.col("rule_version") == version).select("blob", "rule_version", "spans")
-        # Of the ledger, only the blobs that this history holds.
-        known = seen.select("blob").join(paths.select("blob").distinct(), "blob", "left_semi").distinct().withColumn("seen", F.lit(True))
-        listed = several.drop("seen").join(known, "blob", "full_outer").select(
-            "blob", "scanned_at", F.coalesce("seen", F.lit(False)).alias("seen")
-        )
-    listed = scratch.save(listed.withColumn("listed", F.lit(True)), "listed")
+        seen = ledger.where(F.col("rule_version").isin(versions)).select("blob", "rule_version", "spans")
+        # Places of the rules that each blob has been scanned with.
+        known = seen.groupBy("blob").agg(F.collect_set(place).alias("known"))
+        listed = blobs.join(known, "blob", "left").where("n > 1 or known is not null")
+    listed = scratch.save(listed.select("blob", "scanned_at", "known", F.lit(True).alias("listed")), "listed")
+    lacking = F.coalesce(F.size("known"), F.lit(0)) < len(rules)
     with bounded_batches(spark):
         unseen = (
             joined(rows, listed, ["blob"], "left", BROADCAST_ROWS)
-            .where(F.col("listed").isNull() | (~F.col("seen") & F.col("path").eqNullSafe(F.col("scanned_at"))))
-            .select("blob", "text")
+            .where(F.col("listed").isNull() | (lacking & F.col("path").eqNullSafe(F.col("scanned_at"))))
+            .select("blob", "text", "known")
         )
-        scanned = scratch.save(unseen.mapInArrow(_scan(rules, version), LEDGER_SCHEMA), "scanned")
+        scanned = scratch.save(unseen.mapInArrow(_scan(rules, versions), LEDGER_SCHEMA), "scanned")
     # The same path may be there twice with the same content.
     fresh = scratch.save(scanned.groupBy("blob", "rule_version").agg(F.first("spans").alias("spans")), "fresh")
-    hits = scratch.save(seen.unionByName(fresh).where(F.size("spans") > 0).select("blob", "spans"), "hits")
+    # At most one row a rule for each blob; all spans by start, then in the rules' order.
+    found = seen.unionByName(fresh).where(F.size("spans") > 0)
+    placed = F.transform("spans", lambda s: F.struct(s.start.alias("start"), place.alias("place"), s.kind.alias("kind"), s.end.alias("end")))
+    in_order = F.array_sort(F.flatten(F.collect_list(placed)))
+    hits = found.groupBy("blob").agg(
+        F.transform(in_order, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end"))).alias("spans")
+    )
+    hits = scratch.save(hits, "hits")
     none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
     findings = paths.join(small(hits, BROADCAST_ROWS), "blob", "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
     findings = scratch.save(findings, "findings")

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from daybook.llm import secret_ledger as s
 
 A = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -29,22 +31,55 @@ def test_ledger_scans_each_blob_once(spark):
     schema = "path string, text string"
     first = spark.createDataFrame([("a", TEXT), ("b", TEXT), ("c", None), ("c", None), (None, TEXT), ("d", "x" * 300_000)], schema)
     findings, ledger = s.scan(first)
-    assert ledger.count() == 3
+    assert ledger.count() == 3 * len(s.RULES)
     want = brute(TEXT)
     assert {r["path"]: [tuple(x) for x in r["spans"]] for r in findings.collect()} == {"a": want, "b": want, "c": [], None: want, "d": []}
     assert findings.count() == 6
     findings, more = s.scan(spark.createDataFrame([("e", TEXT), ("f", "new secret=abcdefghijklmn"), ("g", "new secret=abcdefghijklmn")], schema), ledger)
-    assert more.count() == 1 and {r["path"]: len(r["spans"]) for r in findings.collect()} == {"e": 3, "f": 1, "g": 1}
-    other = (*s.RULES, s.Rule("pin", "[0-9]{4}", 0, 4))
-    findings, again = s.scan(spark.createDataFrame([("e", TEXT)], schema), ledger, other)
-    assert again.count() == 1 and s.rule_version(other) != s.rule_version(s.RULES) and len(findings.first()["spans"]) > 3
+    assert more.count() == len(s.RULES) and {r["path"]: len(r["spans"]) for r in findings.collect()} == {"e": 3, "f": 1, "g": 1}
+
+
+def test_a_new_rule_alone_scans_old_blobs(spark):
+    schema = "path string, text string"
+    first = spark.createDataFrame([("a", TEXT), ("b", TEXT), (None, "AKIA"), ("c", "pin 1234")], schema)
+    _, ledger = s.scan(first)
+    pin = s.Rule("pin", "[0-9]{4}", 0, 4)
+    mended = s.Rule("hex", "[0-9a-f]{17,}", 0, 17)
+    rules = (pin, *s.RULES[:2], mended)
+    again = spark.createDataFrame([("a", TEXT), ("b", TEXT), (None, "AKIA"), ("c", "pin 1234"), ("d", "new 9876")], schema)
+    findings, fresh = s.scan(again, ledger, rules)
+    changed, version = {s.rule_version(pin), s.rule_version(mended)}, {s.rule_version(r) for r in rules}
+    blob = {t: hashlib.sha256(t.encode()).hexdigest() for t in (TEXT, "AKIA", "pin 1234", "new 9876")}
+    want = {(b, v) for t, b in blob.items() for v in (version if t == "new 9876" else changed)}
+    assert sorted((r["blob"], r["rule_version"]) for r in fresh.collect()) == sorted(want)
+    got = {r["path"]: [tuple(x) for x in r["spans"]] for r in findings.collect()}
+    text = [(k, a, b) for k, a, b in brute(TEXT)]
+    pins = [("pin", m.start(), m.end()) for m in re.finditer("[0-9]{4}", TEXT)]
+    order = [r.kind for r in rules]
+    assert got["a"] == got["b"] == sorted([*text, *pins], key=lambda x: (x[1], order.index(x[0])))
+    assert got["c"] == [("pin", 4, 8)] and got["d"] == [("pin", 4, 8)] and got[None] == []
+    # With both ledgers nothing is left to scan, under either set of rules.
+    for known in (s.RULES, rules):
+        assert s.scan(first, ledger.unionByName(fresh), known)[1].count() == 0
+
+
+def test_rules_must_differ(spark):
+    for rules in ((), (s.RULES[0], s.RULES[0])):
+        with pytest.raises(ValueError):
+            s.scan(spark.createDataFrame([("a", TEXT)], "path string, text string"), None, rules)
+
+
+def test_columns_named_like_the_operators_own(spark):
+    rows = [(1, TEXT, 7, 8, 9), (2, TEXT, 7, 8, 9)]
+    df = spark.createDataFrame(rows, "path long, text string, listed int, known int, scanned_at int")
+    assert [len(r["spans"]) for r in s.scan(df)[0].collect()] == [3, 3]
 
 
 def test_without_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(s, "BROADCAST_ROWS", 0)
     rows = [(str(i), TEXT if i % 3 else f"secret: abcdefghijkl{i}") for i in range(30)]
     findings, ledger = s.scan(spark.createDataFrame(rows, "path string, text string"))
-    assert ledger.count() == 11
+    assert ledger.count() == 11 * len(s.RULES)
     assert {r["path"]: [tuple(x) for x in r["spans"]] for r in findings.collect()} == {p: brute(t) for p, t in rows}
 
 
