@@ -119,7 +119,8 @@ def add_lines(lake: Lake, parsed: DataFrame, operation: str, batches: Callable[[
 def update_days(spark: SparkSession, bronze_root: str, lake: Lake, days: list[str], webhook: str | None = None) -> dict[str, dict]:
     """Bring days up to the objects that are there now, reading only new and replaced ones; manifests of days that changed.
 
-    The lines of an object that has another length or time than the day was made of, or that is gone, are taken back.
+    The lines of an object that has another length or time than the day was made of, or that is gone, are taken back. Objects
+    that were late, lost or changed when the day was made are always read anew, so that none of them is forgotten.
     """
     scratch = Scratch(spark, "update")
 
@@ -127,8 +128,9 @@ def update_days(spark: SparkSession, bronze_root: str, lake: Lake, days: list[st
         change, started = lake.change("update"), _now()
         listed = scratch.save(bronze.listing(spark, bronze_root, days), f"listing-{len(scratch.names)}")
         known = change.read("objects", days).withColumnsRenamed({"length": "old_length", "modified": "old_modified"}).drop("service")
-        both = listed.join(known, ["dt", "source_key"], "full")
-        same = F.col("length").eqNullSafe(F.col("old_length")) & F.col("modified").eqNullSafe(F.col("old_modified"))
+        odd = change.read("discrepancies", days).select("dt", "source_key").distinct().withColumn("odd", F.lit(True))
+        both = listed.join(known, ["dt", "source_key"], "full").join(odd, ["dt", "source_key"], "full")
+        same = F.col("length").eqNullSafe(F.col("old_length")) & F.col("modified").eqNullSafe(F.col("old_modified")) & F.col("odd").isNull()
         both = scratch.save(both.where(~same), f"differences-{len(scratch.names)}")
         touched = days_of(both)
         if not touched:
@@ -136,19 +138,19 @@ def update_days(spark: SparkSession, bronze_root: str, lake: Lake, days: list[st
         new = both.where("length is not null")
         read = validate.parsed(bronze.read_lines(spark, bronze_root, new, scratch), *bronze.SEEN)
         read = scratch.save(read, f"read-{len(scratch.names)}")
-        old = both.where("old_length is not null").select("dt", "source_key")
+        old = both.where("old_length is not null or odd").select("dt", "source_key")
         again = bronze.listing(spark, bronze_root, touched).join(new.select("dt", "source_key"), ["dt", "source_key"], "left_semi")
         change.replace("discrepancies", quality.listing_problems(new, read, again), touched)
         made = merge(change, read, touched, started, scratch, old if old.limit(1).count() else None)
         now = {r["dt"]: r["n"] for r in listed.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
-        odd = {r["dt"]: r for r in change.read("discrepancies", touched).groupBy("dt").agg(*(F.count_if(F.col("problem") == k).alias(k) for k in PROBLEMS)).collect()}
+        told = {r["dt"]: r for r in change.read("discrepancies", touched).groupBy("dt").agg(*(F.count_if(F.col("problem") == k).alias(k) for k in PROBLEMS)).collect()}
         change.replace("objects", listed, touched)
         for d in touched:
             m = made[d]
-            lost = odd[d]["lost"] if d in odd else 0
+            lost = told[d]["lost"] if d in told else 0
             counters = {**{c: m[c] for c in COUNTERS}, "dt": d, "bronzeObjectCount": now.get(d, 0), "bronzeObjectsRead": now.get(d, 0) - lost, "bronzeObjectsMissing": lost}
-            told = {**{k: odd[d][k] for k in PROBLEMS}, "keys": []} if d in odd else None
-            made[d] = build_manifest(counters, started, m["services"], objects=told)
+            objects = {**{k: told[d][k] for k in PROBLEMS}, "keys": []} if d in told else None
+            made[d] = build_manifest(counters, started, m["services"], objects=objects)
             change.manifest(made[d])
         change.commit()
         return made

@@ -161,6 +161,39 @@ def test_objects_that_are_not_the_same_are_told(spark, roots, monkeypatch, kind)
     assert run.run_days(spark, roots[0], lake, [DT])[DT]["status"] == "done" and lake.read("discrepancies").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["lost", "late", "late and gone"])
+def test_an_update_mends_what_a_run_saw_wrong(spark, roots, monkeypatch, kind):  # noqa: F811
+    """The object is there again as it was, and only another one is new: the update reads both, or takes back what is gone."""
+    lake, lines_ = Lake(spark, roots[1]), bronze.read_lines
+    key, late = pathlib.Path(roots[0]) / "api-metrics" / DT / "api/00/c.jsonl", f"{DT}/web/09/late.jsonl"
+    body, clock = key.read_text(), 1_700_000_000
+    os.utime(key, (clock, clock))
+
+    def meanwhile(*args):
+        if kind == "lost":
+            key.unlink()
+        else:
+            put(roots[0], late, line(7), line(8), at=clock)
+        return lines_(*args)
+
+    monkeypatch.setattr(bronze, "read_lines", meanwhile)
+    with pytest.raises(run.MismatchError):
+        run.run_days(spark, roots[0], lake, [DT])
+    monkeypatch.undo()
+    if kind == "lost":
+        put(roots[0], f"{DT}/api/00/c.jsonl", body, at=clock)
+    if kind == "late and gone":
+        (pathlib.Path(roots[0]) / "api-metrics" / late).unlink()
+    put(roots[0], f"{DT}/web/00/new.jsonl", line(9), at=clock)
+    merge.update_days(spark, roots[0], lake, [DT])
+    agrees(lake, [DT])
+    other = Lake(spark, f"{roots[1]} anew")
+    run.run_days(spark, roots[0], other, [DT])
+    assert held(lake)["silver"] == held(other)["silver"] and lake.read("discrepancies").count() == 0
+    assert [lake.manifest(DT)[c] for c in ("bronzeObjectCount", "bronzeObjectsRead", "silverRows")] == [other.manifest(DT)[c] for c in ("bronzeObjectCount", "bronzeObjectsRead", "silverRows")]
+    assert merge.update_days(spark, roots[0], lake, [DT]) == {}
+
+
 def test_random_arrivals_touch_their_own_partials(spark, tmp_path):
     rng, root, lake = random.Random(6), str(tmp_path / "in"), Lake(spark, str(tmp_path / "lake"))
     made = lambda: [line(rng.randrange(60), latency_ms=rng.choice([0, 1.5, 7, 80]), status=rng.choice([200, 404, 500]), cf_colo=rng.choice(["NRT", None])) for _ in range(rng.randint(0, 5))]
