@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import gold, quality, validate
-from daybook.session import prepare, spread
+from daybook.session import dealt, prepare, spread
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event_id, ts, dt, service, endpoint, method, status, latency_ms, cf_colo, k, case: one row per event."""
-    events = spread(prepare(spark).read.parquet(f"{sf_dir}/events.parquet"))
+def requests(spark: SparkSession, sf_dir: str, deal=spread) -> DataFrame:
+    """event_id, ts, dt, service, endpoint, method, status, latency_ms, cf_colo, k, case: one row per event; deal puts the scan into tasks."""
+    events = deal(prepare(spark).read.parquet(f"{sf_dir}/events.parquet"))
     k = F.get_json_object("props", "$.k").cast("int")
     e = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", k.alias("k"))
     return e.select(
@@ -37,7 +37,7 @@ def _field(name: str, usual, **cases) -> F.Column:
     return out
 
 
-def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_lines(spark: SparkSession, sf_dir: str, deal=spread) -> DataFrame:
     """dt, service, source_key, line_index, line: a JSON line for each event."""
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     line = F.concat(
@@ -55,11 +55,11 @@ def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("case") == 18, "null").otherwise(line)
     )
     key = F.concat(F.lit("api-metrics/"), "dt", F.lit("/"), "service", F.lit("/"), F.date_format("ts", "HH"), F.lit("/"), "event_id", F.lit(".jsonl"))
-    return requests(spark, sf_dir).select("dt", "service", key.alias("source_key"), F.lit(0).alias("line_index"), line.alias("line"))
+    return requests(spark, sf_dir, deal).select("dt", "service", key.alias("source_key"), F.lit(0).alias("line_index"), line.alias("line"))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.parsed(bronze_lines(spark, sf_dir))
+    return validate.parsed(bronze_lines(spark, sf_dir, dealt))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Semantics, not tuning: UTC days, per-partition overwrite, last duplicate JSON key wins.
 REQUIRED = {
@@ -46,3 +47,20 @@ def spread(rows: DataFrame) -> DataFrame:
     size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if size <= SPREAD_BYTES and rows.rdd.getNumPartitions() < cores else rows
+
+
+#: Rows of a scan that a task should have at most where each row is much work.
+TASK_ROWS = 100_000
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """A scan for work by the row: the tasks grow in number with the rows, not in size.
+
+    A split is so many bytes, of which narrow rows take few, and gets whole row groups, so that some splits have none. The
+    rows of each split are counted first, which takes the files' footers only; a scan whose splits are small is just spread.
+    """
+    split = rows.groupBy(F.spark_partition_id().alias("split")).count()
+    most, total = split.agg(F.max("count"), F.sum("count")).first()
+    if (most or 0) <= TASK_ROWS:
+        return spread(rows)
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_ROWS)))
