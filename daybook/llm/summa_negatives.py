@@ -1,14 +1,15 @@
 """Hard negatives by a block matrix product on a two-dimensional grid.
 
 Anchors times rows is one large matrix product, which is laid out as a grid: blocks of ANCHORS anchors by blocks of ROWS
-rows, and the dimensions in chunks of CHUNK. A block of rows stays where its shuffle put it, under (block, chunk); blocks of
-anchors are sent to all of these, a hundredth of the data each time. Every meeting multiplies two pieces to a partial score
-tile of int64 numbers, written in as few bytes as hold them. Tiles are shuffled by their place in the grid, added over the
-chunks, and reduced at once to the best few of each anchor, so that no table ever holds the scores.
+rows, and the dimensions in chunks of CHUNK. A place of the coarse grid is a panel of up to PANEL blocks of anchors and a
+group of up to TOGETHER blocks of rows. The pieces (block by chunk) of both go there in one shuffle, without a join, so that
+nothing is broadcast. There the pieces of the rows pass by one after another while the anchors' are held: every meeting adds
+a partial product to a score tile of int64 numbers, which is reduced at the last chunk to the best few of each anchor. So
+tiles never leave the task that makes them, and no table ever holds the scores.
 
 It takes two passes. Rows are in blocks by label, so only the tiles whose blocks share a label are made for the positives;
 the second pass makes the others (and the few mixed ones), each anchor bringing the window of scores that each of its
-positives allows. What the tiles leave is merged by a ranking with a limit, which Spark applies before and after its shuffle.
+positives allows. What the places leave is merged by a ranking with a limit, which Spark applies before and after its shuffle.
 
 Blocks have a fixed number of rows whatever labels they hold, so a label with a third of all rows, or equal vectors in any
 number, make no block or task larger. Positions in blocks come from counts by partition of a written table.
@@ -32,11 +33,15 @@ from pyspark.sql.window import Window
 from daybook.llm.common import bounded_batches
 from daybook.scratch import Scratch
 
-#: Anchors and rows of a block, dimensions of a chunk, and blocks of rows whose tiles one step reduces together.
-ANCHORS, ROWS, CHUNK, TOGETHER = 128, 1024, 32, 8
+#: Anchors and rows of a block, dimensions of a chunk, and blocks of rows in a group at most.
+ANCHORS, ROWS, CHUNK, TOGETHER = 128, 1024, 32, 64
+#: Blocks of anchors in a panel at most, and bytes of their components; groups that there are at least, if there are so many
+#: blocks of rows; partitions at most.
+PANEL, PANEL_BYTES, GROUPS, PARTITIONS = 32, 32 << 20, 24, 10_000
 #: Components are floor(SCALE * x).
 SCALE = 256
-_LAST = np.iinfo(np.int64).max
+#: Beyond all scores, which stay under 2**62.
+_FAR, _LAST = 2**62, np.iinfo(np.int64).max
 RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 
 
@@ -95,102 +100,125 @@ _KINDS = {"vec_id": pa.list_(pa.int64()), "label": pa.list_(pa.int64()), "row":
 _PIECE = "block long, chunk int, low long, high long, piece binary, vec_id array<long>, label array<long>, row array<long>"
 
 
-def _multiply(width: int):
-    """A step from pairs of pieces to partial tiles; what else a row has is passed on."""
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The exact partial tile of two pieces."""
+    exact = np.float64 if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2**53 else np.int64
+    return (a.astype(exact) @ b.T.astype(exact)).astype(np.int64)
 
-    def run(batches):
-        for batch in batches:
-            tiles = []
-            for a, b in zip(batch.column("a_piece").to_pylist(), batch.column("b_piece").to_pylist(), strict=True):
-                a, b = (wide(x).reshape(-1, width) for x in (a, b))
-                exact = np.float64 if float(np.abs(a).max()) * float(np.abs(b).max()) * width < 2**53 else np.int64
-                tiles.append(narrow((a.astype(exact) @ b.T.astype(exact)).astype(np.int64)))
-            rest = [n for n in batch.schema.names if n not in ("a_piece", "b_piece")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(tiles, pa.binary())], names=[*rest, "tile"])
 
-    return run
+class _Best:
+    """The best few rows of each window of one block of anchors: the largest scores, of equal ones the smallest ids.
 
+    A window has a key, the place of its anchor in the block, and its ends; least is what a score must reach to come in yet.
+    """
 
-class _Best:
-    """The best few rows of each key of one block of anchors: the largest scores, of equal ones the smallest ids."""
+    def __init__(self, most: int, of: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray):
+        self.most, self.of, self.key, self.least, self.high = most, of, key, low, high
+        self.found = np.zeros((5, 0), np.int64)  # window, score, id, whether it is null, row
 
-    def __init__(self, most: int):
-        self.most = most
-        self.found = np.zeros((5, 0), np.int64)  # key, score, id, whether it is null, row
+    def bounds(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each of n anchors: the least and the largest score that any of its windows takes."""
+        least, most = np.full((n, 1), _LAST), np.full((n, 1), -_LAST)
+        np.minimum.at(least[:, 0], self.of, self.least)
+        np.maximum.at(most[:, 0], self.of, self.high)
+        return least, most
 
-    def add(self, key: np.ndarray, score: np.ndarray, at: np.ndarray, ids: np.ndarray, none: np.ndarray, rows: np.ndarray) -> None:
-        found = np.concatenate([self.found, [key, score, ids[at], none[at], rows[at]]], axis=1)
+    def add(self, window: np.ndarray, score: np.ndarray, at: np.ndarray, b: dict) -> None:
+        found = np.concatenate([self.found, [window, score, b["id"][at], b["none"][at], b["row"][at]]], axis=1)
         found = found[:, np.lexsort((found[4], found[2], found[3], -found[1], found[0]))]
-        starts = np.flatnonzero(np.r_[True, np.diff(found[0]) != 0]) if found.shape[1] else np.zeros(0, np.int64)
-        nth = np.arange(found.shape[1]) - np.repeat(starts, np.diff(np.r_[starts, found.shape[1]]))
+        n = np.bincount(found[0], minlength=len(self.key))
+        nth = np.arange(found.shape[1]) - np.repeat(np.cumsum(n) - n, n)
         self.found = found[:, nth < self.most]
+        full, n = n >= self.most, np.minimum(n, self.most)
+        self.least[full] = self.found[1, np.cumsum(n)[full] - 1]
 
 
 def _ids(values: list) -> tuple[np.ndarray, np.ndarray]:
     return np.array([0 if v is None else v for v in values], np.int64), np.array([v is None for v in values], np.int64)
 
 
-def _sorted_scores(tile: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each anchor: its negated scores in order, those not allowed last, and their columns; equal ones stay in the order of ids."""
-    negated = np.where(allowed, -tile, _LAST)
+def _windows(a: dict) -> list[np.ndarray]:
+    """Of a block of anchors' windows: anchor, key, low, high; one without ends for each anchor where they have none."""
+    if "windows" not in a:
+        n = len(a["row"])
+        return [np.arange(n), a["row"], np.full(n, -_FAR), np.full(n, _FAR)]
+    return list(np.array([(i, *w) for i, windows in enumerate(a["windows"]) for w in windows], np.int64).reshape(-1, 4).T.copy())
+
+
+def _choose(tile: np.ndarray, allowed: np.ndarray, b: dict, best: _Best) -> None:
+    """The best few scores of a tile for each window. Only those that may come in yet are sorted, soon a few of each anchor."""
+    least, most = best.bounds(len(tile))
+    anchor, column = np.nonzero(allowed & (tile >= least) & (tile <= most))
+    if not len(anchor):
+        return
+    n = np.bincount(anchor, minlength=len(tile))
+    nth = np.arange(len(anchor)) - np.repeat(np.cumsum(n) - n, n)
+    negated, columns = np.full((len(tile), n.max()), _LAST), np.zeros((len(tile), n.max()), np.int64)
+    negated[anchor, nth], columns[anchor, nth] = -tile[anchor, column], column
+    # Equal ones stay in the order of columns, which is that of ids.
     order = np.argsort(negated, axis=1, kind="stable")
-    return np.take_along_axis(negated, order, axis=1), order
+    negated, columns = (np.take_along_axis(x, order, axis=1) for x in (negated, columns))
+    own = negated[best.of]
+    start, end = (own < -best.high[:, None]).sum(axis=1), (own <= -best.least[:, None]).sum(axis=1)
+    nth = start[:, None] + np.arange(best.most)
+    window, k = np.nonzero(nth < end[:, None])
+    if len(window):
+        of, nth = best.of[window], nth[window, k]
+        best.add(window, -negated[of, nth], columns[of, nth], b)
+
+
+def _positives(a: dict, b: dict) -> np.ndarray:
+    return (a["label"][:, None] == b["label"]) & (a["row"][:, None] != b["row"])
+
+
+def _negatives(a: dict, b: dict) -> np.ndarray:
+    return a["label"][:, None] != b["label"]
 
 
-def _positives(tile, a, b, best: _Best) -> None:
-    allowed = (a["label"][:, None] == b["label"][None, :]) & (a["row"][:, None] != b["row"][None, :])
-    negated, order = _sorted_scores(tile, allowed)
-    negated, order = negated[:, : best.most], order[:, : best.most]
-    real = negated != _LAST
-    key = np.broadcast_to(a["row"][:, None], real.shape)[real]
-    best.add(key, -negated[real], order[real], b["id"], b["none"], b["row"])
+def _share_a_label(a: dict, b: dict) -> bool:
+    return a["low"] <= b["high"] and b["low"] <= a["high"]
 
 
-def _negatives(tile, a, b, best: _Best) -> None:
-    negated, order = _sorted_scores(tile, a["label"][:, None] != b["label"][None, :])
-    keys, scores, at = [], [], []
-    for i, windows in enumerate(a["windows"]):
-        for key, low, high in windows or ():
-            start = np.searchsorted(negated[i], -high, "left")
-            end = min(start + best.most, np.searchsorted(negated[i], -low, "right"))
-            if start < end:
-                keys.append(np.full(end - start, key)), scores.append(-negated[i, start:end]), at.append(order[i, start:end])
-    if keys:
-        best.add(np.concatenate(keys), np.concatenate(scores), np.concatenate(at), b["id"], b["none"], b["row"])
+def _several_labels(a: dict, b: dict) -> bool:
+    return not a["low"] == a["high"] == b["low"] == b["high"]
 
 
-def _reduce(most: int, choose):
-    """A step over partial tiles in the order of blocks of anchors, blocks of rows and chunks: added up, and reduced."""
+def _meet(chunks: int, width: int, most: int, wanted, allowed):
+    """A step over the pieces of one place of the coarse grid after another: the anchors' first, then the rows' by block and chunk."""
 
     def emit(best: _Best):
-        key, score, ids, none, row = best.found
+        window, score, ids, none, row = best.found
         return pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(score), pa.array(ids, mask=none.astype(bool)), pa.array(row)], names=["key", "score", "vec_id", "row"]
+            [pa.array(best.key[window]), pa.array(score), pa.array(ids, mask=none.astype(bool)), pa.array(row)], names=["key", "score", "vec_id", "row"]
         )
 
-    def side(batch: pa.RecordBatch, prefix: str, k: int) -> dict:
-        out = {n[2:]: batch.column(n)[k].as_py() for n in batch.schema.names if n.startswith(prefix)}
+    def block(batch: pa.RecordBatch, k: int) -> dict:
+        out = {n: batch.column(n)[k].as_py() for n in ("low", "high", "vec_id", "label", "row", "windows") if n in batch.schema.names}
         out["id"], out["none"] = _ids(out.pop("vec_id"))
         return out | {n: np.array(out[n], np.int64) for n in ("label", "row")}
 
     def run(batches):
-        place = tile = best = None
+        place, anchors = None, []
         for batch in batches:
-            a_block, b_block, data = (batch.column(n).to_pylist() for n in ("a_block", "b_block", "tile"))
+            panel, group, side, chunk = (batch.column(n).to_pylist() for n in ("panel", "group", "side", "chunk"))
             for k in range(batch.num_rows):
-                if place == (a_block[k], b_block[k]):
-                    tile += wide(data[k])
+                if place != (panel[k], group[k]):
+                    yield from (emit(a["best"]) for a in anchors)
+                    place, anchors = (panel[k], group[k]), []
+                piece = wide(batch.column("piece")[k].as_py()).reshape(-1, width)
+                if side[k] == 0:
+                    if chunk[k] == 0:
+                        anchors.append((a := block(batch, k)) | {"pieces": [], "best": _Best(most, *_windows(a))})
+                    anchors[-1]["pieces"].append(piece)
                     continue
-                if place is not None:
-                    choose(tile.reshape(len(a["row"]), -1), a, b, best)
-                if place is None or place[0] != a_block[k]:
-                    if place is not None:
-                        yield emit(best)
-                    best = _Best(most)
-                place, tile, a, b = (a_block[k], b_block[k]), wide(data[k]), side(batch, "a_", k), side(batch, "b_", k)
-        if place is not None:
-            choose(tile.reshape(len(a["row"]), -1), a, b, best)
-            yield emit(best)
+                if chunk[k] == 0:
+                    b = block(batch, k)
+                    tiles = [(a, np.zeros((len(a["row"]), len(b["row"])), np.int64)) for a in anchors if wanted(a, b)]
+                for a, tile in tiles:
+                    tile += _product(a["pieces"][chunk[k]], piece)
+                    if chunk[k] == chunks - 1:
+                        _choose(tile, allowed(a, b), b, a["best"])
+        yield from (emit(a["best"]) for a in anchors)
 
     return run
 
@@ -218,6 +246,8 @@ class Mining:
         anchors, self.anchor_blocks = self._in_blocks(anchors, ANCHORS, "anchors")
         # What identifies an anchor is its place among all rows.
         self.anchors = anchors.drop("row").withColumnRenamed("own", "row")
+        self.panels = -(-self.anchor_blocks // max(1, min(PANEL, PANEL_BYTES // (8 * ANCHORS * CHUNK * self.chunks))))
+        self.groups = max(min(GROUPS, self.row_blocks), -(-self.row_blocks // TOGETHER))
 
     def _in_blocks(self, rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
         """rows with a number (row) and a block of so many rows, of few labels each; and how many blocks there are."""
@@ -231,46 +261,43 @@ class Mining:
         placed = stored.withColumn("part", part).join(F.broadcast(starts), "part").withColumn("block", F.floor((F.col("start") + nth) / size)).drop("part", "start")
         return placed, -(-ends[-1] // size)
 
-    def _pieces(self, rows: DataFrame, prefix: str, *more: str) -> DataFrame:
+    def _pieces(self, rows: DataFrame, *more: str) -> DataFrame:
         schema = _PIECE + "".join(f", {c} array<array<array<long>>>" for c in more)
-        made = rows.select("block", "vec_id", "label", "row", "values", *more).groupBy("block").applyInArrow(_pack(self.chunks, CHUNK, list(more)), schema)
-        return made.select("chunk", *(F.col(c).alias(prefix + c) for c in made.columns if c != "chunk"))
-
-    def _tiles(self, a: DataFrame, b: DataFrame, wanted) -> DataFrame:
-        """(a_block, b_block, chunk, tile) of the wanted places of the grid, with what the first chunk's pieces carry."""
-        sent = a.withColumn("b_block", F.explode(F.sequence(F.lit(0), F.lit(self.row_blocks - 1)).cast("array<long>")))
-        met = b.join(sent, ["b_block", "chunk"]).where(wanted).drop("a_low", "a_high", "b_low", "b_high")
-        kinds = {f.name: f.dataType.simpleString() for f in met.schema}
-        out = [n for n in met.columns if n not in ("a_piece", "b_piece")]
-        return met.mapInArrow(_multiply(CHUNK), ", ".join(f"{n} {kinds[n]}" for n in out) + ", tile binary")
-
-    def _reduced(self, tiles: DataFrame, most: int, choose) -> DataFrame:
-        together = tiles.repartition("a_block", F.floor(F.col("b_block") / TOGETHER)).sortWithinPartitions("a_block", "b_block", "chunk")
-        found = together.mapInArrow(_reduce(most, choose), "key long, score long, vec_id long, row long")
+        return rows.select("block", "vec_id", "label", "row", "values", *more).groupBy("block").applyInArrow(_pack(self.chunks, CHUNK, list(more)), schema)
+
+    def _best(self, a: DataFrame, b: DataFrame, most: int, wanted, allowed) -> DataFrame:
+        """The best few of each key, from the allowed scores of the wanted tiles of blocks of anchors and of rows."""
+        of = lambda blocks, parts: F.floor(F.col("block") * parts / blocks)
+        every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))
+        a = a.withColumns({"side": F.lit(0), "panel": of(self.anchor_blocks, self.panels)}).withColumn("group", every(self.groups))
+        b = b.withColumns({"side": F.lit(1), "group": of(self.row_blocks, self.groups)}).withColumn("panel", every(self.panels))
+        # Twice as many partitions as places, so that few get several.
+        met = a.unionByName(b, allowMissingColumns=True).repartition(min(PARTITIONS, 2 * self.panels * self.groups), "panel", "group")
+        met = met.sortWithinPartitions("panel", "group", "side", "block", "chunk")
+        found = met.mapInArrow(_meet(self.chunks, CHUNK, most, wanted, allowed), "key long, score long, vec_id long, row long")
         order = Window.partitionBy("key").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
 
     def result(self) -> DataFrame:
         if not self.row_blocks or not self.anchor_blocks:
             return self.scratch.result(self.spark.createDataFrame([], RESULT))
-        a, b, rule = F.struct("a_low", "a_high"), F.struct("b_low", "b_high"), self.rule
+        rule = self.rule
         with bounded_batches(self.spark):
-            rows = self.scratch.save(self._pieces(self.rows, "b_"), "pieces")
-            share_a_label = (F.col("a_low") <= F.col("b_high")) & (F.col("b_low") <= F.col("a_high"))
-            found = self._reduced(self._tiles(self._pieces(self.anchors, "a_"), rows, share_a_label), rule.positives, _positives)
+            rows = self.scratch.save(self._pieces(self.rows), "pieces")
+            found = self._best(self._pieces(self.anchors), rows, rule.positives, _share_a_label, _positives)
             # A key for each anchor and positive; places of rows leave room for it.
             key = F.col("key") * rule.positives + F.col("rank") - 1
             found = found.select(F.col("key").alias("anchor"), key.alias("key"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
             positives = self.scratch.save(found, "positives")
             low, high = (F.expr(f"cast({f}(positive_score * {p} / cast(100 AS decimal(3))) AS bigint)") for f, p in (("ceil", rule.least), ("floor", rule.most)))
             windows = positives.select("anchor", F.array("key", low, high).alias("window")).groupBy("anchor").agg(F.collect_list("window").alias("windows"))
-            anchors = self.anchors.join(windows, F.col("row") == F.col("anchor"))
-            several_labels = (a != b) | (F.col("a_low") != F.col("a_high"))
-            tiles = self._tiles(self._pieces(anchors, "a_", "windows"), rows, several_labels)
-            found = self.scratch.save(self._reduced(tiles, rule.negatives, _negatives), "negatives")
-        named = positives.join(self.anchors.select(F.col("row").alias("anchor"), F.col("vec_id").alias("anchor_id")), "anchor")
+            # Tables that grow with the anchors are merged, never broadcast, however small their files are.
+            anchors = self.anchors.join(windows.hint("merge"), F.col("row") == F.col("anchor"))
+            found = self._best(self._pieces(anchors, "windows"), rows, rule.negatives, _several_labels, _negatives)
+            found = self.scratch.save(found, "negatives")
+        named = positives.join(self.anchors.select(F.col("row").alias("anchor"), F.col("vec_id").alias("anchor_id")).hint("merge"), "anchor")
         return self.scratch.result(
-            found.join(named, "key").select(
+            found.join(named.hint("merge"), "key").select(
                 "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
             )
         )

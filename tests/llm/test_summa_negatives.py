@@ -94,3 +94,29 @@ def test_the_query_over_the_whole_table(spark, sf):
 
     rows = [tuple(r) for r in table(spark, f"/root/testdata/{sf}", "embeddings").select("vec_id", "embedding", "label").collect()]
     assert as_found(QUERIES["op12_summa_negatives"](spark, f"/root/testdata/{sf}")) == brute(rows)
+
+
+@pytest.mark.parametrize("sizes", [(2, 3, 2, 2, 4), (3, 4, 8, 64, 3), (128, 1024, 32, 64, 24)])
+def test_several_panels_and_groups_lose_nothing(spark, monkeypatch, sizes):
+    for name, value in zip(("ANCHORS", "ROWS", "CHUNK", "TOGETHER", "GROUPS"), sizes, strict=True):
+        monkeypatch.setattr(sn, name, value)
+    monkeypatch.setattr(sn, "PANEL", 2)
+    rng = np.random.default_rng(5)
+    # Scores that rise with the id, many of them equal: every later block has some that must still come in.
+    rows = [(i, [float(np.float32(i // 4 / 50)), float(np.float32(rng.normal(0, 0.2))) if i % 3 else 0.25, 0.5], i % 5) for i in range(120)]
+    rule = sn.Rule(every=4, positives=3, negatives=4)
+    found = as_found(sn.mine(vectors(spark, rows), rule))
+    assert found == brute(rows, rule) and len(found) > 200
+
+
+def test_anchors_sent_to_all_rows_are_never_broadcast(spark, monkeypatch):
+    """The driver collects what is broadcast: once, the pieces of anchors for all blocks of rows, 32 MiB here."""
+    rng = np.random.default_rng(3)
+    rows = [(100 * i, rng.normal(0.1, 0.3, 64).tolist(), i % 10) for i in range(1200)]
+    plain = as_found(sn.mine(vectors(spark, rows)))
+    monkeypatch.setattr(sn, "ROWS", 8)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", 12 << 20)
+    try:
+        assert as_found(sn.mine(vectors(spark, rows))) == plain and len(plain) > 10_000
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
